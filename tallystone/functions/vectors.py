@@ -1,0 +1,27 @@
+"""Dense-vector expressions over ``ARRAY<FLOAT|DOUBLE>`` (no vector type in Spark SQL)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def as_double(v: Column) -> Column:
+    return F.transform(v, lambda x: x.cast("double"))
+
+
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def norm(a: Column) -> Column:
+    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x * x))
+
+
+def cosine_distance(a: Column, b: Column, a_norm: Column | None = None,
+                    b_norm: Column | None = None) -> Column:
+    """1 - a.b / (|a| |b|); NULL for a zero or NULL vector (never NaN)."""
+    na = a_norm if a_norm is not None else norm(a)
+    nb = b_norm if b_norm is not None else norm(b)
+    den = na * nb
+    return F.when(den > 0, F.lit(1.0) - dot(a, b) / den)
