@@ -38,3 +38,123 @@ def q_latest_fact(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return lookup.latest_fact(o, keys=["o_custkey", "o_orderpriority"],
                               order=["o_orderdate", "o_orderkey"])
+
+
+# --- fact_history: orders of one concept (priority 1-URGENT) for every
+# customer, oldest first; NULL dates last.
+@register("fact_history", sql="""
+SELECT o_custkey, o_orderpriority, o_orderdate, o_orderkey, o_totalprice, o_orderstatus
+FROM orders WHERE o_orderpriority = '1-URGENT'
+""")
+def q_fact_history(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    h = lookup.fact_history(o, order=["o_orderdate", "o_orderkey"], series=["o_custkey"],
+                            concept="1-URGENT", concept_col="o_orderpriority")
+    return h.select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey",
+                    "o_totalprice", "o_orderstatus")
+
+
+# --- compare_concept: every customer is requested (ord = 2 * custkey), the
+# BUILDING segment a second time (ord = 2 * custkey + 1); customers without
+# orders drop out. Newest 1-URGENT order per requested customer.
+def _requests(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    first = c.select((F.col("c_custkey") * 2).alias("ord"), F.col("c_custkey").alias("o_custkey"))
+    again = c.filter(F.col("c_mktsegment") == "BUILDING").select(
+        (F.col("c_custkey") * 2 + 1).alias("ord"), F.col("c_custkey").alias("o_custkey"))
+    return first.unionByName(again)
+
+
+@register("compare_concept", sql="""
+WITH req AS (
+  SELECT c_custkey * 2 AS ord, c_custkey AS o_custkey FROM customer
+  UNION ALL
+  SELECT c_custkey * 2 + 1, c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'),
+newest AS (
+  SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'
+  QUALIFY row_number() OVER (PARTITION BY o_custkey
+    ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1)
+SELECT req.ord, newest.* FROM req JOIN newest USING (o_custkey)
+""")
+def q_compare_concept(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return lookup.compare_concept(o, _requests(spark, sf_dir), key_col="o_custkey",
+                                  order=["o_orderdate", "o_orderkey"], concept="1-URGENT",
+                                  concept_col="o_orderpriority")
+
+
+# --- concept_coverage: events per event type of a curated type list that
+# includes a type with no data ('refund').
+COVERAGE_TYPES = ["click", "purchase", "refund", "signup", "view"]
+
+
+@register("concept_coverage", sql="""
+WITH dim(event_type) AS (VALUES ('click'), ('purchase'), ('refund'), ('signup'), ('view')),
+agg AS (SELECT event_type, count(*) AS n_rows, count(DISTINCT user_id) AS n_distinct
+        FROM events GROUP BY event_type)
+SELECT dim.event_type, coalesce(agg.n_rows, 0)::BIGINT AS n_rows,
+       coalesce(agg.n_distinct, 0)::BIGINT AS n_distinct,
+       coalesce(agg.n_rows, 0) > 0 AS covered
+FROM dim LEFT JOIN agg USING (event_type)
+""")
+def q_concept_coverage(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    dim = spark.createDataFrame([(t,) for t in COVERAGE_TYPES], "event_type string")
+    return lookup.concept_coverage(ev, dim, concept_col="event_type", distinct_col="user_id")
+
+
+# --- tag_fallback: orders; the "tag" is o_orderpriority with candidates
+# [1-URGENT, 2-HIGH] for one concept; entity o_custkey.
+FALLBACK_TAGS = ["1-URGENT", "2-HIGH"]
+
+
+@register("tag_fallback", sql="""
+WITH d(o_orderpriority, concept, priority) AS (VALUES ('1-URGENT', 'c', 0), ('2-HIGH', 'c', 1)),
+f AS (SELECT o.*, d.concept, d.priority FROM orders o JOIN d USING (o_orderpriority))
+SELECT * FROM f QUALIFY priority = min(priority) OVER (PARTITION BY o_custkey, concept)
+""")
+def q_tag_fallback(spark, sf_dir):
+    from tallystone.operators.facts import tag_fallback
+    o = table(spark, sf_dir, "orders")
+    dim = spark.createDataFrame([("c", i, t) for i, t in enumerate(FALLBACK_TAGS)],
+                                "concept string, priority int, o_orderpriority string")
+    return tag_fallback(o, dim, ["o_custkey"], tag_col="o_orderpriority")
+
+
+# --- derived_ratio: events per (user, day): purchase value over view value
+# x 100, 2 places; both sides required, a zero view total gives NULL.
+@register("derived_ratio", sql="""
+SELECT user_id, day, num_value, den_value,
+       round(num_value / nullif(den_value, 0) * 100.0, 2) AS ratio
+FROM (SELECT user_id, CAST(ts AS DATE) AS day,
+             sum(CASE WHEN event_type = 'purchase' THEN value END) AS num_value,
+             sum(CASE WHEN event_type = 'view' THEN value END) AS den_value,
+             count(CASE WHEN event_type = 'purchase' THEN 1 END) AS n_num,
+             count(CASE WHEN event_type = 'view' THEN 1 END) AS n_den
+      FROM events WHERE event_type IN ('purchase', 'view')
+      GROUP BY user_id, CAST(ts AS DATE))
+WHERE n_num > 0 AND n_den > 0
+""")
+def q_derived_ratio(spark, sf_dir):
+    from tallystone.operators.facts import derived_ratio
+    ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return derived_ratio(ev, ["user_id", "day"], numerator="purchase", denominator="view",
+                         concept_col="event_type")
+
+
+# --- yoy_growth: lineitem revenue per return flag and ship year; growth over
+# the previous year only when that exact year exists.
+@register("yoy_growth", sql="""
+WITH y AS (SELECT l_returnflag, year(l_shipdate) AS year,
+                  sum(l_extendedprice * (1 - l_discount)) AS revenue
+           FROM lineitem GROUP BY l_returnflag, year(l_shipdate))
+SELECT c.l_returnflag, c.year, c.revenue, p.revenue AS prev_value,
+       round((c.revenue - p.revenue) / nullif(p.revenue, 0) * 100.0, 4) AS growth_pct
+FROM y c LEFT JOIN y p ON p.l_returnflag = c.l_returnflag AND p.year = c.year - 1
+""")
+def q_yoy_growth(spark, sf_dir):
+    from tallystone.operators.facts import yoy_growth
+    li = table(spark, sf_dir, "lineitem")
+    y = (li.groupBy("l_returnflag", F.year("l_shipdate").alias("year"))
+         .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")))
+    return yoy_growth(y, ["l_returnflag"], "year", "revenue")
