@@ -4,5 +4,6 @@ from tallystone.plans.registry import ORACLE, QUERIES, table
 
 # Import binding modules for their registrations.
 from tallystone.plans import facts_plans as _facts  # noqa: F401,E402
+from tallystone.plans import text_plans as _text  # noqa: F401,E402
 
 __all__ = ["ORACLE", "QUERIES", "table"]
