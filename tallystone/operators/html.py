@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.functions.text import html_to_text_expr
+from tallystone.operators.partitioning import spread
 
 
 def html_to_text(pages: DataFrame, html_col: str = "html", id_cols=("page_id",),
@@ -17,4 +18,4 @@ def html_to_text(pages: DataFrame, html_col: str = "html", id_cols=("page_id",),
     whitespace is collapsed per line and blank lines are dropped. Pure
     JVM expressions: one narrow projection over the page scan.
     """
-    return pages.select(*id_cols, html_to_text_expr(F.col(html_col)).alias(out_col))
+    return spread(pages).select(*id_cols, html_to_text_expr(F.col(html_col)).alias(out_col))

@@ -1,0 +1,19 @@
+"""Partitioning helpers shared by the operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work at least one task per core.
+
+    A scan yields one task per file split (or Parquet row group); a few large
+    files would leave most cores idle during regex-heavy text work. Only when
+    the plan has fewer partitions than the cluster's parallelism is the input
+    redistributed round-robin; on a large input this is a no-op.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

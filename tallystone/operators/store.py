@@ -2,16 +2,15 @@
 
 A store is an append-only log of loads; every load carries ``load_seq``
 (monotone per load) and ``row_ord`` (position inside the load). The current
-table is "last write wins per key", computed with ``max_by`` so Spark does a
-map-side partial aggregation: a hot key is reduced inside each input task
-before the shuffle, so no task ever holds all versions of one key.
+table is "last write wins per key" (``latest_by_key``), reduced inside each input
+task before the shuffle, so no task ever holds all versions of one key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fact store keys: the reference's conflict key omits period_start, which
@@ -29,16 +28,15 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per ``keys``: the row with the greatest ``order`` tuple.
 
-    ``order`` must be a total order within a key for a deterministic result
-    (ties pick any of the tied rows). NULL parts of a key form one group;
-    NULL order fields sort lowest.
+    ``row_number() = 1`` over (keys ORDER BY order DESC). Spark plans a
+    partial ``WindowGroupLimit`` before the shuffle, so every map task keeps
+    only its own newest row per key: a key holding a third of the table
+    arrives at the reducer as one row per map task, never as all versions.
+    ``order`` must be a total order within a key for a deterministic result.
+    NULL parts of a key form one group; NULL order values sort lowest.
     """
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
-    packed = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*_cols(order)))
-    return (df.groupBy(*keys).agg(packed.alias("_w"))
-            .select(*keys, *[F.col("_w." + c).alias(c) for c in rest]))
+    w = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in _cols(order)])
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def upsert_facts(log: DataFrame, mode: str = "strict", seq_col: str = "load_seq",
