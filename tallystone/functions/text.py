@@ -83,7 +83,7 @@ def decode_entities(c: Column) -> Column:
         dec = F.regexp_extract(p, r"^#([0-9]{1,7});", 1)
         hexd = F.regexp_extract(p, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
         name = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]{0,31});", 1)
-        named = F.element_at(ents, name)
+        named = F.try_element_at(ents, name)
         return (F.when(dec != "", F.concat(_codepoint_to_str(F.conv(dec, 10, 16)),
                                            F.regexp_replace(p, r"^#[0-9]{1,7};", "")))
                 .when(hexd != "", F.concat(_codepoint_to_str(hexd),
@@ -91,9 +91,9 @@ def decode_entities(c: Column) -> Column:
                 .when(named.isNotNull(), F.concat(named, F.substring(p, F.length(name) + 2, 1 << 30)))
                 .otherwise(F.concat(F.lit("&"), p)))
 
-    rest = F.slice(pieces, 2, 1 << 30)
-    return F.when(F.instr(c, "&") == 0, c).otherwise(
-        F.concat(F.element_at(pieces, 1), F.array_join(F.transform(rest, piece), "")))
+    from tallystone.functions import let
+    return F.when(F.instr(c, "&") == 0, c).otherwise(let(pieces, lambda ps: F.concat(
+        F.element_at(ps, 1), F.array_join(F.transform(F.slice(ps, 2, 1 << 30), piece), ""))))
 
 
 def html_to_text_expr(html_col: Column) -> Column:

@@ -1,5 +1,9 @@
 """Sections, small-section merge, token windows and chunks of filing text.
 
+Generators use the ``_outer`` forms plus an explicit NULL filter: the plain
+forms make Catalyst infer ``size(array) > 0`` and push that filter below the
+projections, where it would re-evaluate the whole array expression.
+
 Every operator here is narrow: a document is one row and all work happens
 inside that row with Catalyst higher-order functions (``split``,
 ``transform``, ``aggregate``, ``filter``), so there is no shuffle between
@@ -134,7 +138,7 @@ def merge_small(sections: Column, min_tokens: int = DEFAULT_MIN_SECTION_TOKENS,
 
     def finish(acc: Column) -> Column:
         res, n = acc["res"], F.size(acc["res"])
-        last = F.element_at(res, -1)
+        last = F.try_element_at(res, F.lit(-1))
         glued = F.concat(F.slice(res, 1, n - 1),
                          F.array(F.struct(last["title"].alias("title"),
                                           F.concat(last["text"], F.lit("\n"), acc["bx"]).alias("text"))))
@@ -192,7 +196,7 @@ def with_sections(docs: DataFrame, text_col: str, out_col: str,
         # a document without any header is one section and is never merged
         # (header titles start with "Item", so this title only means "no header")
         no_header = (F.size("_raw") == 1) & \
-            (F.element_at("_raw", 1)["title"] == FULL_DOCUMENT_TITLE)
+            (F.try_element_at("_raw", F.lit(1))["title"] == FULL_DOCUMENT_TITLE)
         df = _with(df, **{out_col: F.when(no_header, F.col("_raw"))
                           .otherwise(merge_small(F.col("_raw"), min_tokens))})
     else:
@@ -205,7 +209,8 @@ def split_sections(docs: DataFrame, text_col: str = "text", id_cols=("doc_id",),
     """One row per (document, section): ``section_idx, title, section_text``."""
     df = with_sections(spread(docs.select(*id_cols, text_col)), text_col, "_secs", min_tokens,
                        merge)
-    return df.select(*id_cols, F.posexplode("_secs").alias("section_idx", "s")) \
+    return df.select(*id_cols, F.posexplode_outer("_secs").alias("section_idx", "s")) \
+        .filter(F.col("s").isNotNull()) \
         .select(*id_cols, "section_idx", F.col("s.title").alias("title"),
                 F.col("s.text").alias("section_text"))
 
@@ -223,7 +228,8 @@ def merge_sections(sections: DataFrame, id_cols=("doc_id",), order_col: str = "s
                   F.col(title_col).alias("title"), F.col(text_col).alias("text")).alias("s"))))
                    .alias("_l")))
     merged = merge_small(F.transform(F.col("_l"), lambda x: x["s"]), min_tokens)
-    return packed.select(*id_cols, F.posexplode(merged).alias("section_idx", "s")) \
+    return packed.select(*id_cols, F.posexplode_outer(merged).alias("section_idx", "s")) \
+        .filter(F.col("s").isNotNull()) \
         .select(*id_cols, "section_idx", F.col("s.title").alias("title"),
                 F.col("s.text").alias("section_text"))
 
@@ -238,8 +244,9 @@ def token_windows(docs: DataFrame, text_col: str = "text", id_cols=("doc_id",),
     """
     toks = tokens if tokens is not None else word_tokens(F.col(text_col))
     df = spread(docs).select(*id_cols, toks.alias("_toks"))
-    return df.select(*id_cols, F.posexplode(token_windows_expr(F.col("_toks"), size, overlap))
+    return df.select(*id_cols, F.posexplode_outer(token_windows_expr(F.col("_toks"), size, overlap))
                      .alias("window_index", "w")) \
+        .filter(F.col("w").isNotNull()) \
         .select(*id_cols, "window_index", "w.token_start", "w.n_tokens", "w.chunk_text")
 
 
@@ -257,5 +264,6 @@ def build_chunks(docs: DataFrame, text_col: str = "text", id_cols=("doc_id",),
         token_windows_expr(s["toks"], size, overlap),
         lambda w: F.struct(s["title"].alias("section"), w["chunk_text"].alias("chunk_text"),
                            w["n_tokens"].alias("n_tokens"))))
-    return df.select(*id_cols, F.posexplode(F.flatten(per_sec)).alias("chunk_index", "c")) \
+    return df.select(*id_cols, F.posexplode_outer(F.flatten(per_sec)).alias("chunk_index", "c")) \
+        .filter(F.col("c").isNotNull()) \
         .select(*id_cols, "chunk_index", "c.section", "c.chunk_text", "c.n_tokens")

@@ -17,7 +17,7 @@ TIDY_COLS = ["concept", "tag_used", "value", "unit", "start", "end", "fiscal_yea
 def _pick_unit(units: Column) -> Column:
     """USD when that key exists, else the first unit in document order."""
     return F.when(F.map_contains_key(units, F.lit(PREFERRED_UNIT)), F.lit(PREFERRED_UNIT)) \
-        .otherwise(F.element_at(F.map_keys(units), 1))
+        .otherwise(F.try_element_at(F.map_keys(units), F.lit(1)))
 
 
 def tag_fallback_doc(company_facts: DataFrame, concept_tags: dict | None = None,
@@ -32,24 +32,25 @@ def tag_fallback_doc(company_facts: DataFrame, concept_tags: dict | None = None,
     ``filter(...)[0]`` inside each document row, then one ``inline``.
     """
     ct = concept_tags or CONCEPT_TAGS
-    tax = F.element_at(F.col(facts_col), F.lit(taxonomy))
+    tax = F.try_element_at(F.col(facts_col), F.lit(taxonomy))
     per_concept = []
     for concept, tags in ct.items():
         cands = []
         for tag in tags:
-            units = F.element_at(tax, F.lit(tag)).getField("units")
+            units = F.try_element_at(tax, F.lit(tag)).getField("units")
             unit = _pick_unit(units)
-            rows = F.element_at(units, unit)
+            rows = F.try_element_at(units, unit)
             cands.append(F.struct(F.lit(tag).alias("tag"), unit.alias("unit"),
                                   F.coalesce(rows, F.array()).alias("rows")))
-        chosen = F.element_at(F.filter(F.array(*cands), lambda c: F.size(c["rows"]) > 0), 1)
+        chosen = F.try_element_at(F.filter(F.array(*cands), lambda c: F.size(c["rows"]) > 0), F.lit(1))
         per_concept.append(F.struct(F.lit(concept).alias("concept"), chosen.alias("pick")))
     picked = (company_facts
-              .select(*keep, F.inline(F.array(*per_concept)))
+              .select(*keep, F.inline_outer(F.array(*per_concept)))
               .filter(F.col("pick").isNotNull()))
     rows = picked.select(*keep, "concept", F.col("pick.tag").alias("tag_used"),
                          F.col("pick.unit").alias("unit"),
-                         F.posexplode("pick.rows").alias("row_ord", "r"))
+                         F.posexplode_outer("pick.rows").alias("row_ord", "r")) \
+        .filter(F.col("r").isNotNull())
     return rows.select(
         *keep, "concept", "tag_used", F.col("r.val").alias("value"), "unit",
         F.col("r.start").alias("start"), F.col("r.end").alias("end"),

@@ -6,5 +6,6 @@ from tallystone.plans.registry import ORACLE, QUERIES, table
 from tallystone.plans import facts_plans as _facts  # noqa: F401,E402
 from tallystone.plans import text_plans as _text  # noqa: F401,E402
 from tallystone.plans import vector_plans as _vector  # noqa: F401,E402
+from tallystone.plans import reconcile_plans as _reconcile  # noqa: F401,E402
 
 __all__ = ["ORACLE", "QUERIES", "table"]
