@@ -8,5 +8,6 @@ from tallystone.plans import text_plans as _text  # noqa: F401,E402
 from tallystone.plans import vector_plans as _vector  # noqa: F401,E402
 from tallystone.plans import reconcile_plans as _reconcile  # noqa: F401,E402
 from tallystone.plans import source_plans as _sources  # noqa: F401,E402
+from tallystone.plans import stream_plans as _stream  # noqa: F401,E402
 
 __all__ = ["ORACLE", "QUERIES", "table"]
