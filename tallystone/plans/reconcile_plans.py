@@ -133,7 +133,7 @@ _EVAL_SQL = """
 SELECT g.doc_id, g.expected_value, f.actual_value, f.actual_value IS NOT NULL AS found,
        coalesce(abs(g.expected_value - f.actual_value) <= 0.0, false) AS match
 FROM (SELECT doc_id, quality::DOUBLE AS expected_value FROM labels) g
-LEFT JOIN (SELECT doc_id, max(CASE WHEN n_chars > 1000 THEN 1.0 ELSE 0.0 END) AS actual_value
+LEFT JOIN (SELECT doc_id, max(CASE WHEN n_chars > 1000 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS actual_value
            FROM documents GROUP BY doc_id) f USING (doc_id)"""
 
 
