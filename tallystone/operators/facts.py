@@ -59,16 +59,16 @@ def tag_fallback_doc(company_facts: DataFrame, concept_tags: dict | None = None,
         F.col("r.accn").alias("accession_number"), F.col("r.frame").alias("frame"), "row_ord")
 
 
-def uncovered_concepts(tidy: DataFrame, dim: DataFrame, entity_col: str = "cik",
+def uncovered_concepts(tidy: DataFrame, concepts: Sequence[str], entity_col: str = "cik",
                        concept_col: str = "concept") -> DataFrame:
-    """(entity, concept) pairs of ``dim`` with no fact: 'no data found'."""
-    entities = tidy.select(entity_col).distinct()
-    concepts = dim.select(concept_col).distinct()
-    # One small dimension per entity; the pairs exist by definition of the
-    # report (entities x curated concepts), not a pairing of fact rows.
-    wanted = entities.join(F.broadcast(concepts), how="cross")
-    return wanted.join(tidy.select(entity_col, concept_col).distinct(),
-                       [entity_col, concept_col], "left_anti")
+    """(entity, concept) for every curated concept an entity has no fact for.
+
+    Per entity the set of concepts present (bounded by the curated list) is
+    subtracted from the fixed list; no entity x concept pairing is built.
+    """
+    wanted = F.array(*[F.lit(c) for c in concepts])
+    have = tidy.groupBy(entity_col).agg(F.collect_set(concept_col).alias("_have"))
+    return have.select(entity_col, F.explode(F.array_except(wanted, F.col("_have"))).alias(concept_col))
 
 
 def tag_fallback(facts: DataFrame, dim: DataFrame, entity_cols: Sequence[str],
@@ -76,13 +76,15 @@ def tag_fallback(facts: DataFrame, dim: DataFrame, entity_cols: Sequence[str],
                  priority_col: str = "priority") -> DataFrame:
     """Tag fallback on already-flat facts (A1).
 
-    ``dim`` is ``(concept, priority, tag)``, a small fixed map broadcast to
-    the scan. Per (entity, concept) the lowest priority with any row wins;
+    ``dim`` is ``(concept, priority, tag)``, normally the small curated map:
+    the planner broadcasts it when its measured size is under the broadcast
+    threshold (AQE re-checks at runtime), else shuffles. Per (entity,
+    concept) the lowest priority with any row wins;
     it is a partial aggregate joined back by a semi join (AQE splits a skewed
     entity's partition; no window holds one entity in one task).
     """
-    tagged = facts.join(F.broadcast(dim.select(
-        F.col(tag_col), F.col(concept_col), F.col(priority_col))), tag_col, "inner")
+    tagged = facts.join(dim.select(F.col(tag_col), F.col(concept_col), F.col(priority_col)),
+                        tag_col, "inner")
     keys = list(entity_cols) + [concept_col]
     chosen = tagged.groupBy(*keys).agg(F.min(priority_col).alias(priority_col))
     return tagged.join(chosen, keys + [priority_col], "left_semi")

@@ -23,21 +23,25 @@ from tallystone.schemas import DEFAULT_TOP_K
 
 # Upper bound for the broadcast query matrix (queries x dim x 8 bytes).
 MAX_QUERY_BYTES = 256 << 20
+MAX_QUERIES = 100_000
 DISTANCE_DIGITS = 6
 
 
 def _query_matrix(queries: DataFrame, qid_col: str, vec_col: str):
-    """Collect the (size-checked) query set: ids, unit-norm matrix."""
+    """Collect the query set once, bounded: at most MAX_QUERIES rows and
+    MAX_QUERY_BYTES of float64; returns ids and the unit-norm matrix."""
     spark = queries.sparkSession
-    n = queries.count()
-    first = queries.select(F.size(vec_col).alias("d")).first()
-    dim = int(first["d"]) if first else 0
-    if n * max(dim, 1) * 8 > MAX_QUERY_BYTES:
-        raise ValueError(f"query set of {n} x {dim} exceeds the broadcast bound; "
-                         "split it with search_in_batches()")
-    rows = queries.select(qid_col, vec_col).collect()
+    rows = queries.select(qid_col, vec_col).limit(MAX_QUERIES + 1).collect()
+    if len(rows) > MAX_QUERIES:
+        raise ValueError(f"more than {MAX_QUERIES} queries; search them in several calls")
+    dim = len(rows[0][1]) if rows and rows[0][1] is not None else 0
+    if len(rows) * max(dim, 1) * 8 > MAX_QUERY_BYTES:
+        raise ValueError(f"query matrix {len(rows)} x {dim} exceeds the broadcast bound")
     ids = [r[0] for r in rows]
-    m = np.array([np.asarray(r[1], dtype=np.float64) for r in rows], dtype=np.float64).reshape(len(rows), dim)
+    m = np.zeros((len(rows), dim), dtype=np.float64)
+    for i, r in enumerate(rows):
+        if r[1] is not None and len(r[1]) == dim:
+            m[i] = np.asarray(r[1], dtype=np.float64)
     norms = np.linalg.norm(m, axis=1)
     ok = norms > 0
     m[ok] = m[ok] / norms[ok][:, None]
@@ -84,7 +88,7 @@ def vector_search(items: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
         for pdf in batches:
             if pdf.empty:
                 continue
-            vecs = np.array([np.asarray(v, dtype=np.float64) for v in pdf["_v"]])
+            vecs = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["_v"]])
             if vecs.ndim != 2 or vecs.shape[1] != mat.shape[1]:
                 raise ValueError("vector width differs from the query width")
             n = np.linalg.norm(vecs, axis=1)

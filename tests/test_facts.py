@@ -36,10 +36,9 @@ def test_tag_fallback_fixture(spark):
     assert got[2] == [("B", "USD", 9.0)]           # empty USD does not fall to EUR
     assert got[3] == [("A", "EUR", 7.0)]           # first unit in document order
     assert 4 not in got
-    dim = spark.createDataFrame([("x",)], "concept string")
     unc = fo.uncovered_concepts(tidy.unionByName(
         spark.createDataFrame([(4, "Co4", "y")], "cik long, entityName string, concept string"),
-        allowMissingColumns=True), dim)
+        allowMissingColumns=True), ["x"])
     assert sorted((r.cik, r.concept) for r in unc.collect()) == [(4, "x")]
 
 
