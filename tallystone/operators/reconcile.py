@@ -15,22 +15,64 @@ from tallystone.schemas import CONCEPT_KEYWORDS, SNIPPET_AFTER, SNIPPET_BEFORE
 SCALES = [1.0, 1e3, 1e6, 1e9]
 
 
+# Every character Python's str.isspace accepts, for btrim (no regex).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
+MARK = "\uE000"
+
+
+def _literal_ci_pattern(keyword: Column | str) -> Column:
+    if isinstance(keyword, str):
+        return F.lit("(?iu)" + quote_literal_regex(keyword))
+    return F.concat(F.lit("(?iu)\\Q"), F.replace(keyword, F.lit("\\E"), F.lit("\\E\\\\E\\Q")),
+                    F.lit("\\E"))
+
+
+def _clean(s: Column) -> Column:
+    return F.btrim(F.translate(s, "\n", " "), F.lit(WS_CHARS))
+
+
 def keyword_matches(text: Column, keyword: Column | str, before: int = SNIPPET_BEFORE,
                     after: int = SNIPPET_AFTER) -> Column:
     """All non-overlapping case-insensitive literal matches of ``keyword``.
 
     Returns ``array<string>`` of snippets: up to ``before`` characters
-    before the match through ``after`` characters after it, newlines as
-    spaces, stripped. The text is split at the matches (original case kept)
-    and re-interleaved with the matched strings; every match adds at least
-    one character, so ``before``/``after`` characters are always inside the
-    next ``2*before`` / ``2*after`` pieces — O(matches) work per document.
+    before the match through ``after`` characters after it (original case),
+    newlines as spaces, stripped. One ``regexp_replace`` marks every match,
+    one ``split`` cuts the text so that piece i+1 starts with match i; a
+    snippet reads its own piece and, only when that is too short, its
+    neighbours — O(matches) work per document.
     """
-    if isinstance(keyword, str):
-        pat = F.lit("(?iu)" + quote_literal_regex(keyword))
-    else:
-        pat = F.concat(F.lit("(?iu)\\Q"), F.replace(keyword, F.lit("\\E"), F.lit("\\E\\\\E\\Q")),
-                       F.lit("\\E"))
+    pat = _literal_ci_pattern(keyword)
+    klen = F.length(F.lit(keyword)) if isinstance(keyword, str) else F.length(keyword)
+
+    def body(ps: Column) -> Column:
+        n = F.size(ps)
+
+        def snip(p: Column, i: Column) -> Column:
+            at = i + 2                                   # 1-based index of this piece
+            nxt = F.concat(p, F.coalesce(F.try_element_at(ps, at + 1), F.lit("")),
+                           F.coalesce(F.try_element_at(ps, at + 2), F.lit("")))
+            after_src = F.when((F.length(nxt) >= klen + after) | (at + 2 >= n), nxt) \
+                .otherwise(F.array_join(F.slice(ps, at, after + 1), ""))
+            prev = F.element_at(ps, at - 1)
+            lo = F.greatest(F.lit(1), at - 1 - before)
+            before_src = F.when((F.length(prev) >= before) | (at - 1 == 1), prev) \
+                .otherwise(F.array_join(F.slice(ps, lo, at - lo), ""))
+            pre = F.when(F.length(before_src) > 0, F.substring(before_src, -before, before)) \
+                .otherwise(F.lit(""))
+            return _clean(F.concat(pre, F.substring(after_src, 1, klen + after)))
+
+        return F.transform(F.slice(ps, 2, 1 << 30), snip)
+
+    fast = let(F.split(F.regexp_replace(text, pat, MARK + "$0"), MARK, -1), body)
+    return F.when(F.instr(text, MARK) == 0, fast).otherwise(
+        _keyword_matches_general(text, pat, before, after))
+
+
+def _keyword_matches_general(text: Column, pat: Column, before: int, after: int) -> Column:
+    """Same result for texts that contain the marker character: split at the
+    matches, keep the matched strings, interleave them."""
     ph = F.struct(F.split(text, pat, -1).alias("parts"),
                   F.regexp_extract_all(text, pat, 0).alias("hits"))
 
@@ -42,27 +84,13 @@ def keyword_matches(text: Column, keyword: Column | str, before: int = SNIPPET_B
     def snippets(v: Column) -> Column:
         inter, m = v["inter"], v["m"]
 
-        n_inter = F.size(inter)
-
-        def joined(lo: Column, n: Column) -> Column:
-            return F.array_join(F.slice(inter, lo, n), "")
-
         def snippet(j: Column) -> Column:
             at = 2 * j + 2                      # 1-based index of match j in ``inter``
-            # a few neighbouring pieces usually hold enough characters; the
-            # wide join (always sufficient) runs only when they do not
-            near_lo = F.greatest(F.lit(1), at - 4)
-            wide_lo = F.greatest(F.lit(1), at - 2 * before)
-            near_pre = joined(near_lo, at - near_lo)
-            pre_src = F.when((F.length(near_pre) >= before) | (near_lo == 1), near_pre) \
-                .otherwise(joined(wide_lo, at - wide_lo))
-            pre = F.when(at > 1, F.substring(pre_src, -before, before)).otherwise(F.lit(""))
-            near_post = joined(at + 1, F.lit(8))
-            post_src = F.when((F.length(near_post) >= after) | (at + 8 >= n_inter), near_post) \
-                .otherwise(joined(at + 1, F.lit(2 * after)))
-            post = F.substring(post_src, 1, after)
-            s = F.concat(pre, F.element_at(inter, at), post)
-            return F.regexp_replace(F.translate(s, "\n", " "), f"^[{WS}]+|[{WS}]+$", "")
+            lo = F.greatest(F.lit(1), at - 2 * before)
+            pre = F.substring(F.array_join(F.slice(inter, lo, at - lo), ""), -before, before)
+            pre = F.when(at - lo > 0, pre).otherwise(F.lit(""))
+            post = F.substring(F.array_join(F.slice(inter, at + 1, 2 * after), ""), 1, after)
+            return _clean(F.concat(pre, F.element_at(inter, at), post))
 
         idx = F.when(m > 0, F.sequence(F.lit(0), m - 1)).otherwise(F.array().cast("array<int>"))
         return F.transform(idx, snippet)

@@ -44,3 +44,13 @@ def test_golden_eval_and_claims(spark):
     claims = spark.createDataFrame([("k1", 10.001), ("k2", 5.0), ("k9", 1.0)], "k string, claimed_value double")
     v = {r.k: r.verdict for r in reconcile.verify_claims(claims, facts, ["k"]).collect()}
     assert v == {"k1": "verified", "k2": "mismatch", "k9": "no_fact"}
+
+
+def test_general_path_with_marker_char(spark):
+    from tallystone.operators.reconcile import MARK
+    text = "a" + MARK + "b Net income x net INCOME y"
+    docs = spark.createDataFrame([(1, text), (2, text.replace(MARK, "-"))], "doc_id long, text string")
+    got = {}
+    for r in reconcile.keyword_snippets(docs, [("n", 0, "net income")]).collect():
+        got.setdefault(r.doc_id, []).append(r.snippet.replace(MARK, "-"))
+    assert got[1] == got[2] and len(got[1]) == 2
