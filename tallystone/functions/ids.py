@@ -64,3 +64,11 @@ def parse_filename_cols(stem: Column, strict: bool = True) -> dict[str, Column]:
         "accession_number": F.when(ok, accession_dash(F.regexp_extract(stem, pat, 4))),
         "valid": ok,
     }
+
+
+def golden_record_id(ticker: Column, fiscal_year: Column, fiscal_period: Column,
+                     concept: Column) -> Column:
+    """``{TICKER}-{year}{period}-{concept}`` (P16); the ticker is upper-cased
+    first so ids compare the way the stored ticker is written."""
+    return F.concat(F.upper(ticker), F.lit("-"), fiscal_year.cast("string"), fiscal_period,
+                    F.lit("-"), concept)

@@ -90,3 +90,14 @@ def concept_coverage(facts: DataFrame, dim: DataFrame, concept_col: str = "conce
     if distinct_col:
         out = out.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)).cast("bigint"))
     return out.withColumn("covered", F.col("n_rows") > 0)
+
+
+def concept_list(facts: DataFrame, concept_col: str = "concept") -> DataFrame:
+    """Sorted distinct concepts."""
+    return facts.select(concept_col).distinct().orderBy(concept_col)
+
+
+def order_tidy(tidy: DataFrame) -> DataFrame:
+    """Readable order of a tidy fact table (O1): concept, end, filed date,
+    ascending with NULLs last."""
+    return tidy.orderBy(*[F.col(c).asc_nulls_last() for c in ("concept", "end", "filed_date")])

@@ -179,3 +179,15 @@ def check_same_model(chunks: DataFrame, model_id: str, model_col: str = "embed_m
               .limit(5).collect())
     if others:
         raise ValueError(f"chunks embedded with {[r[0] for r in others]}, query with {model_id}")
+
+
+def with_similarity(results: DataFrame, distance_col: str = "distance") -> DataFrame:
+    """(1 - cosine distance) x 100."""
+    return results.withColumn("similarity_pct", (F.lit(1.0) - F.col(distance_col)) * F.lit(100.0))
+
+
+def search_preview(results: DataFrame, section_col: str = "section", text_col: str = "chunk_text",
+                   section_chars: int = 60, text_chars: int = 300) -> DataFrame:
+    """Display columns (P14): section prefix, text prefix with newlines as spaces."""
+    return (results.withColumn("section_preview", F.substring(F.col(section_col), 1, section_chars))
+            .withColumn("text_preview", F.translate(F.substring(F.col(text_col), 1, text_chars), "\n", " ")))

@@ -15,7 +15,7 @@ from tallystone.operators import facts as facts_ops
 from tallystone.operators import tables
 from tallystone.plans.registry import register, table
 from tallystone.session import shared_dir
-from tallystone.sources import filings
+from tallystone.sources import filings, sinks
 
 
 def _ticker(col):
@@ -212,12 +212,11 @@ def _land_fact_files(spark, sf_dir):
         _form(F.col("o_orderstatus")).alias("form"),
         F.date_format(F.date_add(end, 30), "yyyy-MM-dd").alias("filed_date"),
         _accession(o).alias("accession_number"), F.lit(None).cast("string").alias("frame"))
-    tidy.write.mode("overwrite").partitionBy("ticker").option("header", "true").csv(f"{base}/csv")
     side = (c.filter(F.col("c_mktsegment") != "HOUSEHOLD").groupBy("c_mktsegment")
             .agg(F.min("o_custkey").alias("cik"))
             .select(_seg_ticker(F.col("c_mktsegment")).alias("ticker"), "cik",
                     F.col("c_mktsegment").alias("entityName")))
-    side.write.mode("overwrite").partitionBy("ticker").json(f"{base}/sidecars")
+    sinks.write_fact_files(tidy, side, base)
     return filings.load_fact_csvs(spark, f"{base}/csv", f"{base}/sidecars", layout="partitioned")
 
 
