@@ -177,3 +177,53 @@ def q_verify_claims(spark, sf_dir):
         F.col("o_orderkey") % 7 == 0, 1.0).otherwise(0.0)).alias("claimed_value"))
     facts = o.select("o_orderkey", F.col("o_totalprice").alias("value"))
     return reconcile.verify_claims(claims, facts, ["o_orderkey"])
+
+
+# --- reconcile_facts: every labelled document is a fact (accession = its id,
+# 18 digits dashed 10-2-6); concept "probe" when quality = 1, else the
+# unmapped concept "the_license" (searched as "the license"). The fact finds
+# its text through the accession inside the text file name (undashed, as
+# files are named), then its concept's keywords are searched.
+def _snippet_sql(src: str, id_col: str) -> str:
+    return f"""
+x AS (SELECT {id_col}, concept, kw_pos, keyword,
+             regexp_split_to_array(text, '(?i)\\Q' || keyword || '\\E') AS parts,
+             regexp_extract_all(text, '(?i)\\Q' || keyword || '\\E') AS hits
+      FROM {src}),
+y AS (SELECT {id_col}, concept, kw_pos, keyword, len(hits) AS m,
+             flatten(list_transform(parts, lambda p, i: CASE WHEN i <= len(hits)
+                                                          THEN [p, hits[i]] ELSE [p] END)) AS inter
+      FROM x),
+z AS (SELECT {id_col}, concept, kw_pos, keyword, inter, unnest(range(m)) AS j FROM y WHERE m > 0)
+SELECT {id_col}, concept, kw_pos::INT AS kw_pos, keyword, j::INT AS match_idx,
+  regexp_replace(replace(
+     right(array_to_string(inter[greatest(1, 2 * j + 2 - 40) : 2 * j + 1], ''), 20)
+     || inter[2 * j + 2]
+     || left(array_to_string(inter[2 * j + 3 : 2 * j + 2 + 400], ''), 200),
+     chr(10), ' '), {_STRIP}, '', 'g') AS snippet
+FROM z"""
+
+
+@register("reconcile_facts", sql=f"""
+WITH kw(concept, kw_pos, keyword) AS (VALUES {_KW_VALUES}),
+f AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'probe' ELSE 'the_license' END AS concept FROM labels),
+t AS (SELECT doc_id AS tdoc, text FROM documents),
+j AS (SELECT f.doc_id, f.concept, t.text FROM f JOIN t ON t.tdoc = f.doc_id),
+src AS (SELECT j.doc_id, j.concept, kw.kw_pos, kw.keyword, j.text FROM j JOIN kw USING (concept)
+        UNION ALL
+        SELECT doc_id, concept, 0, replace(concept, '_', ' '), text FROM j
+        WHERE concept NOT IN (SELECT concept FROM kw)),
+{_snippet_sql('src', 'doc_id')}
+""")
+def q_reconcile_facts(spark, sf_dir):
+    from tallystone.functions import ids
+    lab = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents")
+    nodash = F.lpad(F.col("doc_id").cast("string"), 18, "0")
+    facts = lab.select("doc_id", ids.accession_dash(nodash).alias("accession_number"),
+                       F.when(F.col("quality") == 1, "probe").otherwise("the_license").alias("concept"))
+    texts = docs.select(F.concat(F.upper("source"), F.lit("_10-K_2026-01-01_"), nodash,
+                                 F.lit(".txt")).alias("file_name"), "text")
+    joined = reconcile.match_text_files(facts, texts).filter(F.col("text").isNotNull())
+    return reconcile.keyword_snippets(joined, SNIPPET_KEYWORDS, id_cols=("doc_id",),
+                                      concept_col="concept")
