@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.functions import let
-from tallystone.functions.text import WS, quote_literal_regex
+from tallystone.functions.text import quote_literal_regex
 from tallystone.operators.partitioning import spread
 from tallystone.schemas import CONCEPT_KEYWORDS, SNIPPET_AFTER, SNIPPET_BEFORE
 

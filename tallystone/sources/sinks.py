@@ -7,7 +7,6 @@ file), so loads prune folders instead of scanning everything.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallystone.operators.facts import TIDY_COLS
 

@@ -1,6 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
 
 from tallystone.operators import facts as fo
 from tallystone.sources import filings

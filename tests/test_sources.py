@@ -2,7 +2,6 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from tallystone.sources import filings
 

@@ -1,6 +1,5 @@
 import tempfile
 
-from pyspark.sql import functions as F
 
 from tallystone.streaming.incremental import current_view, loads_in_log, run_incremental_load
 
