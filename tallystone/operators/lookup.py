@@ -62,14 +62,15 @@ def fact_history(facts: DataFrame, order: Sequence[str] = ("period_end",),
 
 def compare_concept(facts: DataFrame, requests: DataFrame, key_col: str = "ticker",
                     ord_col: str = "ord", order: Sequence[str | Column] = FACT_NEWEST,
-                    **filters) -> DataFrame:
+                    per: Sequence[str] = (), **filters) -> DataFrame:
     """Newest fact for each requested entity, in request order (A5).
 
     ``requests`` is ``(ord, key)``; repeated keys repeat, unknown keys drop.
-    One join of the request list with the per-entity newest facts replaces
-    the reference's per-ticker round trips.
+    ``per`` adds grouping columns (e.g. the concept, to compare every concept
+    at once). One join of the request list with the per-entity newest facts
+    replaces the reference's per-ticker round trips.
     """
-    newest = latest_by_key(filter_facts(facts, **filters), [key_col], order)
+    newest = latest_by_key(filter_facts(facts, **filters), [key_col, *per], order)
     return (requests.select(ord_col, key_col).join(newest, key_col, "inner")
             .orderBy(ord_col))
 

@@ -13,7 +13,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     the plan has fewer partitions than the cluster's parallelism is the input
     redistributed round-robin; on a large input this is a no-op.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
+        return df
+    if current < target:
         return df.repartition(target)
     return df

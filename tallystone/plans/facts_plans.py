@@ -40,23 +40,23 @@ def q_latest_fact(spark, sf_dir):
                               order=["o_orderdate", "o_orderkey"])
 
 
-# --- fact_history: orders of one concept (priority 1-URGENT) for every
-# customer, oldest first; NULL dates last.
+# --- fact_history: every (customer, priority) series of orders, oldest first;
+# NULL dates last.
 @register("fact_history", sql="""
 SELECT o_custkey, o_orderpriority, o_orderdate, o_orderkey, o_totalprice, o_orderstatus
-FROM orders WHERE o_orderpriority = '1-URGENT'
+FROM orders
 """)
 def q_fact_history(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    h = lookup.fact_history(o, order=["o_orderdate", "o_orderkey"], series=["o_custkey"],
-                            concept="1-URGENT", concept_col="o_orderpriority")
+    h = lookup.fact_history(o, order=["o_orderdate", "o_orderkey"],
+                            series=["o_custkey", "o_orderpriority"])
     return h.select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey",
                     "o_totalprice", "o_orderstatus")
 
 
 # --- compare_concept: every customer is requested (ord = 2 * custkey), the
 # BUILDING segment a second time (ord = 2 * custkey + 1); customers without
-# orders drop out. Newest 1-URGENT order per requested customer.
+# orders drop out. Newest order per requested customer and priority.
 def _requests(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     first = c.select((F.col("c_custkey") * 2).alias("ord"), F.col("c_custkey").alias("o_custkey"))
@@ -71,16 +71,15 @@ WITH req AS (
   UNION ALL
   SELECT c_custkey * 2 + 1, c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'),
 newest AS (
-  SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'
-  QUALIFY row_number() OVER (PARTITION BY o_custkey
+  SELECT * FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderpriority
     ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1)
 SELECT req.ord, newest.* FROM req JOIN newest USING (o_custkey)
 """)
 def q_compare_concept(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return lookup.compare_concept(o, _requests(spark, sf_dir), key_col="o_custkey",
-                                  order=["o_orderdate", "o_orderkey"], concept="1-URGENT",
-                                  concept_col="o_orderpriority")
+                                  order=["o_orderdate", "o_orderkey"], per=["o_orderpriority"])
 
 
 # --- concept_coverage: events per event type of a curated type list that
@@ -103,13 +102,14 @@ def q_concept_coverage(spark, sf_dir):
     return lookup.concept_coverage(ev, dim, concept_col="event_type", distinct_col="user_id")
 
 
-# --- tag_fallback: orders; the "tag" is o_orderpriority with candidates
-# [1-URGENT, 2-HIGH] for one concept; entity o_custkey.
-FALLBACK_TAGS = ["1-URGENT", "2-HIGH"]
+# --- tag_fallback: orders; the "tag" is o_orderpriority, all five in
+# priority order as candidates of one concept; entity o_custkey.
+FALLBACK_TAGS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 @register("tag_fallback", sql="""
-WITH d(o_orderpriority, concept, priority) AS (VALUES ('1-URGENT', 'c', 0), ('2-HIGH', 'c', 1)),
+WITH d(o_orderpriority, concept, priority) AS (VALUES ('1-URGENT', 'c', 0), ('2-HIGH', 'c', 1),
+  ('3-MEDIUM', 'c', 2), ('4-NOT SPECIFIED', 'c', 3), ('5-LOW', 'c', 4)),
 f AS (SELECT o.*, d.concept, d.priority FROM orders o JOIN d USING (o_orderpriority))
 SELECT * FROM f QUALIFY priority = min(priority) OVER (PARTITION BY o_custkey, concept)
 """)
