@@ -2,8 +2,8 @@
 
 Spark SQL has no vector type or cosine function; vectors are
 ``ARRAY<FLOAT>`` columns. Search is an exact scan: every partition turns
-each Arrow batch of item vectors into one dense (queries x items) distance
-matrix with numpy and emits only that batch's best ``k`` per query, so the
+each Arrow batch of item vectors (its flat value buffer, reshaped) into one
+dense (queries x items) distance matrix with numpy and emits only that batch's best ``k`` per query, so the
 item x query pairs are never rows. A final ``row_number() <= k`` per query
 (partial ``WindowGroupLimit`` before its shuffle) merges the candidates.
 """
@@ -83,23 +83,31 @@ def vector_search(items: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
     out_schema = T.StructType([T.StructField(qid_col, qid_type)] + fields +
                               [T.StructField("distance", T.DoubleType())])
 
+    from pyspark.sql.pandas.types import to_arrow_type
+    qid_arrow = to_arrow_type(qid_type)
+
     def topk(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
         ids_q, mat, ok = bq.value
-        for pdf in batches:
-            if pdf.empty:
+        dim = mat.shape[1]
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            vecs = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["_v"]])
-            if vecs.ndim != 2 or vecs.shape[1] != mat.shape[1]:
+            col = rb.column("_v")
+            lens = pc.list_value_length(col).to_numpy(zero_copy_only=False)
+            if (lens != dim).any():
                 raise ValueError("vector width differs from the query width")
+            # the list values are one flat buffer: reshape, no per-row Python
+            vecs = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
             n = np.linalg.norm(vecs, axis=1)
-            good = n > 0
-            if not good.any():
+            good = np.nonzero(n > 0)[0]
+            if len(good) == 0:
                 continue
-            sub = pdf.loc[good].reset_index(drop=True)
             unit = vecs[good] / n[good][:, None]
             dist = np.round(1.0 - mat @ unit.T, DISTANCE_DIGITS)      # (Q, B)
-            idv = sub[id_col].to_numpy()
-            parts = []
+            idv = rb.column(id_col).to_numpy(zero_copy_only=False)[good]
+            take, qs, ds = [], [], []
             for qi, qid in enumerate(ids_q):
                 if not ok[qi]:
                     continue
@@ -109,16 +117,18 @@ def vector_search(items: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
                     cand = np.nonzero(d <= cut)[0]          # keeps every tie at the cut
                 else:
                     cand = np.arange(len(d))
-                order = np.lexsort((idv[cand], d[cand]))[:k]
-                sel = cand[order]
-                part = sub.iloc[sel][keep_cols].copy()
-                part.insert(0, qid_col, qid)
-                part["distance"] = d[sel]
-                parts.append(part)
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
-
-    cand = src.mapInPandas(topk, out_schema)
+                sel = cand[np.lexsort((idv[cand], d[cand]))[:k]]
+                take.append(good[sel])
+                qs.extend([qid] * len(sel))
+                ds.append(d[sel])
+            if not take:
+                continue
+            rows = rb.take(pa.array(np.concatenate(take)))
+            arrays = [pa.array(qs, type=qid_arrow)] + [rows.column(c) for c in keep_cols] + \
+                [pa.array(np.concatenate(ds), type=pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[qid_col, *keep_cols, "distance"])
+
+    cand = src.mapInArrow(topk, out_schema)
     w = Window.partitionBy(qid_col).orderBy(F.col("distance").asc(), F.col(id_col).asc())
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select(qid_col, "rank", *keep_cols, "distance"))
