@@ -20,10 +20,11 @@ from tallystone.schemas import (COMPANY_FACTS, DIRECTORY, FACT_CSV, GOLDEN_FILE,
 
 def read_whole_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """(file_name, file_path, modified, value): one row per file."""
-    r = spark.read.option("wholetext", "true")
+    r = spark.read
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.text(path).select(F.col("_metadata.file_name").alias("file_name"),
+    # ``text()`` applies its own keyword defaults, so wholetext goes here
+    return r.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"),
                                F.col("_metadata.file_path").alias("file_path"),
                                F.col("_metadata.file_modification_time").alias("modified"),
                                "value")
@@ -177,7 +178,8 @@ def load_fact_csvs(spark: SparkSession, csv_dir: str, sidecar_dir: str,
         raise ValueError("layout must be 'files' or 'partitioned'")
     csv_reader = spark.read.schema(FACT_CSV).option("header", "true")
     side_reader = spark.read.schema(SIDECAR)
-    text_reader = spark.read
+    # file listing only: binaryFile prunes the unread ``content`` column
+    text_reader = spark.read.format("binaryFile")
     if layout == "files":
         csv_reader = csv_reader.option("pathGlobFilter", csv_glob).option("recursiveFileLookup", "true")
         side_reader = side_reader.option("multiLine", "true").option("pathGlobFilter", sidecar_glob) \
@@ -198,7 +200,9 @@ def load_fact_csvs(spark: SparkSession, csv_dir: str, sidecar_dir: str,
     loaded = (facts.join(side, "ticker", "inner")
               .withColumn("company_name", F.coalesce("entityName", "ticker"))
               .withColumn("load_seq", F.lit(load_seq)))
-    units = text_reader.text(csv_dir).select(csv_t.alias("ticker")).distinct()
+    if layout == "partitioned":
+        text_reader = text_reader.option("pathGlobFilter", "*.csv")
+    units = text_reader.load(csv_dir).select(csv_t.alias("ticker")).distinct()
     counts = facts.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"))
     n = F.coalesce("n_rows", F.lit(0)).cast("bigint")
     report = (units.join(counts, "ticker", "left").join(side.select("ticker", "cik"), "ticker", "left")
@@ -274,3 +278,32 @@ def read_watch_list(spark: SparkSession, path: str) -> DataFrame:
     return (lines.filter(~F.col("value").startswith("#"))
             .select(F.upper(F.trim("value")).alias("ticker"))
             .filter(F.col("ticker") != ""))
+
+
+# --- S8: parsed-table CSV files --------------------------------------------------------
+# A comma outside double quotes (an even number of quotes follows it).
+_CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def read_table_csvs(spark: SparkSession, path: str, glob: str = "*.csv",
+                    header: bool = True) -> DataFrame:
+    """Ragged table CSVs as long cells: file_name, table_idx, row_idx, col_idx, cell.
+
+    A file is read whole (rows keep their order), split into lines, and each
+    line on commas outside quotes; quotes are removed and doubled quotes
+    unescaped. The header line (column numbers) is skipped. ``table_idx``
+    comes from a ``_table_N`` suffix of the file name (else 0); a file that
+    cannot be split yields no cells and shows up as missing in the profile.
+    """
+    files = read_whole_files(spark, path, glob)
+    lines = files.select("file_name", F.posexplode(F.split(
+        F.regexp_replace("value", "(\r?\n)+$", ""), "\r?\n", -1)).alias("line_no", "line"))
+    if header:
+        lines = lines.filter(F.col("line_no") > 0).withColumn("line_no", F.col("line_no") - 1)
+    cells = lines.select("file_name", F.col("line_no").alias("row_idx"),
+                         F.posexplode(F.split("line", _CSV_SPLIT, -1)).alias("col_idx", "raw"))
+    unq = F.regexp_replace(F.regexp_replace(F.col("raw"), r'^"(.*)"$', "$1"), '""', '"')
+    tidx = F.regexp_extract("file_name", r"_table_(\d+)\.csv$", 1)
+    return cells.select("file_name", F.when(tidx != "", tidx.cast("int")).otherwise(0).alias("table_idx"),
+                        F.col("row_idx").cast("int").alias("row_idx"),
+                        F.col("col_idx").cast("int").alias("col_idx"), unq.alias("cell"))

@@ -78,9 +78,11 @@ def test_concept_list_and_writers_roundtrip(spark):
 
 def test_read_html_by_ticker_and_newest(spark):
     base = tempfile.mkdtemp(prefix="tallystone-html-")
-    for name, body in [("AAPL_10-Q_2026-05-01_1.html", "<p>a</p>"), ("MSFT_10-Q_2026-04-29_2.html", "<p>m</p>")]:
+    for name, body in [("AAPL_10-Q_2026-05-01_1.html", "<p>a</p>\n<p>b</p>\n"),
+                       ("MSFT_10-Q_2026-04-29_2.html", "<p>m</p>")]:
         with open(os.path.join(base, name), "w") as f:
             f.write(body)
     os.utime(os.path.join(base, "AAPL_10-Q_2026-05-01_1.html"), (1, 1))
-    assert [r.stem for r in filings.read_html(spark, base, ticker="aapl").collect()] == ["AAPL_10-Q_2026-05-01_1"]
+    rows = filings.read_html(spark, base, ticker="aapl").collect()
+    assert [(r.stem, r.html) for r in rows] == [("AAPL_10-Q_2026-05-01_1", "<p>a</p>\n<p>b</p>\n")]
     assert [r.stem for r in filings.read_html(spark, base, newest_only=True).collect()] == ["MSFT_10-Q_2026-04-29_2"]

@@ -23,3 +23,24 @@ def test_html_tables_dataframe(spark):
     assert rows == [(1, 0, 0, 0, "$", None), (1, 0, 0, 1, "2000", 2000.0)]
     prof = tables.table_profile(tables.html_tables(df)).first()
     assert (prof.n_rows, prof.n_cols, prof.n_cells, prof.n_numeric) == (1, 2, 2, 1)
+
+
+def test_table_csv_source_and_profile(spark):
+    import os
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from tallystone.operators.tables import cell_number
+    from tallystone.sources import filings
+
+    base = tempfile.mkdtemp(prefix="tallystone-csv-")
+    with open(os.path.join(base, "AAPL_10-Q_2026-05-01_1_table_4.csv"), "w") as f:
+        f.write('0,1,2\nNet sales,$,111184\nOther,"(1,717)",\n"say ""hi""",x\n')
+    cells = filings.read_table_csvs(spark, base)
+    got = {(r.row_idx, r.col_idx): r.cell for r in cells.collect()}
+    assert got[(0, 2)] == "111184" and got[(1, 1)] == "(1,717)" and got[(2, 0)] == 'say "hi"'
+    assert {r.table_idx for r in cells.collect()} == {4}
+    num = F.udf(cell_number, "double")
+    prof = tables.table_profile(cells.withColumn("num", num("cell")), id_cols=("file_name",)).first()
+    assert (prof.n_rows, prof.n_cols, prof.n_cells, prof.n_numeric) == (3, 3, 8, 2)
