@@ -32,3 +32,36 @@ def q_incremental_load(spark, sf_dir):
     cur = current_view(spark, log, ["user_id", "event_type"], order=["ts", "event_id"])
     return cur.select("user_id", "event_type", "event_id", "ts", "value", "props",
                       F.col("load_seq").cast("int").alias("load_seq"))
+
+
+# --- incremental_chunks: every document lands as text, then the English
+# documents land again amended (" Amendment No. 1." appended); each drop is
+# one availableNow run of the chunk pipeline, and the amended documents'
+# chunks replace their earlier ones. No document has an "Item N." header, so
+# each is one "Full Document" section cut into 500/50 windows.
+@register("incremental_chunks", sql="""
+WITH v AS (SELECT doc_id, CASE WHEN lang = 'en' THEN text || ' Amendment No. 1.' ELSE text END AS text,
+                  CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS load_seq FROM documents),
+t AS (SELECT doc_id, load_seq, list_filter(regexp_split_to_array(text, '[\\t\\n\\x{0B}\\f\\r \\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'), lambda x: x <> '') AS toks FROM v),
+w AS (SELECT *, CASE WHEN len(toks) = 0 THEN 0
+                     ELSE greatest(0, ceil((len(toks) - 500) / 450.0))::BIGINT + 1 END AS nwin FROM t),
+i AS (SELECT doc_id, load_seq, toks, unnest(range(nwin)) AS wi FROM w)
+SELECT doc_id, wi::INT AS chunk_index, 'Full Document' AS section,
+       array_to_string(toks[wi * 450 + 1 : wi * 450 + 500], ' ') AS chunk_text,
+       len(toks[wi * 450 + 1 : wi * 450 + 500])::INT AS n_tokens, load_seq
+FROM i
+""")
+def q_incremental_chunks(spark, sf_dir):
+    from tallystone.streaming.incremental import current_chunks, run_incremental_chunks
+    base = shared_dir(spark, "incremental-chunks")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    landing, log, ckpt = f"{base}/landing", f"{base}/log", f"{base}/checkpoint"
+    docs.write.mode("overwrite").parquet(f"{landing}/drop=0")
+    run_incremental_chunks(spark, landing, log, ckpt, docs.schema, ["doc_id"], timeout_s=900)
+    amended = docs.filter(F.col("lang") == "en").withColumn(
+        "text", F.concat("text", F.lit(" Amendment No. 1.")))
+    amended.write.mode("overwrite").parquet(f"{landing}/drop=1")
+    run_incremental_chunks(spark, landing, log, ckpt, docs.schema, ["doc_id"], timeout_s=900)
+    cur = current_chunks(spark, log, "doc_id")
+    return cur.select("doc_id", "chunk_index", "section", "chunk_text", "n_tokens",
+                      F.col("load_seq").cast("int").alias("load_seq"))

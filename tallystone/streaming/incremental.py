@@ -50,3 +50,41 @@ def current_view(spark: SparkSession, log_dir: str, keys: Sequence[str],
 def loads_in_log(spark: SparkSession, log_dir: str) -> DataFrame:
     """Rows per load (one row per load; a run with nothing new adds none)."""
     return read_log(spark, log_dir).groupBy("load_seq").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def run_incremental_chunks(spark: SparkSession, landing_dir: str, log_dir: str,
+                           checkpoint_dir: str, schema: T.StructType, id_cols: Sequence[str],
+                           text_col: str = "text", fmt: str = "parquet", size: int = 500,
+                           overlap: int = 50, min_tokens: int = 40, embed_dim: int | None = None,
+                           timeout_s: float | None = None) -> None:
+    """One ``availableNow`` run of the chunk pipeline over newly landed texts.
+
+    Every micro-batch is split into sections, merged, windowed (and embedded
+    when ``embed_dim`` is given) and written as its own log load; documents
+    landed again later (an amended filing) get a newer load.
+    """
+    from tallystone.operators.chunks import build_chunks
+    from tallystone.operators.vectors import embed_chunks
+
+    stream = spark.readStream.schema(schema).format(fmt).load(landing_dir)
+
+    def append(batch: DataFrame, epoch_id: int) -> None:
+        ch = build_chunks(batch, text_col, tuple(id_cols), size, overlap, min_tokens)
+        if embed_dim:
+            ch = embed_chunks(ch, dim=embed_dim)
+        ch.write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/load_seq={int(epoch_id)}")
+
+    q = (stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint_dir)
+         .trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("incremental chunk load did not finish in time")
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def current_chunks(spark: SparkSession, log_dir: str, doc_col: str) -> DataFrame:
+    """Chunks of each document's newest load (a re-chunk leaves no stale tail)."""
+    from tallystone.operators.store import upsert_chunks
+    return upsert_chunks(read_log(spark, log_dir), doc_col=doc_col)
