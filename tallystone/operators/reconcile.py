@@ -36,12 +36,14 @@ def keyword_matches(text: Column, keyword: Column | str, before: int = SNIPPET_B
                     after: int = SNIPPET_AFTER) -> Column:
     """All non-overlapping case-insensitive literal matches of ``keyword``.
 
-    Returns ``array<string>`` of snippets: up to ``before`` characters
-    before the match through ``after`` characters after it (original case),
-    newlines as spaces, stripped. One ``regexp_replace`` marks every match,
-    one ``split`` cuts the text so that piece i+1 starts with match i; a
-    snippet reads its own piece and, only when that is too short, its
-    neighbours — O(matches) work per document.
+    Returns ``array<struct<pre, post>>``: for each match, at least ``before``
+    characters of text before it (or all there is) and at least
+    ``len(keyword) + after`` characters from its start (or all there is).
+    ``snippet_of`` turns one element into the snippet. One ``regexp_replace``
+    marks every match and one ``split`` cuts the text so that piece i+1
+    starts with match i; each match reads its own and neighbouring pieces,
+    and joins a wider range only when those are too short — O(matches) work
+    per document, and the per-match lambda stays a few array lookups.
     """
     pat = _literal_ci_pattern(keyword)
     klen = F.length(F.lit(keyword)) if isinstance(keyword, str) else F.length(keyword)
@@ -49,30 +51,36 @@ def keyword_matches(text: Column, keyword: Column | str, before: int = SNIPPET_B
     def body(ps: Column) -> Column:
         n = F.size(ps)
 
-        def snip(p: Column, i: Column) -> Column:
+        def parts(p: Column, i: Column) -> Column:
             at = i + 2                                   # 1-based index of this piece
-            nxt = F.concat(p, F.coalesce(F.try_element_at(ps, at + 1), F.lit("")),
-                           F.coalesce(F.try_element_at(ps, at + 2), F.lit("")))
-            after_src = F.when((F.length(nxt) >= klen + after) | (at + 2 >= n), nxt) \
-                .otherwise(F.array_join(F.slice(ps, at, after + 1), ""))
+            near = F.concat(p, *[F.coalesce(F.try_element_at(ps, at + d), F.lit("")) for d in range(1, 6)])
+            post = let(near, lambda v: F.when((F.length(v) >= klen + after) | (at + 5 >= n), v)
+                       .otherwise(F.concat(v, F.array_join(F.slice(ps, at + 6, after), ""))))
             prev = F.element_at(ps, at - 1)
             lo = F.greatest(F.lit(1), at - 1 - before)
-            before_src = F.when((F.length(prev) >= before) | (at - 1 == 1), prev) \
+            pre = F.when((F.length(prev) >= before) | (at - 1 == 1), prev) \
                 .otherwise(F.array_join(F.slice(ps, lo, at - lo), ""))
-            pre = F.when(F.length(before_src) > 0, F.substring(before_src, -before, before)) \
-                .otherwise(F.lit(""))
-            return _clean(F.concat(pre, F.substring(after_src, 1, klen + after)))
+            return F.struct(pre.alias("pre"), post.alias("post"))
 
-        return F.transform(F.slice(ps, 2, 1 << 30), snip)
+        return F.transform(F.slice(ps, 2, 1 << 30), parts)
 
     fast = let(F.split(F.regexp_replace(text, pat, MARK + "$0"), MARK, -1), body)
     return F.when(F.instr(text, MARK) == 0, fast).otherwise(
         _keyword_matches_general(text, pat, before, after))
 
 
+def snippet_of(m: Column, keyword: Column | str, before: int = SNIPPET_BEFORE,
+               after: int = SNIPPET_AFTER) -> Column:
+    """Snippet from a ``keyword_matches`` element: ``before`` characters,
+    the match and ``after`` characters; newlines as spaces; stripped."""
+    klen = F.length(F.lit(keyword)) if isinstance(keyword, str) else F.length(keyword)
+    return _clean(F.concat(F.substring(m["pre"], -before, before),
+                           F.substring(m["post"], F.lit(1), klen + after)))
+
+
 def _keyword_matches_general(text: Column, pat: Column, before: int, after: int) -> Column:
-    """Same result for texts that contain the marker character: split at the
-    matches, keep the matched strings, interleave them."""
+    """Same elements for texts that contain the marker character: split at
+    the matches, keep the matched strings, interleave them."""
     ph = F.struct(F.split(text, pat, -1).alias("parts"),
                   F.regexp_extract_all(text, pat, 0).alias("hits"))
 
@@ -81,21 +89,21 @@ def _keyword_matches_general(text: Column, pat: Column, before: int, after: int)
         return F.struct(m.alias("m"), F.flatten(F.transform(v["parts"], lambda p, i: F.when(
             i < m, F.array(p, F.element_at(v["hits"], i + 1))).otherwise(F.array(p)))).alias("inter"))
 
-    def snippets(v: Column) -> Column:
+    def elements(v: Column) -> Column:
         inter, m = v["inter"], v["m"]
 
-        def snippet(j: Column) -> Column:
+        def element(j: Column) -> Column:
             at = 2 * j + 2                      # 1-based index of match j in ``inter``
             lo = F.greatest(F.lit(1), at - 2 * before)
-            pre = F.substring(F.array_join(F.slice(inter, lo, at - lo), ""), -before, before)
+            pre = F.array_join(F.slice(inter, lo, at - lo), "")
             pre = F.when(at - lo > 0, pre).otherwise(F.lit(""))
-            post = F.substring(F.array_join(F.slice(inter, at + 1, 2 * after), ""), 1, after)
-            return _clean(F.concat(pre, F.element_at(inter, at), post))
+            post = F.array_join(F.slice(inter, at, 2 * after + 1), "")
+            return F.struct(pre.alias("pre"), post.alias("post"))
 
         idx = F.when(m > 0, F.sequence(F.lit(0), m - 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(idx, snippet)
+        return F.transform(idx, element)
 
-    return let(let(ph, interleave), snippets)
+    return let(let(ph, interleave), elements)
 
 
 def _kw_struct(concept, pos, kw) -> Column:
@@ -128,11 +136,13 @@ def keyword_snippets(docs: DataFrame, keywords: Sequence[tuple[str, int, str]],
         k["concept"].alias("concept"), k["kw_pos"].alias("kw_pos"), k["keyword"].alias("keyword"),
         F.when(F.instr(F.col("_lt"), F.lower(k["keyword"])) > 0,
                keyword_matches(F.col(text_col), k["keyword"]))
-        .otherwise(F.array().cast("array<string>")).alias("snips")))))
+        .otherwise(F.array().cast("array<struct<pre:string,post:string>>")).alias("snips")))))
     return (found.filter(F.col("snips").isNotNull())
             .select(*id_cols, "concept", "kw_pos", "keyword",
-                    F.posexplode_outer("snips").alias("match_idx", "snippet"))
-            .filter(F.col("match_idx").isNotNull()))
+                    F.posexplode_outer("snips").alias("match_idx", "m"))
+            .filter(F.col("match_idx").isNotNull())
+            .select(*id_cols, "concept", "kw_pos", "keyword", "match_idx",
+                    snippet_of(F.col("m"), F.col("keyword")).alias("snippet")))
 
 
 def concept_keyword_list(concept_keywords: dict | None = None) -> list[tuple[str, int, str]]:
