@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.functions import let
-from tallystone.functions.text import quote_literal_regex
+from tallystone.functions.text import WS_RUN, quote_literal_regex
 from tallystone.operators.partitioning import spread
 from tallystone.schemas import CONCEPT_KEYWORDS, SNIPPET_AFTER, SNIPPET_BEFORE
 
@@ -113,7 +113,7 @@ def _kw_struct(concept, pos, kw) -> Column:
 
 def keyword_snippets(docs: DataFrame, keywords: Sequence[tuple[str, int, str]],
                      text_col: str = "text", id_cols: Sequence[str] = ("doc_id",),
-                     concept_col: str | None = None) -> DataFrame:
+                     concept_col: str | None = None, normalize_ws: bool = False) -> DataFrame:
     """Snippets of keywords in documents.
 
     ``keywords`` is the small fixed (concept, kw_pos, keyword) list, inlined
@@ -121,9 +121,15 @@ def keyword_snippets(docs: DataFrame, keywords: Sequence[tuple[str, int, str]],
     document; with it, only the keywords of each row's own concept, and a
     concept without keywords searches its own name with underscores as
     spaces. Output: ids, concept, kw_pos, keyword, match_idx, snippet.
+    ``normalize_ws`` collapses every whitespace run (line breaks included) to
+    one space first, so a phrase split over lines by inline markup (one text
+    node per line) is still found.
     """
     kws = list(keywords)
-    df = spread(docs).withColumn("_lt", F.lower(F.col(text_col)))
+    df = spread(docs)
+    if normalize_ws:
+        df = df.withColumn(text_col, F.regexp_replace(F.col(text_col), WS_RUN, " "))
+    df = df.withColumn("_lt", F.lower(F.col(text_col)))
     all_kw = F.array(*[_kw_struct(c, p, k) for c, p, k in kws])
     if concept_col is None:
         row_kw = all_kw

@@ -53,3 +53,11 @@ def test_general_path_with_marker_char(spark):
     for r in reconcile.keyword_snippets(docs, [("n", 0, "net income")]).collect():
         got.setdefault(r.doc_id, []).append(r.snippet.replace(MARK, "-"))
     assert got[1] == got[2] and len(got[1]) == 2
+
+
+def test_normalize_ws_finds_split_phrases(spark):
+    docs = spark.createDataFrame([(1, "Total net\nsales 10")], "doc_id long, text string")
+    kws = [("revenue", 0, "net sales")]
+    assert reconcile.keyword_snippets(docs, kws).count() == 0
+    r = reconcile.keyword_snippets(docs, kws, normalize_ws=True).collect()
+    assert [x.snippet for x in r] == ["Total net sales 10"]
