@@ -93,18 +93,20 @@ def tag_fallback(facts: DataFrame, dim: DataFrame, entity_cols: Sequence[str],
 def derived_ratio(facts: DataFrame, keys: Sequence[str], numerator: str = "gross_profit",
                   denominator: str = "revenue", concept_col: str = "concept",
                   value_col: str = "value", scale: float = 100.0, digits: int = 2,
-                  out_col: str = "ratio") -> DataFrame:
+                  out_col: str = "ratio", carry: Sequence[str] = ()) -> DataFrame:
     """numerator / denominator x scale per key, both sides required.
 
     One shuffle: a conditional aggregate over the two concepts instead of a
     self join, so N rows on one side and M on the other never become N x M
     pairs. Several rows of one side under one key are summed. A zero
-    denominator gives NULL (no inf, no error).
+    denominator gives NULL (no inf, no error). ``carry`` columns keep their
+    greatest non-NULL value over the key's rows.
     """
     c, v = F.col(concept_col), F.col(value_col)
     g = (facts.filter(c.isin(numerator, denominator))
          .groupBy(*keys)
-         .agg(F.sum(F.when(c == numerator, v)).alias("num_value"),
+         .agg(*[F.max(x).alias(x) for x in carry],
+              F.sum(F.when(c == numerator, v)).alias("num_value"),
               F.sum(F.when(c == denominator, v)).alias("den_value"),
               F.count(F.when(c == numerator, 1)).alias("_n"),
               F.count(F.when(c == denominator, 1)).alias("_d"))
@@ -114,26 +116,33 @@ def derived_ratio(facts: DataFrame, keys: Sequence[str], numerator: str = "gross
                                          * F.lit(scale), digits))
 
 
-def gross_margin(facts: DataFrame, entity_cols: Sequence[str] = ("cik",)) -> DataFrame:
+def gross_margin(facts: DataFrame, entity_cols: Sequence[str] = ("cik",),
+                 inherit_period: bool = False) -> DataFrame:
     """Derived ``gross_margin_pct`` fact rows, one per filing period.
 
     The key includes ``start`` (strict): a 3-month and a year-to-date value
     ending the same day stay apart instead of being paired crosswise.
+    Fiscal year and period are NULL as in the reference, or, with
+    ``inherit_period``, taken from the filing's own rows (T8).
     """
     keys = list(entity_cols) + ["start", "end", "form", "accession_number"]
-    r = derived_ratio(facts, keys, out_col="value")
+    carry = ["fiscal_year", "fiscal_period"] if inherit_period else []
+    r = derived_ratio(facts, keys, out_col="value", carry=carry)
+    fy = F.col("fiscal_year").cast("int") if inherit_period else F.lit(None).cast("int")
+    fp = F.col("fiscal_period") if inherit_period else F.lit(None).cast("string")
     return r.select(*entity_cols, F.lit(DERIVED_CONCEPT).alias("concept"),
                     F.lit(DERIVED_TAG).alias("tag_used"), "value",
                     F.lit(DERIVED_UNIT).alias("unit"), "start", "end",
-                    F.lit(None).cast("int").alias("fiscal_year"),
-                    F.lit(None).cast("string").alias("fiscal_period"), "form",
+                    fy.alias("fiscal_year"), fp.alias("fiscal_period"), "form",
                     F.lit(None).cast("string").alias("filed_date"), "accession_number",
                     F.lit(None).cast("string").alias("frame"))
 
 
-def with_derived(facts: DataFrame, entity_cols: Sequence[str] = ("cik",)) -> DataFrame:
+def with_derived(facts: DataFrame, entity_cols: Sequence[str] = ("cik",),
+                 inherit_period: bool = False) -> DataFrame:
     """Facts plus their derived rows, appended once."""
-    return facts.unionByName(gross_margin(facts, entity_cols), allowMissingColumns=True)
+    return facts.unionByName(gross_margin(facts, entity_cols, inherit_period),
+                             allowMissingColumns=True)
 
 
 def duration_bucket(start: Column, end: Column) -> Column:

@@ -67,3 +67,14 @@ def test_yoy_growth_needs_exact_previous_year(spark):
                                "s string, year int, v double")
     got = {r.year: r.growth_pct for r in fo.yoy_growth(df, ["s"], "year", "v").collect()}
     assert got == {2020: None, 2021: 10.0, 2023: None}
+
+
+def test_gross_margin_inherits_period(spark):
+    rows = [("c", "revenue", "2026-01-01", "2026-03-28", "10-Q", "a", 100.0, 2026, "Q2"),
+            ("c", "gross_profit", "2026-01-01", "2026-03-28", "10-Q", "a", 40.0, 2026, "Q2")]
+    df = spark.createDataFrame(rows, "cik string, concept string, start string, end string, form string, "
+                                     "accession_number string, value double, fiscal_year int, fiscal_period string")
+    plain = fo.gross_margin(df).first()
+    assert (plain.fiscal_year, plain.fiscal_period) == (None, None)
+    inh = fo.gross_margin(df, inherit_period=True).first()
+    assert (inh.value, inh.fiscal_year, inh.fiscal_period) == (40.0, 2026, "Q2")
