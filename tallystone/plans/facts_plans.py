@@ -124,7 +124,7 @@ def q_tag_fallback(spark, sf_dir):
 # --- derived_ratio: events per (user, day): purchase value over view value
 # x 100, 2 places; both sides required, a zero view total gives NULL.
 @register("derived_ratio", sql="""
-SELECT user_id, day, num_value, den_value,
+SELECT user_id, day, round(num_value, 2) AS num_value, round(den_value, 2) AS den_value,
        round(num_value / nullif(den_value, 0) * 100.0, 2) AS ratio
 FROM (SELECT user_id, CAST(ts AS DATE) AS day,
              sum(CASE WHEN event_type = 'purchase' THEN value END) AS num_value,
@@ -138,15 +138,17 @@ WHERE n_num > 0 AND n_den > 0
 def q_derived_ratio(spark, sf_dir):
     from tallystone.operators.facts import derived_ratio
     ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    return derived_ratio(ev, ["user_id", "day"], numerator="purchase", denominator="view",
-                         concept_col="event_type")
+    r = derived_ratio(ev, ["user_id", "day"], numerator="purchase", denominator="view",
+                      concept_col="event_type")
+    # sums of doubles: reported to the cent (summation order differs between engines)
+    return r.withColumn("num_value", F.round("num_value", 2)).withColumn("den_value", F.round("den_value", 2))
 
 
 # --- yoy_growth: lineitem revenue per return flag and ship year; growth over
 # the previous year only when that exact year exists.
 @register("yoy_growth", sql="""
 WITH y AS (SELECT l_returnflag, year(l_shipdate) AS year,
-                  sum(l_extendedprice * (1 - l_discount)) AS revenue
+                  round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
            FROM lineitem GROUP BY l_returnflag, year(l_shipdate))
 SELECT c.l_returnflag, c.year, c.revenue, p.revenue AS prev_value,
        round((c.revenue - p.revenue) / nullif(p.revenue, 0) * 100.0, 4) AS growth_pct
@@ -156,5 +158,5 @@ def q_yoy_growth(spark, sf_dir):
     from tallystone.operators.facts import yoy_growth
     li = table(spark, sf_dir, "lineitem")
     y = (li.groupBy("l_returnflag", F.year("l_shipdate").alias("year"))
-         .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")))
+         .agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue")))
     return yoy_growth(y, ["l_returnflag"], "year", "revenue")
