@@ -28,9 +28,10 @@ HTML_HIDDEN = (r"(?is)<script\b[^>]*>.*?</script\s*>"
 HTML_COMMENT = r"(?s)<!--.*?-->"
 HTML_TAG = r"<[!/?a-zA-Z][^>]*>"
 
-# Filing section header: "Item 1A. Risk Factors" (case-insensitive, the
-# title is the first letter after the dot plus at most 100 more characters
-# of the same line).
+# Fixed value (must equal the reference's for equal sections): the filing
+# section header, e.g. "Item 1A. Risk Factors" — case-insensitive; the title
+# is the first letter after the dot plus at most 100 more characters of the
+# same line. Written with an explicit whitespace class so Java and RE2 agree.
 SECTION_HEADER = rf"(?i)(Item[{WS}]+[0-9]+[A-Za-z]?\.[{WS}]*[A-Za-z][^\n]{{0,100}})"
 
 
