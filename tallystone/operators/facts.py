@@ -181,3 +181,33 @@ def fact_yoy(stored: DataFrame, entity_col: str = "cik") -> DataFrame:
                         [entity_col, "concept", "bucket", "end_month"],
                         ["filed_date", "accession_number"])
     return yoy_growth(one, [entity_col, "concept", "bucket"], "end_month", "value", step=12)
+
+
+def facts_to_store(company_facts: DataFrame, tickers: DataFrame | None = None,
+                   concept_tags: dict | None = None, inherit_period: bool = False,
+                   load_seq: int = 0) -> DataFrame:
+    """Company-facts documents -> rows of the fact store (the numeric flow).
+
+    In-row tag fallback per concept, derived ratio rows appended once, then
+    the store's columns: CIK zero-padded, ticker upper-cased (from
+    ``tickers`` = (cik, ticker) when given, else the CIK itself), company name
+    falling back to the ticker, dates parsed leniently, ``frame`` dropped.
+    """
+    from tallystone.functions.ids import normalize_cik
+    from tallystone.sources.filings import stored_fact_rows
+
+    tidy = tag_fallback_doc(company_facts, concept_tags)
+    tidy = with_derived(tidy.drop("row_ord"), ("cik", "entityName"), inherit_period)
+    tidy = tidy.withColumn("row_ord", F.monotonically_increasing_id())
+    if tickers is not None:
+        t = tickers.groupBy("cik").agg(F.min("ticker").alias("ticker"))
+        tidy = tidy.join(t, "cik", "left")
+    else:
+        tidy = tidy.withColumn("ticker", F.lit(None).cast("string"))
+    cik = normalize_cik(F.col("cik"))
+    ticker = F.upper(F.coalesce(F.col("ticker"), cik))
+    out = (tidy.withColumn("ticker", ticker).withColumn("cik", cik)
+           .withColumn("company_name", F.coalesce(F.col("entityName"), F.col("ticker")))
+           .withColumn("fiscal_year", F.col("fiscal_year").cast("double"))
+           .withColumn("load_seq", F.lit(load_seq)))
+    return stored_fact_rows(out)

@@ -337,3 +337,23 @@ def q_html_tables(spark, sf_dir):
 @register("table_profile")
 def q_table_profile(spark, sf_dir):
     return tables.table_profile(_list_tables(spark, sf_dir)).drop("preview")
+
+
+# --- fact_store_rows: the numeric flow end to end on the same documents:
+# tag fallback, derived rows, store columns; tickers from the customer
+# directory. No document holds both ratio concepts, so no derived rows arise.
+@register("fact_store_rows", sql=f"""
+SELECT lpad(o_custkey::VARCHAR, 10, '0') AS cik, {_TICKER_SQL.format('o_custkey')} AS ticker,
+       'Company ' || o_custkey AS company_name, 'c' AS concept, o_orderpriority AS tag_used,
+       o_totalprice AS value, CASE WHEN o_orderstatus = 'P' THEN 'EUR' ELSE 'USD' END AS unit,
+       (o_orderdate::DATE - INTERVAL 90 DAY)::DATE AS period_start, o_orderdate::DATE AS period_end,
+       year(o_orderdate)::INT AS fiscal_year, 'Q' || quarter(o_orderdate) AS fiscal_period,
+       {_FORM_SQL} AS form, (o_orderdate + INTERVAL 30 DAY)::DATE AS filed_date,
+       {_ACCN_SQL} AS accession_number, 0 AS load_seq
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+""")
+def q_fact_store_rows(spark, sf_dir):
+    docs = filings.parse_company_facts(_facts_docs(spark, sf_dir))
+    c = table(spark, sf_dir, "customer")
+    tickers = c.select(F.col("c_custkey").alias("cik"), _ticker(F.col("c_custkey")).alias("ticker"))
+    return facts_ops.facts_to_store(docs, tickers, TIDY_TAGS).drop("row_ord")

@@ -78,3 +78,18 @@ def test_gross_margin_inherits_period(spark):
     assert (plain.fiscal_year, plain.fiscal_period) == (None, None)
     inh = fo.gross_margin(df, inherit_period=True).first()
     assert (inh.value, inh.fiscal_year, inh.fiscal_period) == (40.0, 2026, "Q2")
+
+
+def test_facts_to_store_with_derived_rows(spark):
+    r = {"start": "2026-01-01", "end": "2026-03-28", "accn": "0000320193-26-000013", "fy": 2026, "fp": "Q2",
+         "form": "10-Q", "filed": "2026-05-01", "frame": None}
+    d = {"cik": 320193, "entityName": "Apple Inc.", "facts": {"us-gaap": {
+        "Revenues": {"label": "r", "units": {"USD": [dict(r, val=100.0)]}},
+        "GrossProfit": {"label": "g", "units": {"USD": [dict(r, val=40.0)]}}}}}
+    docs = filings.parse_company_facts(spark.createDataFrame([(json.dumps(d),)], "value string"))
+    tick = spark.createDataFrame([(320193, "aapl")], "cik long, ticker string")
+    rows = {x.concept: x for x in fo.facts_to_store(docs, tick).collect()}
+    assert set(rows) == {"revenue", "gross_profit", "gross_margin_pct"}
+    gm = rows["gross_margin_pct"]
+    assert (gm.cik, gm.ticker, gm.company_name, gm.value, gm.unit) == ("0000320193", "AAPL", "Apple Inc.", 40.0, "percent")
+    assert rows["revenue"].period_end.isoformat() == "2026-03-28" and rows["revenue"].fiscal_year == 2026
