@@ -36,3 +36,33 @@ def chunk_metadata(chunks: DataFrame, facts: DataFrame, ticker_col: str = "ticke
         out = out.withColumn(c, F.when(has_e, F.col("_e." + c)))
     out = out.withColumn("match", F.when(has_e, "exact").when(has_t, "ticker").otherwise("none"))
     return out.drop("_e", "_t")
+
+
+CHUNK_COLS = ["cik", "ticker", "company_name", "form", "fiscal_year", "fiscal_period",
+              "accession_number", "section", "chunk_index", "chunk_text"]
+
+
+def filing_chunks(texts: DataFrame, facts: DataFrame, stem_col: str = "stem",
+                  text_col: str = "text", strict_names: bool = True, size: int = 500,
+                  overlap: int = 50, min_tokens: int = 40, embed_dim: int | None = None) -> DataFrame:
+    """Filing texts -> rows of the chunk table (the narrative flow).
+
+    Identity from the file stem (files whose name does not parse are left
+    out; ``parse_filename_cols`` reports them), chunks per filing, filing
+    metadata from the fact store (exact filing, else company), and vectors
+    when ``embed_dim`` is given.
+    """
+    from tallystone.functions.ids import parse_filename_cols
+    from tallystone.operators.chunks import build_chunks
+    from tallystone.operators.vectors import embed_chunks
+
+    ident = parse_filename_cols(F.col(stem_col), strict=strict_names)
+    named = (texts.select(*[c.alias(k) for k, c in ident.items()], F.col(text_col).alias("_text"))
+             .filter(F.col("valid")))
+    ch = build_chunks(named, "_text", ("ticker", "form", "accession_number"), size, overlap, min_tokens)
+    meta = chunk_metadata(ch, facts, company_cols=("cik", "company_name"),
+                          filing_cols=("fiscal_year", "fiscal_period"))
+    out = meta.select(*CHUNK_COLS)
+    if embed_dim:
+        out = embed_chunks(out, dim=embed_dim)
+    return out

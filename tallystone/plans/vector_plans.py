@@ -126,3 +126,58 @@ def q_upsert_chunks(spark, sf_dir):
     log = g1.unionByName(g2).select("doc_id", F.col("window_index").alias("chunk_index"),
                                     "load_seq", "chunk_text")
     return store.upsert_chunks(log, doc_col="doc_id")
+
+
+# --- filing_chunks: every document is a filing text whose file stem carries
+# a letters-only ticker made from its source, form 10-K and the document id
+# as accession; the fact store is the labels (cik and company from the
+# source, fiscal year 2020 + quality, period Q2 when toxic else Q1).
+def _doc_stem(d):
+    t = F.translate(F.upper("source"), "0123456789", "ABCDEFGHIJ")
+    return F.concat(t, F.lit("_10-K_2026-01-01_"), F.lpad(F.col("doc_id").cast("string"), 18, "0"))
+
+
+_WS_CLASS_SQL = ("'[\\t\\n\\x{0B}\\f\\r \\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
+                 "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'")
+
+
+@register("filing_chunks", sql=f"""
+WITH d AS (SELECT doc_id, source, text, translate(upper(source), '0123456789', 'ABCDEFGHIJ') AS ticker,
+                  lpad(doc_id::VARCHAR, 18, '0') AS nd FROM documents),
+docs AS (SELECT ticker, '10-K' AS form,
+                substring(nd, 1, 10) || '-' || substring(nd, 11, 2) || '-' || substring(nd, 13, 6) AS accession_number,
+                source, text FROM d),
+facts AS (SELECT docs.ticker, docs.accession_number,
+                 lpad(regexp_extract(docs.source, '[0-9]+'), 10, '0') AS cik, 'Source ' || docs.source AS company_name,
+                 (2020 + l.quality)::INT AS fiscal_year, CASE WHEN l.toxic = 1 THEN 'Q2' ELSE 'Q1' END AS fiscal_period
+          FROM labels l JOIN d ON d.doc_id = l.doc_id JOIN docs ON docs.accession_number =
+               substring(d.nd, 1, 10) || '-' || substring(d.nd, 11, 2) || '-' || substring(d.nd, 13, 6)),
+exact AS (SELECT * FROM facts QUALIFY row_number() OVER (PARTITION BY ticker, accession_number
+            ORDER BY fiscal_year DESC NULLS LAST, fiscal_period DESC NULLS LAST, cik DESC, company_name DESC) = 1),
+byt AS (SELECT ticker, cik, company_name FROM facts
+        QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY cik DESC, company_name DESC) = 1),
+t AS (SELECT ticker, form, accession_number,
+             list_filter(regexp_split_to_array(text, {_WS_CLASS_SQL}), lambda x: x <> '') AS toks FROM docs),
+w AS (SELECT *, CASE WHEN len(toks) = 0 THEN 0
+                     ELSE greatest(0, ceil((len(toks) - 500) / 450.0))::BIGINT + 1 END AS nwin FROM t),
+i AS (SELECT ticker, form, accession_number, toks, unnest(range(nwin)) AS wi FROM w)
+SELECT CASE WHEN e.ticker IS NOT NULL THEN e.cik ELSE b.cik END AS cik, i.ticker,
+       CASE WHEN e.ticker IS NOT NULL THEN e.company_name ELSE b.company_name END AS company_name,
+       i.form, e.fiscal_year, e.fiscal_period, i.accession_number, 'Full Document' AS section,
+       wi::INT AS chunk_index, array_to_string(toks[wi * 450 + 1 : wi * 450 + 500], ' ') AS chunk_text
+FROM i LEFT JOIN exact e ON e.ticker = i.ticker AND e.accession_number = i.accession_number
+       LEFT JOIN byt b ON b.ticker = i.ticker
+""")
+def q_filing_chunks(spark, sf_dir):
+    from tallystone.functions.ids import accession_dash
+    from tallystone.operators.metadata import filing_chunks
+    d = table(spark, sf_dir, "documents")
+    texts = d.select(_doc_stem(d).alias("stem"), "text")
+    lab = table(spark, sf_dir, "labels").join(d.select("doc_id", "source"), "doc_id")
+    facts = lab.select(F.translate(F.upper("source"), "0123456789", "ABCDEFGHIJ").alias("ticker"),
+                       accession_dash(F.lpad(F.col("doc_id").cast("string"), 18, "0")).alias("accession_number"),
+                       F.lpad(F.regexp_extract("source", "[0-9]+", 0), 10, "0").alias("cik"),
+                       F.concat(F.lit("Source "), F.col("source")).alias("company_name"),
+                       (F.lit(2020) + F.col("quality")).cast("int").alias("fiscal_year"),
+                       F.when(F.col("toxic") == 1, "Q2").otherwise("Q1").alias("fiscal_period"))
+    return filing_chunks(texts, facts)
