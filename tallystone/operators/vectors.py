@@ -201,3 +201,33 @@ def search_preview(results: DataFrame, section_col: str = "section", text_col: s
     """Display columns (P14): section prefix, text prefix with newlines as spaces."""
     return (results.withColumn("section_preview", F.substring(F.col(section_col), 1, section_chars))
             .withColumn("text_preview", F.translate(F.substring(F.col(text_col), 1, text_chars), "\n", " ")))
+
+
+SEARCH_COLS = ["ticker", "company_name", "form", "fiscal_year", "fiscal_period", "section",
+               "chunk_index", "chunk_text", "accession_number"]
+
+
+def search(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
+           tickers: list[str] | None = None, form: str | None = None,
+           section_contains: str | None = None, dim: int = 1536,
+           embedder: Callable[[pd.Series], np.ndarray] | None = None, model_id: str | None = None,
+           qid_col: str = "qid", text_col: str = "text", id_col: str = "chunk_id",
+           payload: Sequence[str] = SEARCH_COLS) -> DataFrame:
+    """Top-k chunks for query texts (V1 + V2 together).
+
+    The query texts are embedded with the same model as the chunks (the
+    stored ``embed_model`` is checked), then searched with the reference's
+    filters: tickers (upper-cased, any of), form, section substring.
+    Output: qid, rank, chunk id, payload, distance, similarity_pct.
+    """
+    model = model_id or (hashing_embedder_model(dim) if embedder is None else "custom")
+    if "embed_model" in chunks.columns:
+        check_same_model(chunks, model)
+    q = embed_chunks(queries.select(qid_col, text_col), text_col=text_col, dim=dim,
+                     embedder=embedder, model_id=model).select(qid_col, "embedding")
+    res = vector_search(chunks, q, k=k, id_col=id_col, qid_col=qid_col,
+                        payload=[c for c in payload if c in chunks.columns],
+                        any_of={"ticker": [t.upper() for t in tickers]} if tickers else None,
+                        equals={"form": form} if form else None,
+                        ilike={"section": section_contains} if section_contains else None)
+    return with_similarity(res)

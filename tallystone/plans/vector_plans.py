@@ -181,3 +181,17 @@ def q_filing_chunks(spark, sf_dir):
                        (F.lit(2020) + F.col("quality")).cast("int").alias("fiscal_year"),
                        F.when(F.col("toxic") == 1, "Q2").otherwise("Q1").alias("fiscal_period"))
     return filing_chunks(texts, facts)
+
+
+# --- text_search: the benchmark passages are the query texts; the chunks are
+# 500/50 windows of every document with hashed-TF vectors (width 64), ticker
+# = source; top 5 per query. Hash vectors have no SQL twin: rows-only.
+@register("text_search")
+def q_text_search(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    w = chunks.token_windows(d.select("doc_id", F.upper("source").alias("ticker"), "text"),
+                             id_cols=("doc_id", "ticker"))
+    ch = vectors.embed_chunks(w.withColumn("chunk_id", F.col("doc_id") * 100000 + F.col("window_index"))
+                              .withColumnRenamed("window_index", "chunk_index"), dim=64)
+    qs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text")
+    return vectors.search(ch, qs, k=5, dim=64)

@@ -34,3 +34,20 @@ def test_hashing_embedder_unit_norm(spark):
     rows = {r.id: r for r in vectors.embed_chunks(df, dim=16).collect()}
     assert abs(np.linalg.norm(rows[1].embedding) - 1) < 1e-6
     assert rows[1].embed_model == "hashing-tf-l2-16"
+
+
+def test_text_search_filters_and_model_check(spark):
+    import pytest
+    ch = spark.createDataFrame(
+        [(1, "AAPL", "10-Q", "Item 2. Risk", 0, "net sales grew strongly"),
+         (2, "MSFT", "10-Q", "Item 2. Risk", 0, "net sales grew strongly"),
+         (3, "AAPL", "10-K", "Item 7. MD&A", 1, "cash and cash equivalents")],
+        "chunk_id long, ticker string, form string, section string, chunk_index int, chunk_text string")
+    emb = vectors.embed_chunks(ch, dim=32)
+    q = spark.createDataFrame([(0, "net sales grew")], "qid int, text string")
+    r = vectors.search(emb, q, k=3, tickers=["aapl"], dim=32).orderBy("rank").collect()
+    assert [x.chunk_id for x in r] == [1, 3] and r[0].similarity_pct > r[1].similarity_pct
+    r = vectors.search(emb, q, k=3, form="10-Q", section_contains="risk", dim=32).collect()
+    assert sorted(x.chunk_id for x in r) == [1, 2]
+    with pytest.raises(ValueError):
+        vectors.search(emb, q, dim=16)
