@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystone.functions.text import word_tokens
-from tallystone.schemas import DEFAULT_TOP_K
+from tallystone.schemas import DEFAULT_TOP_K, EMBEDDING_BATCH_SIZE
 
 # Upper bound for the broadcast query matrix (queries x dim x 8 bytes).
 MAX_QUERY_BYTES = 256 << 20
@@ -154,7 +154,8 @@ def hashing_embedder_model(dim: int) -> str:
 
 def embed_chunks(chunks: DataFrame, text_col: str = "chunk_text", dim: int = 1536,
                  embedder: Callable[[pd.Series], np.ndarray] | None = None,
-                 model_id: str | None = None, out_col: str = "embedding") -> DataFrame:
+                 model_id: str | None = None, out_col: str = "embedding",
+                 batch_size: int = EMBEDDING_BATCH_SIZE) -> DataFrame:
     """Attach a vector and the id of the model that made it.
 
     Default: JVM-side hashed term frequencies of the word tokens (Spark ML
@@ -176,7 +177,9 @@ def embed_chunks(chunks: DataFrame, text_col: str = "chunk_text", dim: int = 153
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _embed(texts: pd.Series) -> pd.Series:
-        arr = np.asarray(embedder(texts), dtype=np.float32)
+        parts = [np.asarray(embedder(texts.iloc[i:i + batch_size]), dtype=np.float32)
+                 for i in range(0, len(texts), batch_size)]
+        arr = np.concatenate(parts) if parts else np.zeros((0, 0), dtype=np.float32)
         return pd.Series(list(arr))
 
     return (chunks.withColumn(out_col, _embed(F.col(text_col)))

@@ -221,22 +221,36 @@ def summarize_outcomes(report: DataFrame, status_col: str = "status") -> DataFra
 
 
 # --- S6 / S7: HTML and text files ------------------------------------------------
-def read_html(spark: SparkSession, path: str, ticker: str | None = None, newest_only: bool = False) -> DataFrame:
+def _drop_invalid(df: DataFrame, col: str) -> DataFrame:
+    # Spark decodes undecodable bytes as U+FFFD; dropping them matches a
+    # reader that ignores decoding errors
+    return df.withColumn(col, F.replace(F.col(col), F.lit("\ufffd"), F.lit("")))
+
+
+def read_html(spark: SparkSession, path: str, ticker: str | None = None, newest_only: bool = False,
+              drop_invalid: bool = True) -> DataFrame:
     """Filing HTML files (one row per file); ``ticker`` selects ``{T}_*.html``.
 
-    ``newest_only`` keeps the most recently modified file.
+    ``newest_only`` keeps the most recently modified file. Files are UTF-8;
+    with ``drop_invalid`` bytes that do not decode are dropped.
     """
     glob = f"{ticker.upper()}_*.html" if ticker else "*.html"
     df = read_whole_files(spark, path, glob).withColumnRenamed("value", "html")
+    if drop_invalid:
+        df = _drop_invalid(df, "html")
     if newest_only:
         df = df.orderBy(F.col("modified").desc(), F.col("file_name").desc()).limit(1)
     return df.withColumn("stem", F.regexp_extract("file_name", r"^(.*)\.html?$", 1))
 
 
-def read_texts(spark: SparkSession, path: str, ticker: str | None = None) -> DataFrame:
+def read_texts(spark: SparkSession, path: str, ticker: str | None = None,
+               drop_invalid: bool = True) -> DataFrame:
+    """Filing text files (one row per file) with their stem."""
     glob = f"{ticker.upper()}_*.txt" if ticker else "*.txt"
-    return (read_whole_files(spark, path, glob).withColumnRenamed("value", "text")
-            .withColumn("stem", F.regexp_extract("file_name", r"^(.*)\.txt$", 1)))
+    df = read_whole_files(spark, path, glob).withColumnRenamed("value", "text")
+    if drop_invalid:
+        df = _drop_invalid(df, "text")
+    return df.withColumn("stem", F.regexp_extract("file_name", r"^(.*)\.txt$", 1))
 
 
 # --- S9 / S14: golden file --------------------------------------------------------

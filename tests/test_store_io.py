@@ -30,6 +30,7 @@ def test_pluggable_embedder(spark):
     df = spark.createDataFrame([(1, "abc"), (2, "de")], "id long, chunk_text string")
 
     def emb(texts):
+        assert len(texts) <= 100
         return np.array([[len(t), 1.0, 0.0] for t in texts])
 
     out = {r.id: r for r in vectors.embed_chunks(df, embedder=emb, model_id="len-3").collect()}
@@ -37,3 +38,15 @@ def test_pluggable_embedder(spark):
     vectors.check_same_model(vectors.embed_chunks(df, embedder=emb, model_id="len-3"), "len-3")
     with pytest.raises(ValueError):
         vectors.check_same_model(vectors.embed_chunks(df, dim=8), "len-3")
+
+
+def test_embedder_sees_batches_of_100(spark):
+    seen = []
+    df = spark.range(250).selectExpr("id", "cast(id as string) as chunk_text").coalesce(1)
+
+    def emb(texts):
+        assert len(texts) <= 100
+        return np.array([[float(t), 0.0] for t in texts])
+
+    rows = vectors.embed_chunks(df, embedder=emb, model_id="x").collect()
+    assert all(r.embedding[0] == float(r.id) for r in rows) and len(rows) == 250
