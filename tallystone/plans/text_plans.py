@@ -234,3 +234,51 @@ FROM i
 @register("build_chunks", sql=BUILD_CHUNKS_SQL)
 def q_build_chunks(spark, sf_dir):
     return chunks.build_chunks(conversation_docs(spark, sf_dir), id_cols=("conv_id",))
+
+
+# --- split_sections_docs / build_chunks_docs: every document becomes a
+# filing-shaped text in its own row (no grouping): a table of contents of
+# "Item {k}. Part {first word of paragraph k}" headers, then every paragraph
+# under its header. The contents lines are earlier mentions of the same
+# headers, so keep-last moves them into the preamble, and short paragraphs
+# are merged below 40 words.
+def filing_shaped_docs(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = F.split("text", "\n", -1)
+    heads = F.transform(lines, lambda ln, i: F.concat(
+        F.lit("Item "), (i + 1).cast("string"), F.lit(". Part "), F.split(ln, " ", -1)[0]))
+    d = d.withColumn("_heads", heads).withColumn("_lines", lines)
+    body = F.array_join(F.zip_with("_heads", "_lines", lambda h, ln: F.concat(h, F.lit("\n"), ln)), "\n")
+    return d.select("doc_id", F.concat(F.array_join("_heads", "\n"), F.lit("\n"), body).alias("text"))
+
+
+FILING_DOCS_SQL = """
+conv_docs AS (
+  SELECT doc_id AS conv_id,
+         array_to_string(h, chr(10)) || chr(10) ||
+         array_to_string(list_transform(h, lambda x, i: x || chr(10) || ls[i]), chr(10)) AS text
+  FROM (SELECT doc_id, ls,
+               list_transform(ls, lambda l, i: 'Item ' || i || '. Part ' || split_part(l, ' ', 1)) AS h
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)))"""
+
+
+@register("split_sections_docs", sql=f"""
+WITH RECURSIVE {FILING_DOCS_SQL}, {RAW_SECTIONS_SQL},
+numbered AS (
+  SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY ord))::INT AS idx,
+         title, section_text FROM raw),
+{_merge_sql('numbered', 40)}
+SELECT conv_id AS doc_id, section_idx, title, section_text FROM merged
+WHERE conv_id NOT IN (SELECT conv_id FROM marked WHERE len(segs) = 1)
+UNION ALL
+SELECT conv_id, 0, 'Full Document', text FROM marked WHERE len(segs) = 1
+""")
+def q_split_sections_docs(spark, sf_dir):
+    return chunks.split_sections(filing_shaped_docs(spark, sf_dir))
+
+
+@register("build_chunks_docs", sql=BUILD_CHUNKS_SQL.replace(
+    f"WITH RECURSIVE {CONV_DOCS_SQL}", f"WITH RECURSIVE {FILING_DOCS_SQL}").replace(
+    "SELECT conv_id,\n       (row_number()", "SELECT conv_id AS doc_id,\n       (row_number()"))
+def q_build_chunks_docs(spark, sf_dir):
+    return chunks.build_chunks(filing_shaped_docs(spark, sf_dir))
