@@ -23,20 +23,20 @@ from tallystone.schemas import DEFAULT_TOP_K, EMBEDDING_BATCH_SIZE
 
 # Upper bound for the broadcast query matrix (queries x dim x 8 bytes).
 MAX_QUERY_BYTES = 256 << 20
-MAX_QUERIES = 100_000
 DISTANCE_DIGITS = 6
 
 
 def _query_matrix(queries: DataFrame, qid_col: str, vec_col: str):
-    """Collect the query set once, bounded: at most MAX_QUERIES rows and
-    MAX_QUERY_BYTES of float64; returns ids and the unit-norm matrix."""
+    """Collect one query group, bounded by MAX_QUERY_BYTES of float64 (the
+    caller sized the groups; the limit guards against a skewed hash group);
+    returns ids and the unit-norm matrix."""
     spark = queries.sparkSession
-    rows = queries.select(qid_col, vec_col).limit(MAX_QUERIES + 1).collect()
-    if len(rows) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries; search them in several calls")
-    dim = len(rows[0][1]) if rows and rows[0][1] is not None else 0
-    if len(rows) * max(dim, 1) * 8 > MAX_QUERY_BYTES:
-        raise ValueError(f"query matrix {len(rows)} x {dim} exceeds the broadcast bound")
+    first = queries.select(F.size(vec_col).alias("d")).filter(F.col("d") > 0).first()
+    cap = max(1, MAX_QUERY_BYTES // (8 * (int(first["d"]) if first else 1)))
+    rows = queries.select(qid_col, vec_col).limit(cap + 1).collect()
+    if len(rows) > cap:
+        return None                                   # caller splits the group again
+    dim = next((len(r[1]) for r in rows if r[1] is not None and len(r[1]) > 0), 0)
     ids = [r[0] for r in rows]
     m = np.zeros((len(rows), dim), dtype=np.float64)
     for i, r in enumerate(rows):
@@ -74,12 +74,41 @@ def vector_search(items: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
         f = f.filter(F.col(c).ilike(f"%{sub}%"))
     f = f.filter(F.col(vec_col).isNotNull())
 
-    spark, qids, qm, qok = _query_matrix(queries, qid_col, qvec_col)
+    n_q = queries.count()
+    first = queries.select(F.size(qvec_col).alias("d")).filter(F.col("d") > 0).first()
+    dim = int(first["d"]) if first else 1
+    per_group = max(1, MAX_QUERY_BYTES // (2 * 8 * dim))       # 2x slack for hash imbalance
+    groups = max(1, -(-n_q // per_group))
+    if groups > 1:
+        # beyond the broadcast bound: one exact pass per hash group of queries
+        g = F.pmod(F.xxhash64(F.col(qid_col)), F.lit(groups))
+        parts = [_search_pass(f, queries.filter(g == i), k, id_col, vec_col, qid_col, qvec_col,
+                              payload, queries.schema[qid_col].dataType) for i in range(groups)]
+        out = parts[0]
+        for p_ in parts[1:]:
+            out = out.unionByName(p_)
+        return out
+    return _search_pass(f, queries, k, id_col, vec_col, qid_col, qvec_col, payload,
+                        queries.schema[qid_col].dataType)
+
+
+def _search_pass(f: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str,
+                 qid_col: str, qvec_col: str, payload: Sequence[str], qid_type,
+                 depth: int = 0) -> DataFrame:
+    """One scan of the items against a query set whose matrix fits the bound
+    (a set that does not fit is halved by another hash and searched twice)."""
+    got = _query_matrix(queries, qid_col, qvec_col)
+    if got is None:
+        h = F.pmod(F.xxhash64(F.col(qid_col), F.lit(depth + 1)), F.lit(2))
+        return (_search_pass(f, queries.filter(h == 0), k, id_col, vec_col, qid_col, qvec_col,
+                             payload, qid_type, depth + 1)
+                .unionByName(_search_pass(f, queries.filter(h == 1), k, id_col, vec_col, qid_col,
+                                          qvec_col, payload, qid_type, depth + 1)))
+    spark, qids, qm, qok = got
     bq = spark.sparkContext.broadcast((qids, qm, qok))
     keep_cols = [id_col] + [c for c in payload if c != id_col]
     src = f.select(*keep_cols, F.col(vec_col).alias("_v"))
     fields = [src.schema[c] for c in keep_cols]
-    qid_type = queries.schema[qid_col].dataType
     out_schema = T.StructType([T.StructField(qid_col, qid_type)] + fields +
                               [T.StructField("distance", T.DoubleType())])
 

@@ -51,3 +51,26 @@ def test_text_search_filters_and_model_check(spark):
     assert sorted(x.chunk_id for x in r) == [1, 2]
     with pytest.raises(ValueError):
         vectors.search(emb, q, dim=16)
+
+
+def test_query_groups_beyond_broadcast_bound(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    items = spark.createDataFrame([(i, rng.normal(size=4).astype(float).tolist()) for i in range(200)],
+                                  "id long, embedding array<double>")
+    q = spark.createDataFrame([(j, rng.normal(size=4).astype(float).tolist()) for j in range(30)],
+                              "qid int, embedding array<double>")
+    one = sorted(tuple(r) for r in vectors.vector_search(items, q, k=4).collect())
+    monkeypatch.setattr(vectors, "MAX_QUERY_BYTES", 8 * 4 * 2 * 6)     # ~6 queries per group
+    many = sorted(tuple(r) for r in vectors.vector_search(items, q, k=4).collect())
+    assert many == one and len(one) == 120
+
+
+def test_oversized_group_is_split_again(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    items = spark.createDataFrame([(i, rng.normal(size=4).astype(float).tolist()) for i in range(100)],
+                                  "id long, embedding array<double>")
+    q = spark.createDataFrame([(j, rng.normal(size=4).astype(float).tolist()) for j in range(12)],
+                              "qid int, embedding array<double>")
+    one = sorted(tuple(r) for r in vectors.vector_search(items, q, k=3).collect())
+    monkeypatch.setattr(vectors, "MAX_QUERY_BYTES", 8 * 4 * 5)        # at most 5 per collect
+    assert sorted(tuple(r) for r in vectors.vector_search(items, q, k=3).collect()) == one
