@@ -18,4 +18,4 @@ def html_to_text(pages: DataFrame, html_col: str = "html", id_cols=("page_id",),
     whitespace is collapsed per line and blank lines are dropped. Pure
     JVM expressions: one narrow projection over the page scan.
     """
-    return spread(pages).select(*id_cols, html_to_text_expr(F.col(html_col)).alias(out_col))
+    return spread(pages, id_cols).select(*id_cols, html_to_text_expr(F.col(html_col)).alias(out_col))

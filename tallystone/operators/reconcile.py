@@ -126,7 +126,7 @@ def keyword_snippets(docs: DataFrame, keywords: Sequence[tuple[str, int, str]],
     node per line) is still found.
     """
     kws = list(keywords)
-    df = spread(docs)
+    df = spread(docs, id_cols)
     if normalize_ws:
         df = df.withColumn(text_col, F.regexp_replace(F.col(text_col), WS_RUN, " "))
     df = df.withColumn("_lt", F.lower(F.col(text_col)))

@@ -142,7 +142,7 @@ CELL_FIELDS = [T.StructField("table_idx", T.IntegerType()), T.StructField("row_i
 def html_tables(pages: DataFrame, html_col: str = "html", id_cols=("page_id",)) -> DataFrame:
     """One row per table cell: ids, table_idx, row_idx, col_idx, cell, num."""
     ids = list(id_cols)
-    src = spread(pages.select(*ids, html_col))
+    src = spread(pages.select(*ids, html_col), ids)
     schema = T.StructType([src.schema[c] for c in ids] + CELL_FIELDS)
 
     def cells(batches):
