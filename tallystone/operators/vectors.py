@@ -26,13 +26,12 @@ MAX_QUERY_BYTES = 256 << 20
 DISTANCE_DIGITS = 6
 
 
-def _query_matrix(queries: DataFrame, qid_col: str, vec_col: str):
+def _query_matrix(queries: DataFrame, qid_col: str, vec_col: str, width: int):
     """Collect one query group, bounded by MAX_QUERY_BYTES of float64 (the
     caller sized the groups; the limit guards against a skewed hash group);
-    returns ids and the unit-norm matrix."""
+    returns ids and the unit-norm matrix, or None when the group is too big."""
     spark = queries.sparkSession
-    first = queries.select(F.size(vec_col).alias("d")).filter(F.col("d") > 0).first()
-    cap = max(1, MAX_QUERY_BYTES // (8 * (int(first["d"]) if first else 1)))
+    cap = max(1, MAX_QUERY_BYTES // (8 * max(1, width)))
     rows = queries.select(qid_col, vec_col).limit(cap + 1).collect()
     if len(rows) > cap:
         return None                                   # caller splits the group again
@@ -74,36 +73,42 @@ def vector_search(items: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
         f = f.filter(F.col(c).ilike(f"%{sub}%"))
     f = f.filter(F.col(vec_col).isNotNull())
 
-    n_q = queries.count()
-    first = queries.select(F.size(qvec_col).alias("d")).filter(F.col("d") > 0).first()
-    dim = int(first["d"]) if first else 1
-    per_group = max(1, MAX_QUERY_BYTES // (2 * 8 * dim))       # 2x slack for hash imbalance
-    groups = max(1, -(-n_q // per_group))
-    if groups > 1:
-        # beyond the broadcast bound: one exact pass per hash group of queries
-        g = F.pmod(F.xxhash64(F.col(qid_col)), F.lit(groups))
-        parts = [_search_pass(f, queries.filter(g == i), k, id_col, vec_col, qid_col, qvec_col,
-                              payload, queries.schema[qid_col].dataType) for i in range(groups)]
-        out = parts[0]
-        for p_ in parts[1:]:
-            out = out.unionByName(p_)
-        return out
-    return _search_pass(f, queries, k, id_col, vec_col, qid_col, qvec_col, payload,
-                        queries.schema[qid_col].dataType)
+    # The query side is read a few times while its matrix is collected (all
+    # eagerly, below); keep it for that span only.
+    from pyspark import StorageLevel
+    qs = queries.select(qid_col, qvec_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = qs.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec_col)).alias("d")).first()
+        n_q, dim = int(stats["n"]), max(1, int(stats["d"] or 1))
+        per_group = max(1, MAX_QUERY_BYTES // (2 * 8 * dim))       # 2x slack for hash imbalance
+        groups = max(1, -(-n_q // per_group))
+        qid_type = queries.schema[qid_col].dataType
+        if groups > 1:
+            # beyond the broadcast bound: one exact pass per hash group of queries
+            g = F.pmod(F.xxhash64(F.col(qid_col)), F.lit(groups))
+            parts = [_search_pass(f, qs.filter(g == i), k, id_col, vec_col, qid_col, qvec_col,
+                                  payload, qid_type, dim=dim) for i in range(groups)]
+            out = parts[0]
+            for p_ in parts[1:]:
+                out = out.unionByName(p_)
+            return out
+        return _search_pass(f, qs, k, id_col, vec_col, qid_col, qvec_col, payload, qid_type, dim=dim)
+    finally:
+        qs.unpersist()
 
 
 def _search_pass(f: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str,
                  qid_col: str, qvec_col: str, payload: Sequence[str], qid_type,
-                 depth: int = 0) -> DataFrame:
+                 depth: int = 0, dim: int = 1) -> DataFrame:
     """One scan of the items against a query set whose matrix fits the bound
     (a set that does not fit is halved by another hash and searched twice)."""
-    got = _query_matrix(queries, qid_col, qvec_col)
+    got = _query_matrix(queries, qid_col, qvec_col, dim)
     if got is None:
         h = F.pmod(F.xxhash64(F.col(qid_col), F.lit(depth + 1)), F.lit(2))
         return (_search_pass(f, queries.filter(h == 0), k, id_col, vec_col, qid_col, qvec_col,
-                             payload, qid_type, depth + 1)
+                             payload, qid_type, depth + 1, dim)
                 .unionByName(_search_pass(f, queries.filter(h == 1), k, id_col, vec_col, qid_col,
-                                          qvec_col, payload, qid_type, depth + 1)))
+                                          qvec_col, payload, qid_type, depth + 1, dim)))
     spark, qids, qm, qok = got
     bq = spark.sparkContext.broadcast((qids, qm, qok))
     keep_cols = [id_col] + [c for c in payload if c != id_col]
