@@ -36,6 +36,15 @@ def cell_number(text: str | None) -> float | None:
     return -v if neg else v
 
 
+def cell_number_expr(c):
+    """``cell_number`` as a Catalyst expression (for cells already in Spark)."""
+    t = F.trim(F.regexp_replace(c, r"[$,%]", ""))
+    neg = t.startswith("(")
+    core = F.trim(F.regexp_replace(t, r"^[()]+|[()]+$", ""))
+    v = F.when(core.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), core.cast("double"))
+    return F.when(neg, -v).otherwise(v)
+
+
 class _Tables(HTMLParser):
     """Collect every table as rows of cell texts, expanding row/col spans."""
 
@@ -143,7 +152,7 @@ def html_tables(pages: DataFrame, html_col: str = "html", id_cols=("page_id",))
     """One row per table cell: ids, table_idx, row_idx, col_idx, cell, num."""
     ids = list(id_cols)
     src = spread(pages.select(*ids, html_col), ids)
-    schema = T.StructType([src.schema[c] for c in ids] + CELL_FIELDS)
+    schema = T.StructType([src.schema[c] for c in ids] + CELL_FIELDS[:-1])
 
     def cells(batches):
         for pdf in batches:
@@ -151,10 +160,11 @@ def html_tables(pages: DataFrame, html_col: str = "html", id_cols=("page_id",))
             for rec in pdf.itertuples(index=False):
                 key = tuple(getattr(rec, c) for c in ids)
                 for ti, ri, ci, cell in parse_tables(getattr(rec, html_col)):
-                    rows.append(key + (ti, ri, ci, cell, cell_number(cell)))
+                    rows.append(key + (ti, ri, ci, cell))
             yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
 
-    return src.mapInPandas(cells, schema)
+    # the number rule runs JVM-side, after the parse
+    return src.mapInPandas(cells, schema).withColumn("num", cell_number_expr(F.col("cell")))
 
 
 def table_profile(cells: DataFrame, id_cols=("page_id",), preview_rows: int = 10) -> DataFrame:

@@ -301,7 +301,7 @@ _CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 def read_table_csvs(spark: SparkSession, path: str, glob: str = "*.csv",
                     header: bool = True) -> DataFrame:
-    """Ragged table CSVs as long cells: file_name, table_idx, row_idx, col_idx, cell.
+    """Ragged table CSVs as long cells: file_name, table_idx, row_idx, col_idx, cell, num.
 
     A file is read whole (rows keep their order), split into lines, and each
     line on commas outside quotes; quotes are removed and doubled quotes
@@ -317,7 +317,9 @@ def read_table_csvs(spark: SparkSession, path: str, glob: str = "*.csv",
     cells = lines.select("file_name", F.col("line_no").alias("row_idx"),
                          F.posexplode(F.split("line", _CSV_SPLIT, -1)).alias("col_idx", "raw"))
     unq = F.regexp_replace(F.regexp_replace(F.col("raw"), r'^"(.*)"$', "$1"), '""', '"')
+    from tallystone.operators.tables import cell_number_expr
     tidx = F.regexp_extract("file_name", r"_table_(\d+)\.csv$", 1)
     return cells.select("file_name", F.when(tidx != "", tidx.cast("int")).otherwise(0).alias("table_idx"),
                         F.col("row_idx").cast("int").alias("row_idx"),
-                        F.col("col_idx").cast("int").alias("col_idx"), unq.alias("cell"))
+                        F.col("col_idx").cast("int").alias("col_idx"), unq.alias("cell"),
+                        cell_number_expr(unq).alias("num"))

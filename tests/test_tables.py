@@ -31,7 +31,6 @@ def test_table_csv_source_and_profile(spark):
 
     from pyspark.sql import functions as F
 
-    from tallystone.operators.tables import cell_number
     from tallystone.sources import filings
 
     base = tempfile.mkdtemp(prefix="tallystone-csv-")
@@ -41,6 +40,13 @@ def test_table_csv_source_and_profile(spark):
     got = {(r.row_idx, r.col_idx): r.cell for r in cells.collect()}
     assert got[(0, 2)] == "111184" and got[(1, 1)] == "(1,717)" and got[(2, 0)] == 'say "hi"'
     assert {r.table_idx for r in cells.collect()} == {4}
-    num = F.udf(cell_number, "double")
-    prof = tables.table_profile(cells.withColumn("num", num("cell")), id_cols=("file_name",)).first()
+    prof = tables.table_profile(cells, id_cols=("file_name",)).first()
     assert (prof.n_rows, prof.n_cols, prof.n_cells, prof.n_numeric) == (3, 3, 8, 2)
+
+
+def test_cell_number_expr_matches_python(spark):
+    from pyspark.sql import functions as F
+    cases = ["111184", "(1,717)", "(157,030", ")", "$", "%", "—", "–", "", "2.00%", "2.01", " 3 ", "-4.5", "x1"]
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    got = [r.n for r in df.select(tables.cell_number_expr(F.col("c")).alias("n")).collect()]
+    assert got == [tables.cell_number(c) for c in cases]
