@@ -57,42 +57,80 @@ def clean_lines(c: Column) -> Column:
 
 
 def _named_entity_map() -> Column:
-    # Built from the standard library's HTML 4 entity table (a rule, not a
-    # hand-made list); folded to one constant map by Catalyst.
-    names = sorted(html.entities.name2codepoint)
-    return F.map_from_arrays(
-        F.array(*[F.lit(n) for n in names]),
-        F.array(*[F.lit(chr(html.entities.name2codepoint[n])) for n in names]))
+    # Built from the standard library's HTML5 table (a rule, not a hand-made
+    # list): every name that ends in ";" -> its text. Folded to one constant.
+    names = sorted(k[:-1] for k in html.entities.html5 if k.endswith(";"))
+    return F.map_from_arrays(F.array(*[F.lit(n) for n in names]),
+                             F.array(*[F.lit(html.entities.html5[n + ";"]) for n in names]))
 
 
-def _codepoint_to_str(hex_digits: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(hex_digits, 8, "0")), "UTF-32")
+def _legacy_names_pattern() -> str:
+    # Names an HTML5 parser also accepts without ";" (from the same table),
+    # longest first so the alternation takes the longest prefix.
+    legacy = sorted((k for k in html.entities.html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
+    return "^(" + "|".join(legacy) + ")"
 
 
-def decode_entities(c: Column) -> Column:
-    """Decode ``&name;``, ``&#NNN;`` and ``&#xHH;`` in one left-to-right pass.
+def _legacy_map() -> Column:
+    legacy = sorted(k for k in html.entities.html5 if not k.endswith(";"))
+    return F.map_from_arrays(F.array(*[F.lit(n) for n in legacy]),
+                             F.array(*[F.lit(html.entities.html5[n]) for n in legacy]))
+
+
+def _numeric_special_map() -> Column:
+    # Code points an HTML5 parser replaces (windows-1252 range) or drops,
+    # taken from the standard library's decoder tables when present.
+    import html as _h
+    repl = dict(getattr(_h, "_invalid_charrefs", {}))
+    for cp in getattr(_h, "_invalid_codepoints", ()):
+        repl.setdefault(cp, "")
+    keys = sorted(repl)
+    return F.map_from_arrays(F.array(*[F.lit(k).cast("long") for k in keys]),
+                             F.array(*[F.lit(repl[k]) for k in keys]))
+
+
+def _codepoint_text(num: Column) -> Column:
+    """Text of a numeric reference (NULL-safe): replacement rules first,
+    U+FFFD for surrogates and values beyond U+10FFFF."""
+    special = F.try_element_at(_numeric_special_map(), num)
+    plain = F.decode(F.unhex(F.lpad(F.conv(num.cast("string"), 10, 16), 8, "0")), "UTF-32")
+    return (F.when(special.isNotNull(), special)
+            .when((num > 0x10FFFF) | num.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+            .otherwise(plain))
 
-    The text is split on ``&``; each piece after the first starts right after
-    an ampersand, so a reference is recognised at the start of the piece and
-    replaced, otherwise the ampersand is put back. One pass means ``&amp;lt;``
-    becomes ``&lt;`` (not ``<``), as an HTML parser does.
+
+def decode_entities(c: Column) -> Column:
+    """Decode character references in one left-to-right pass, HTML5 style.
+
+    ``&name;`` from the full HTML5 table; legacy names also without ``;``
+    (longest prefix: ``&ampx`` -> ``&x``, ``&notit;`` -> ``¬it;``);
+    ``&#NNN`` / ``&#xHH`` with or without ``;``. The text is split on
+    ``&``; each piece after the first starts right after an ampersand, so a
+    reference is recognised at the start of the piece and replaced, otherwise
+    the ampersand is put back. One pass means ``&amp;lt;`` becomes ``&lt;``.
     """
-    ents = _named_entity_map()
+    from tallystone.functions import let
+    ents, legacy_map, legacy_pat = _named_entity_map(), _legacy_map(), _legacy_names_pattern()
     pieces = F.split(c, "&", -1)
 
     def piece(p: Column) -> Column:
-        dec = F.regexp_extract(p, r"^#([0-9]{1,7});", 1)
-        hexd = F.regexp_extract(p, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
-        name = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]{0,31});", 1)
-        named = F.try_element_at(ents, name)
-        return (F.when(dec != "", F.concat(_codepoint_to_str(F.conv(dec, 10, 16)),
-                                           F.regexp_replace(p, r"^#[0-9]{1,7};", "")))
-                .when(hexd != "", F.concat(_codepoint_to_str(hexd),
-                                           F.regexp_replace(p, r"^#[xX][0-9a-fA-F]{1,6};", "")))
-                .when(named.isNotNull(), F.concat(named, F.substring(p, F.length(name) + 2, 1 << 30)))
+        dec = F.regexp_extract(p, r"^#([0-9]+);?", 1)
+        hexd = F.regexp_extract(p, r"^#[xX]([0-9a-fA-F]+);?", 1)
+        full = F.regexp_extract(p, r"^([^\t\n\f <&#;]{1,32});", 1)
+        named = F.try_element_at(ents, full)
+        leg = F.regexp_extract(p, legacy_pat, 1)
+        big = F.lit(0x110000).cast("long")
+        dec_num = F.when(F.length(dec) > 8, big).otherwise(dec.cast("long"))
+        hex_num = F.when(F.length(hexd) > 7, big).otherwise(F.conv(hexd, 16, 10).cast("long"))
+        return (F.when(dec != "", F.concat(_codepoint_text(dec_num),
+                                           F.regexp_replace(p, r"^#[0-9]+;?", "")))
+                .when(hexd != "", F.concat(_codepoint_text(hex_num),
+                                           F.regexp_replace(p, r"^#[xX][0-9a-fA-F]+;?", "")))
+                .when(named.isNotNull(), F.concat(named, F.substring(p, F.length(full) + 2, 1 << 30)))
+                .when(leg != "", F.concat(F.try_element_at(legacy_map, leg),
+                                          F.substring(p, F.length(leg) + 1, 1 << 30)))
                 .otherwise(F.concat(F.lit("&"), p)))
 
-    from tallystone.functions import let
     return F.when(F.instr(c, "&") == 0, c).otherwise(let(pieces, lambda ps: F.concat(
         F.element_at(ps, 1), F.array_join(F.transform(F.slice(ps, 2, 1 << 30), piece), ""))))
 

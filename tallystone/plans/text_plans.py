@@ -45,9 +45,13 @@ WITH s0 AS (
       {_sql_str(HTML_COMMENT)}, chr(10), 'g'), {_sql_str(HTML_TAG)}, chr(10), 'g') AS s
   FROM pages),
 s1 AS (
-  SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(s,
-    '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'),
-    '&nbsp;', chr(160)), '&#39;', ''''), '&amp;', '&') AS s
+  -- the references the pages use; legacy names decode with or without ";"
+  -- (HTML5), and &amp is last so that one pass never decodes twice
+  SELECT page_id,
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    regexp_replace(replace(s, '&#39;', ''''),
+    '&quot;?', '"', 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&lt;?', '<', 'g'),
+    '&gt;?', '>', 'g'), '&nbsp;?', chr(160), 'g'), '&amp;?', '&', 'g') AS s
   FROM s0),
 s2 AS (
   SELECT page_id, regexp_replace(regexp_replace(s, {_sql_str(f"\r\n|[{LB}]")}, chr(10), 'g'),

@@ -98,3 +98,13 @@ def test_build_chunks_index_across_sections(spark):
     rows = chunks.build_chunks(df).orderBy("chunk_index").collect()
     assert [r.chunk_index for r in rows] == [0, 1, 2]
     assert [r.section for r in rows] == ["Item 1. Alpha", "Item 2. Beta", "Item 2. Beta"]
+
+
+def test_entities_follow_html5_rules(spark):
+    import html as h
+    cases = ["and&amp", "&ampx &notit; &copy2024", "&#169 &#x41 &#150; &#0; &#xD800; &#99999999;",
+             "&amp;lt; &bogus; & &#; &#x;", "&NotEqualTilde; &rsquo;&nbsp;x"]
+    from tallystone.functions.text import decode_entities
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    got = [r.r for r in df.select(decode_entities(F.col("t")).alias("r")).collect()]
+    assert got == [h.unescape(c) for c in cases]
