@@ -6,7 +6,9 @@ accept, so the DuckDB oracle SQL can reuse the very same patterns.
 
 from __future__ import annotations
 
+import functools
 import html.entities
+import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,43 +58,50 @@ def clean_lines(c: Column) -> Column:
     return F.regexp_replace(s, "^[ \n]+|[ \n]+$", "")
 
 
+def _json_map(d: dict, value_type: str = "string") -> Column:
+    # one JSON literal parsed to a map: a single constant for Catalyst to
+    # fold, instead of thousands of literal columns built through py4j
+    return F.from_json(F.lit(json.dumps(d, ensure_ascii=False)), f"map<string,{value_type}>")
+
+
+@functools.lru_cache(maxsize=1)
+def _entity_tables() -> tuple[dict, dict, str]:
+    # From the standard library's HTML5 table (a rule, not a hand-made list):
+    # names ending in ";" -> text; legacy names (also valid without ";").
+    h5 = html.entities.html5
+    full = {k[:-1]: v for k, v in h5.items() if k.endswith(";")}
+    legacy = {k: v for k, v in h5.items() if not k.endswith(";")}
+    # longest first, so the alternation takes the longest legacy prefix
+    pattern = "^(" + "|".join(sorted(legacy, key=lambda k: (-len(k), k))) + ")"
+    return full, legacy, pattern
+
+
 def _named_entity_map() -> Column:
-    # Built from the standard library's HTML5 table (a rule, not a hand-made
-    # list): every name that ends in ";" -> its text. Folded to one constant.
-    names = sorted(k[:-1] for k in html.entities.html5 if k.endswith(";"))
-    return F.map_from_arrays(F.array(*[F.lit(n) for n in names]),
-                             F.array(*[F.lit(html.entities.html5[n + ";"]) for n in names]))
+    return _json_map(_entity_tables()[0])
 
 
 def _legacy_names_pattern() -> str:
-    # Names an HTML5 parser also accepts without ";" (from the same table),
-    # longest first so the alternation takes the longest prefix.
-    legacy = sorted((k for k in html.entities.html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
-    return "^(" + "|".join(legacy) + ")"
+    return _entity_tables()[2]
 
 
 def _legacy_map() -> Column:
-    legacy = sorted(k for k in html.entities.html5 if not k.endswith(";"))
-    return F.map_from_arrays(F.array(*[F.lit(n) for n in legacy]),
-                             F.array(*[F.lit(html.entities.html5[n]) for n in legacy]))
+    return _json_map(_entity_tables()[1])
 
 
 def _numeric_special_map() -> Column:
     # Code points an HTML5 parser replaces (windows-1252 range) or drops,
     # taken from the standard library's decoder tables when present.
     import html as _h
-    repl = dict(getattr(_h, "_invalid_charrefs", {}))
+    repl = {str(k): v for k, v in getattr(_h, "_invalid_charrefs", {}).items()}
     for cp in getattr(_h, "_invalid_codepoints", ()):
-        repl.setdefault(cp, "")
-    keys = sorted(repl)
-    return F.map_from_arrays(F.array(*[F.lit(k).cast("long") for k in keys]),
-                             F.array(*[F.lit(repl[k]) for k in keys]))
+        repl.setdefault(str(cp), "")
+    return _json_map(repl)
 
 
 def _codepoint_text(num: Column) -> Column:
     """Text of a numeric reference (NULL-safe): replacement rules first,
     U+FFFD for surrogates and values beyond U+10FFFF."""
-    special = F.try_element_at(_numeric_special_map(), num)
+    special = F.try_element_at(_numeric_special_map(), num.cast("string"))
     plain = F.decode(F.unhex(F.lpad(F.conv(num.cast("string"), 10, 16), 8, "0")), "UTF-32")
     return (F.when(special.isNotNull(), special)
             .when((num > 0x10FFFF) | num.between(0xD800, 0xDFFF), F.lit("\ufffd"))
@@ -117,7 +126,9 @@ def decode_entities(c: Column) -> Column:
         dec = F.regexp_extract(p, r"^#([0-9]+);?", 1)
         hexd = F.regexp_extract(p, r"^#[xX]([0-9a-fA-F]+);?", 1)
         full = F.regexp_extract(p, r"^([^\t\n\f <&#;]{1,32});", 1)
-        named = F.try_element_at(ents, full)
+        # the legacy table (106 names, the common ones) first; the full table
+        # (a linear lookup over 2,231 names) only when that misses
+        named = F.coalesce(F.try_element_at(legacy_map, full), F.try_element_at(ents, full))
         leg = F.regexp_extract(p, legacy_pat, 1)
         big = F.lit(0x110000).cast("long")
         dec_num = F.when(F.length(dec) > 8, big).otherwise(dec.cast("long"))
