@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -106,9 +107,13 @@ def _keyword_matches_general(text: Column, pat: Column, before: int, after: int)
     return let(let(ph, interleave), elements)
 
 
-def _kw_struct(concept, pos, kw) -> Column:
-    return F.struct(F.lit(concept).alias("concept"), F.lit(pos).alias("kw_pos"),
-                    F.lit(kw).alias("keyword"))
+KW_T = "array<struct<concept:string,kw_pos:int,keyword:string>>"
+
+
+def _kw_array(kws: Sequence[tuple[str, int, str]]) -> Column:
+    """The keyword list as one constant (a JSON literal folded by Catalyst)."""
+    rows = [{"concept": c, "kw_pos": int(p), "keyword": k} for c, p, k in kws]
+    return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), KW_T)
 
 
 def keyword_snippets(docs: DataFrame, keywords: Sequence[tuple[str, int, str]],
@@ -130,7 +135,7 @@ def keyword_snippets(docs: DataFrame, keywords: Sequence[tuple[str, int, str]],
     if normalize_ws:
         df = df.withColumn(text_col, F.regexp_replace(F.col(text_col), WS_RUN, " "))
     df = df.withColumn("_lt", F.lower(F.col(text_col)))
-    all_kw = F.array(*[_kw_struct(c, p, k) for c, p, k in kws])
+    all_kw = _kw_array(kws)
     if concept_col is None:
         row_kw = all_kw
     else:
