@@ -37,8 +37,9 @@ def latest_fact(facts: DataFrame, keys: Sequence[str] | None = None,
                 order: Sequence[str | Column] = FACT_NEWEST, **filters) -> DataFrame:
     """Newest fact (A4).
 
-    With ``keys``: one newest row per key (partial-aggregated ``max_by``,
-    NULL order values never win). Without: the single newest row of the
+    With ``keys``: one newest row per key (``latest_by_key``: a per-task
+    limit before the shuffle; NULL order values never win). Without: the
+    single newest row of the
     filtered table (``TakeOrderedAndProject``: per-task top-1, then merge).
     """
     f = filter_facts(facts, **filters)
