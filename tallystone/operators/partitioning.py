@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFrame:  # noqa: ARG001
     """Give CPU-heavy per-row work at least one task per core.
 
     A scan yields one task per file split (or Parquet row group); a few large
     files would leave most cores idle during regex-heavy text work. Only when
     the plan has fewer partitions than the cluster's parallelism is the input
-    redistributed — hashed on ``keys`` (document ids) when given, which is
-    deterministic on a retried task without the local sort Spark puts before
-    a round-robin split; on a large input this is a no-op.
+    redistributed round-robin; on a large input this is a no-op. ``keys``
+    (document ids) are accepted but deliberately not used for a hash split:
+    on Spark 4.1 a union of inputs that all claim the same hash partitioning
+    can, together with exchange reuse, skip the shuffle of a later
+    aggregation on that key and give wrong groups. Round-robin claims no
+    partitioning (Spark sorts before it, so retries stay deterministic).
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
@@ -21,6 +24,5 @@ def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFra
     except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
         return df
     if current < target:
-        keys = [k for k in keys if k in df.columns]
-        return df.repartition(target, *keys) if keys else df.repartition(target)
+        return df.repartition(target)
     return df

@@ -51,3 +51,24 @@ def test_latest_plan_limits_before_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     plan = store.latest_by_key(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_upsert_chunks_over_union_of_spread_inputs(spark):
+    """Regression: two chunk generations of the same documents, unioned."""
+    from tallystone.operators import chunks
+    texts = spark.createDataFrame([(i, " ".join(["w"] * (100 + 37 * i)), "en" if i % 2 else "fr")
+                                   for i in range(40)], "doc_id long, text string, lang string")
+    g1 = chunks.token_windows(texts, size=50, overlap=5).withColumn("load_seq", F.lit(1))
+    g2 = chunks.token_windows(texts.filter(F.col("lang") == "en"), size=80, overlap=10) \
+        .withColumn("load_seq", F.lit(2))
+    log = g1.unionByName(g2).withColumnRenamed("window_index", "chunk_index")
+    saved = spark.conf.get("spark.sql.unionOutputPartitioning")
+    try:
+        spark.conf.set("spark.sql.unionOutputPartitioning", "true")      # the driver's default
+        cur = store.upsert_chunks(log, doc_col="doc_id").collect()
+    finally:
+        spark.conf.set("spark.sql.unionOutputPartitioning", saved)
+    newest = {}
+    for r in cur:
+        newest.setdefault(r.doc_id, set()).add(r.load_seq)
+    assert all(v == ({2} if d % 2 else {1}) for d, v in newest.items()) and len(newest) == 40
