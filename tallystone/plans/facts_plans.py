@@ -160,3 +160,32 @@ def q_yoy_growth(spark, sf_dir):
     y = (li.groupBy("l_returnflag", F.year("l_shipdate").alias("year"))
          .agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue")))
     return yoy_growth(y, ["l_returnflag"], "year", "revenue")
+
+
+# --- fact_yoy: store rows from orders (entity o_custkey, concept priority,
+# a 90-day period ending on the order date, filed 30 days later); growth of
+# each value over the one whose period ended 12 months earlier in the same
+# duration bucket, the newest filing per month first.
+@register("fact_yoy", sql="""
+WITH f AS (
+  SELECT o_custkey AS cik, o_orderpriority AS concept, 'Q' AS bucket,
+         (year(o_orderdate) * 12 + month(o_orderdate))::INT AS end_month, o_totalprice AS value,
+         (o_orderdate + INTERVAL 30 DAY)::DATE AS filed_date, o_orderkey AS accession_number
+  FROM orders),
+one AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY cik, concept, bucket, end_month
+          ORDER BY filed_date DESC NULLS LAST, accession_number DESC) = 1)
+SELECT c.cik, c.concept, c.bucket, c.end_month, c.value, p.value AS prev_value,
+       round((c.value - p.value) / nullif(p.value, 0) * 100.0, 4) AS growth_pct
+FROM one c LEFT JOIN one p ON p.cik = c.cik AND p.concept = c.concept AND p.bucket = c.bucket
+                          AND p.end_month = c.end_month - 12
+""")
+def q_fact_yoy(spark, sf_dir):
+    from tallystone.operators.facts import fact_yoy
+    o = table(spark, sf_dir, "orders")
+    end = F.to_date("o_orderdate")
+    stored = o.select(F.col("o_custkey").alias("cik"), F.col("o_orderpriority").alias("concept"),
+                      F.date_sub(end, 90).alias("period_start"), end.alias("period_end"),
+                      F.col("o_totalprice").alias("value"), F.date_add(end, 30).alias("filed_date"),
+                      F.col("o_orderkey").alias("accession_number"))
+    return fact_yoy(stored).select("cik", "concept", "bucket", "end_month", "value",
+                                   "prev_value", "growth_pct")
