@@ -189,3 +189,18 @@ def q_fact_yoy(spark, sf_dir):
                       F.col("o_orderkey").alias("accession_number"))
     return fact_yoy(stored).select("cik", "concept", "bucket", "end_month", "value",
                                    "prev_value", "growth_pct")
+
+
+# --- uncovered_concepts: for every customer with orders, the priorities
+# (of all five) it never used — "no data found" per entity and concept.
+@register("uncovered_concepts", sql="""
+WITH e AS (SELECT DISTINCT o_custkey FROM orders),
+d(concept) AS (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW')),
+h AS (SELECT DISTINCT o_custkey, o_orderpriority AS concept FROM orders)
+SELECT e.o_custkey, d.concept FROM e, d
+WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.o_custkey = e.o_custkey AND h.concept = d.concept)
+""")
+def q_uncovered_concepts(spark, sf_dir):
+    from tallystone.operators.facts import uncovered_concepts
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderpriority").alias("concept"))
+    return uncovered_concepts(o, FALLBACK_TAGS, entity_col="o_custkey")
