@@ -5,7 +5,7 @@ from html.parser import HTMLParser
 
 from tallystone.operators.html import html_to_text
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 _WS = re.compile(r"\s+")
 
 
