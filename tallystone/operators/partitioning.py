@@ -2,27 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFrame:  # noqa: ARG001
+def spread(df: DataFrame, keys: Sequence[str] = (), min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy per-row work at least one task per core.
 
     A scan yields one task per file split (or Parquet row group); a few large
-    files would leave most cores idle during regex-heavy text work. Only when
-    the plan has fewer partitions than the cluster's parallelism is the input
-    redistributed round-robin; on a large input this is a no-op. ``keys``
-    (document ids) are accepted but deliberately not used for a hash split:
-    on Spark 4.1 a union of inputs that all claim the same hash partitioning
-    can, together with exchange reuse, skip the shuffle of a later
-    aggregation on that key and give wrong groups. Round-robin claims no
-    partitioning (Spark sorts before it, so retries stay deterministic).
+    files would leave most cores idle. Only when the plan has fewer
+    partitions than the cluster's parallelism is the input redistributed; on
+    a large input this is a no-op.
+
+    The split hashes ``xxhash64`` of ``keys`` (document ids) or of every
+    hashable column: deterministic on a retried task without the local sort
+    Spark puts before a round-robin split, and — unlike hashing on the key
+    itself — it never satisfies a later grouping on a real key. (On Spark
+    4.1, a union of inputs hash-partitioned on the same key can otherwise
+    skip the shuffle of a later aggregation on that key and, with exchange
+    reuse, give wrong groups.)
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
         return df
-    if current < target:
+    if current >= target:
+        return df
+    cols = [k for k in keys if k in df.columns] or [
+        f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    if not cols:
         return df.repartition(target)
-    return df
+    return df.repartition(target, F.xxhash64(*[F.col(c) for c in cols]))
