@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,8 +52,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when that is unset (tests, a
-    laptop) a private temporary folder is created and registered.
+    Read from ``spark.checkpoint.dir``. Only a local master (tests, a laptop)
+    may go without: there a private temporary folder is created and registered.
+    On a cluster every executor would write to its own disk, so that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tallystone-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
@@ -75,14 +77,3 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{purpose}-{uuid.uuid4().hex}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (only used by tests that inspect files)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
