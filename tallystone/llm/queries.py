@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystone.llm import bpe, mixing, rules, secrets, simhash
+from tallystone.llm import ann, bpe, mixing, repeats, rules, secrets, simhash
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,12 @@ def op1_quality_rules(spark, sf_dir):
     return rules.measure(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_learned_partitions(spark, sf_dir):
+    """The 20 nearest of every twentieth vector."""
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_secret_scans(spark, sf_dir):
     """Every document's secret spans: base patterns and the network's additions."""
@@ -48,3 +54,9 @@ def op8_byte_bpe(spark, sf_dir):
 def op9_source_mixing(spark, sf_dir):
     """Every document's share in the mix of sources."""
     return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_suffix_dedup(spark, sf_dir):
+    """Every document's bytes without repeated 400-byte strings."""
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
