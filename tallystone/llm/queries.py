@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystone.llm import ann, bpe, mixing, repeats, rules, secrets, simhash
+from tallystone.llm import ann, bpe, mixing, ordinal, repeats, rules, secrets, simhash, token_counts, wrappers
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -38,12 +38,30 @@ def op3_secret_scans(spark, sf_dir):
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_ordinal_quality(spark, sf_dir):
+    """Every document's expected grade and tail probability."""
+    return ordinal.grade_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_simhash_dedup(spark, sf_dir):
     """Every document's fingerprint and near-duplicate component."""
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_wrapper_extraction(spark, sf_dir):
+    """Every page's main text."""
+    return wrappers.extract(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_token_counts(spark, sf_dir):
+    """Every document's tokens, by section."""
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op8_byte_bpe(spark, sf_dir):
     """Every document encoded and decoded, as digests."""

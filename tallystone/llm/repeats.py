@@ -94,23 +94,31 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, length: int) -> DataFrame:
+    names = ["k", "id", "s", "e", "a", "c", "d"]
+
+    def frame(out: list) -> pd.DataFrame:
+        return pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out)))))
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list = []
+        size = 0
         for f in frames:
-            out = []
-            for k, i, text in zip(f["k"], f["id"], f["text"]):
+            for k, i, text in zip(f["k"].tolist(), f["id"].tolist(), f["text"]):
                 b = raw(text)
                 if len(b) < length:
                     continue
                 first, last, h = anchors_of(b, length)
-                both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(b[s:e + length])
-                                               for s, e in zip(first.tolist(), last.tolist())]), "<i8").reshape(-1, 2)
-                out.append(pd.DataFrame({"k": k, "id": i, "s": first, "e": last, "a": h.view(np.int64),
-                                         "c": both[:, 0], "d": both[:, 1]}))
-                if sum(map(len, out)) > 50_000:
-                    yield pd.concat(out)
-                    out = []
-            if out:
-                yield pd.concat(out)
+                digest = xxhash.xxh3_128_digest
+                both = np.frombuffer(b"".join([digest(b[s:e]) for s, e in zip(first.tolist(), (last + length).tolist())]),
+                                     "<i8").reshape(-1, 2)
+                n = len(first)
+                out.append((np.full(n, k), np.full(n, i), first, last, h.view(np.int64), both[:, 0], both[:, 1]))
+                size += n
+                if size > 50_000:
+                    yield frame(out)
+                    out, size = [], 0
+        if out:
+            yield frame(out)
 
     return docs.select("k", "id", "text").mapInPandas(
         run, "k bigint, id bigint, s bigint, e bigint, a bigint, c bigint, d bigint")
@@ -183,12 +191,18 @@ def marks(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, shard: int
                   "repeats-lists")
     held = docs.select("k", "id", "text").join(lists, ["k", "id"])
 
+    columns = ["k", "id", "s", "a", "known", "crowded", "bytes"]
+
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
+            rows: list = []
             for k, i, text, parts in zip(f["k"], f["id"], f["text"], f["parts"]):
                 b = raw(text)
-                yield pd.DataFrame([(k, i, p["s"], p["a"], p["known"], p["crowded"], b[p["s"]:p["e"] + length]) for p in parts],
-                                   columns=["k", "id", "s", "a", "known", "crowded", "bytes"])
+                rows += [(k, i, p["s"], p["a"], p["known"], p["crowded"], b[p["s"]:p["e"] + length]) for p in parts]
+                if len(rows) > 20_000:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            yield pd.DataFrame(rows, columns=columns)
 
     parts = stage(held.mapInPandas(cut, "k bigint, id bigint, s bigint, a bigint, known boolean, crowded boolean, bytes binary")
                   .dropDuplicates(["k", "id", "s"]), "repeats-parts")
