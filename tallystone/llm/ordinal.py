@@ -72,7 +72,7 @@ class Ordinal:
         """P(grade >= j) for j = 1, 2, ..."""
         return _logistic(np.asarray(margin)[:, None] - self.theta()[None, :])
 
-    def fit(self, xs: list, y: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.3, ridge: float = 1e-5):
+    def fit(self, xs: list, y: np.ndarray, epochs: int = 30, batch: int = 64, rate: float = 0.5, ridge: float = 1e-5):
         rng = np.random.default_rng(SEED)
         square, raw_square = np.full(len(self.w), 1e-6), np.full(len(self.raw), 1e-6)
         for _ in range(epochs):
