@@ -23,12 +23,15 @@ SP = r"\t \x{1F}\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}"
 
 WS_RUN = f"[{WS}]+"
 
-# HTML subtrees whose text is never shown, comments, and any markup tag.
-HTML_HIDDEN = (r"(?is)<script\b[^>]*>.*?</script\s*>"
-               r"|<style\b[^>]*>.*?</style\s*>"
-               r"|<noscript\b[^>]*>.*?</noscript\s*>")
-HTML_COMMENT = r"(?s)<!--.*?-->"
-HTML_TAG = r"<[!/?a-zA-Z][^>]*>"
+# Comments and HTML subtrees whose text is never shown, in one left-to-right
+# alternation (a tag inside a comment opens nothing, and the reverse); an
+# element that is never closed hides the rest.
+HTML_HIDDEN = (r"(?is)<!--.*?-->"
+               r"|<script\b[^>]*>.*?(?:</script\s*>|\z)"
+               r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+               r"|<noscript\b[^>]*>.*?(?:</noscript\s*>|\z)")
+# Any markup tag; a > inside a quoted attribute does not end it.
+HTML_TAG = r"""<[!/?a-zA-Z][^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*>|<[!/?a-zA-Z][^>]*>"""
 
 # Fixed value (must equal the reference's for equal sections): the filing
 # section header, e.g. "Item 1A. Risk Factors" — case-insensitive; the title
@@ -149,7 +152,6 @@ def decode_entities(c: Column) -> Column:
 def html_to_text_expr(html_col: Column) -> Column:
     """HTML -> visible text, one text node per line (see ``html_to_text``)."""
     s = F.regexp_replace(html_col, HTML_HIDDEN, "\n")
-    s = F.regexp_replace(s, HTML_COMMENT, "\n")
     s = F.regexp_replace(s, HTML_TAG, "\n")
     s = decode_entities(s)
     return clean_lines(s)

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.functions.text import (SECTION_HEADER, WS, normalize_header, word_tokens)
-from tallystone.operators.partitioning import spread
 from tallystone.schemas import (DEFAULT_CHUNK_OVERLAP, DEFAULT_CHUNK_SIZE,
                                 DEFAULT_MIN_SECTION_TOKENS, FULL_DOCUMENT_TITLE, PREAMBLE_TITLE)
 
@@ -207,7 +206,7 @@ def with_sections(docs: DataFrame, text_col: str, out_col: str,
 def split_sections(docs: DataFrame, text_col: str = "text", id_cols=("doc_id",),
                    min_tokens: int = DEFAULT_MIN_SECTION_TOKENS, merge: bool = True) -> DataFrame:
     """One row per (document, section): ``section_idx, title, section_text``."""
-    df = with_sections(spread(docs.select(*id_cols, text_col), id_cols), text_col, "_secs",
+    df = with_sections(docs.select(*id_cols, text_col), text_col, "_secs",
                        min_tokens, merge)
     return df.select(*id_cols, F.posexplode_outer("_secs").alias("section_idx", "s")) \
         .filter(F.col("s").isNotNull()) \
@@ -243,7 +242,7 @@ def token_windows(docs: DataFrame, text_col: str = "text", id_cols=("doc_id",),
     sub-word tokenizer); the default is whitespace-separated words.
     """
     toks = tokens if tokens is not None else word_tokens(F.col(text_col))
-    df = spread(docs, id_cols).select(*id_cols, toks.alias("_toks"))
+    df = docs.select(*id_cols, toks.alias("_toks"))
     return df.select(*id_cols, F.posexplode_outer(token_windows_expr(F.col("_toks"), size, overlap))
                      .alias("window_index", "w")) \
         .filter(F.col("w").isNotNull()) \
@@ -257,7 +256,7 @@ def build_chunks(docs: DataFrame, text_col: str = "text", id_cols=("doc_id",),
 
     ``chunk_index`` is 0-based over the whole document, across sections.
     """
-    df = with_sections(spread(docs.select(*id_cols, text_col), id_cols), text_col, "_secs", min_tokens)
+    df = with_sections(docs.select(*id_cols, text_col), text_col, "_secs", min_tokens)
     df = _with(df, _stoks=F.transform("_secs", lambda s: F.struct(
         s["title"].alias("title"), word_tokens(s["text"]).alias("toks"))))
     per_sec = F.transform("_stoks", lambda s: F.transform(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystone.schemas import (CONCEPT_TAGS, DERIVED_CONCEPT, DERIVED_TAG, DERIVED_UNIT,
@@ -60,15 +60,20 @@ def tag_fallback_doc(company_facts: DataFrame, concept_tags: dict | None = None,
 
 
 def uncovered_concepts(tidy: DataFrame, concepts: Sequence[str], entity_col: str = "cik",
-                       concept_col: str = "concept") -> DataFrame:
+                       concept_col: str = "concept", entities: DataFrame | None = None) -> DataFrame:
     """(entity, concept) for every curated concept an entity has no fact for.
 
     Per entity the set of concepts present (bounded by the curated list) is
     subtracted from the fixed list; no entity x concept pairing is built.
+    ``entities`` lists the entities asked for, so that one without any fact is
+    reported with every concept; without it only entities with facts appear.
     """
     wanted = F.array(*[F.lit(c) for c in concepts])
     have = tidy.groupBy(entity_col).agg(F.collect_set(concept_col).alias("_have"))
-    return have.select(entity_col, F.explode(F.array_except(wanted, F.col("_have"))).alias(concept_col))
+    if entities is not None:
+        have = entities.select(entity_col).distinct().join(have, entity_col, "left")
+    missing = F.array_except(wanted, F.coalesce(F.col("_have"), F.array().cast("array<string>")))
+    return have.select(entity_col, F.explode(missing).alias(concept_col))
 
 
 def tag_fallback(facts: DataFrame, dim: DataFrame, entity_cols: Sequence[str],
@@ -93,21 +98,24 @@ def tag_fallback(facts: DataFrame, dim: DataFrame, entity_cols: Sequence[str],
 def derived_ratio(facts: DataFrame, keys: Sequence[str], numerator: str = "gross_profit",
                   denominator: str = "revenue", concept_col: str = "concept",
                   value_col: str = "value", scale: float = 100.0, digits: int = 2,
-                  out_col: str = "ratio", carry: Sequence[str] = ()) -> DataFrame:
+                  out_col: str = "ratio", carry: Sequence[str] = (),
+                  order: Sequence[str] = ()) -> DataFrame:
     """numerator / denominator x scale per key, both sides required.
 
     One shuffle: a conditional aggregate over the two concepts instead of a
     self join, so N rows on one side and M on the other never become N x M
-    pairs. Several rows of one side under one key are summed. A zero
-    denominator gives NULL (no inf, no error). ``carry`` columns keep their
-    greatest non-NULL value over the key's rows.
+    pairs. Several rows of one side under one key are versions of one value:
+    the one with the greatest (``order`` columns, value) counts, never their
+    sum. A zero denominator gives NULL (no inf, no error). ``carry`` columns
+    keep their greatest non-NULL value over the key's rows.
     """
     c, v = F.col(concept_col), F.col(value_col)
+    version = F.struct(*order, v.alias("v"))
     g = (facts.filter(c.isin(numerator, denominator))
          .groupBy(*keys)
          .agg(*[F.max(x).alias(x) for x in carry],
-              F.sum(F.when(c == numerator, v)).alias("num_value"),
-              F.sum(F.when(c == denominator, v)).alias("den_value"),
+              F.max(F.when((c == numerator) & v.isNotNull(), version))["v"].alias("num_value"),
+              F.max(F.when((c == denominator) & v.isNotNull(), version))["v"].alias("den_value"),
               F.count(F.when(c == numerator, 1)).alias("_n"),
               F.count(F.when(c == denominator, 1)).alias("_d"))
          .filter((F.col("_n") > 0) & (F.col("_d") > 0))
@@ -127,7 +135,8 @@ def gross_margin(facts: DataFrame, entity_cols: Sequence[str] = ("cik",),
     """
     keys = list(entity_cols) + ["start", "end", "form", "accession_number"]
     carry = ["fiscal_year", "fiscal_period"] if inherit_period else []
-    r = derived_ratio(facts, keys, out_col="value", carry=carry)
+    order = ["filed_date"] if "filed_date" in facts.columns else []
+    r = derived_ratio(facts, keys, out_col="value", carry=carry, order=order)
     fy = F.col("fiscal_year").cast("int") if inherit_period else F.lit(None).cast("int")
     fp = F.col("fiscal_period") if inherit_period else F.lit(None).cast("string")
     return r.select(*entity_cols, F.lit(DERIVED_CONCEPT).alias("concept"),
@@ -167,20 +176,24 @@ def yoy_growth(df: DataFrame, series: Sequence[str], period_col: str, value_col:
     return out.withColumn("growth_pct", F.round(growth * F.lit(100.0), digits))
 
 
-def fact_yoy(stored: DataFrame, entity_col: str = "cik") -> DataFrame:
+def fact_yoy(stored: DataFrame, entity_col: str = "cik", days: tuple[int, int] = (350, 380)) -> DataFrame:
     """Year-over-year growth on stored facts (period dates as DATE).
 
-    Series: (entity, concept, duration bucket); the prior value is the one
-    whose period ends 12 months earlier (month index), newest filing first.
+    Series: (entity, concept, duration bucket), the newest filing of each
+    period end. The prior value is the latest whose period ended 350 to 380
+    days before, so 52/53-week years and month ends of other lengths meet; a
+    range frame over the series finds it in one pass, a missing year gives NULL.
     """
     from tallystone.operators.store import latest_by_key
-    f = stored.withColumn("bucket", duration_bucket(F.col("period_start"), F.col("period_end"))) \
-        .withColumn("end_month", F.year("period_end") * 12 + F.month("period_end"))
-    one = latest_by_key(f.select(entity_col, "concept", "bucket", "end_month", "value",
-                                 "filed_date", "accession_number"),
-                        [entity_col, "concept", "bucket", "end_month"],
-                        ["filed_date", "accession_number"])
-    return yoy_growth(one, [entity_col, "concept", "bucket"], "end_month", "value", step=12)
+    f = stored.withColumn("bucket", duration_bucket(F.col("period_start"), F.col("period_end")))
+    series = [entity_col, "concept", "bucket"]
+    one = latest_by_key(f.select(*series, "period_end", "value", "filed_date", "accession_number"),
+                        [*series, "period_end"], ["filed_date", "accession_number"])
+    day = F.datediff("period_end", F.lit("1970-01-01").cast("date"))
+    year_ago = Window.partitionBy(*series).orderBy(day).rangeBetween(-days[1], -days[0])
+    out = one.withColumn("prev_value", F.last("value").over(year_ago))
+    growth = F.try_divide(F.col("value") - F.col("prev_value"), F.col("prev_value"))
+    return out.withColumn("growth_pct", F.round(growth * F.lit(100.0), 4))
 
 
 def facts_to_store(company_facts: DataFrame, tickers: DataFrame | None = None,

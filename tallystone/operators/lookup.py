@@ -68,12 +68,16 @@ def compare_concept(facts: DataFrame, requests: DataFrame, key_col: str = "ticke
 
     ``requests`` is ``(ord, key)``; repeated keys repeat, unknown keys drop.
     ``per`` adds grouping columns (e.g. the concept, to compare every concept
-    at once). One join of the request list with the per-entity newest facts
-    replaces the reference's per-ticker round trips.
+    at once). Text keys are compared in upper case, as tickers are stored.
+    Only facts of requested entities are ranked (semi join first), then one
+    join with the request list replaces per-entity round trips.
     """
-    newest = latest_by_key(filter_facts(facts, **filters), [key_col, *per], order)
-    return (requests.select(ord_col, key_col).join(newest, key_col, "inner")
-            .orderBy(ord_col))
+    asked = requests.select(ord_col, key_col)
+    if asked.schema[key_col].dataType.simpleString() == "string":
+        asked = asked.withColumn(key_col, F.upper(key_col))
+    wanted = filter_facts(facts, **filters).join(asked.select(key_col).distinct(), key_col, "left_semi")
+    newest = latest_by_key(wanted, [key_col, *per], order)
+    return asked.join(newest, key_col, "inner").orderBy(ord_col)
 
 
 def concept_coverage(facts: DataFrame, dim: DataFrame, concept_col: str = "concept",

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tallystone.functions import let
 from tallystone.functions.text import WS_RUN, quote_literal_regex
-from tallystone.operators.partitioning import spread
 from tallystone.schemas import CONCEPT_KEYWORDS, SNIPPET_AFTER, SNIPPET_BEFORE
 
 SCALES = [1.0, 1e3, 1e6, 1e9]
@@ -131,7 +130,7 @@ def keyword_snippets(docs: DataFrame, keywords: Sequence[tuple[str, int, str]],
     node per line) is still found.
     """
     kws = list(keywords)
-    df = spread(docs, id_cols)
+    df = docs
     if normalize_ws:
         df = df.withColumn(text_col, F.regexp_replace(F.col(text_col), WS_RUN, " "))
     df = df.withColumn("_lt", F.lower(F.col(text_col)))
@@ -170,51 +169,82 @@ def match_text_files(facts: DataFrame, texts: DataFrame, accn_col: str = "access
     to the smallest file name.
     """
     nodash = F.regexp_extract(F.col(file_col), r"(\d{10}-?\d{2}-?\d{6})", 1)
-    t = (texts.withColumn("_accn", F.replace(nodash, F.lit("-"), F.lit("")))
-         .groupBy("_accn").agg(F.min(F.struct(file_col, "text")).alias("_f"))
-         .select("_accn", F.col("_f." + file_col).alias(file_col), F.col("_f.text").alias("text")))
+    named = texts.withColumn("_accn", F.replace(nodash, F.lit("-"), F.lit("")))
+    # the choice is made on names alone; the texts move once, in the join
+    chosen = named.groupBy("_accn").agg(F.min(file_col).alias(file_col))
+    t = named.join(chosen, ["_accn", file_col], "left_semi").select("_accn", file_col, "text")
     f = facts.withColumn("_accn", F.replace(F.col(accn_col), F.lit("-"), F.lit("")))
     return f.join(t, "_accn", "left").drop("_accn")
 
 
 def renderings(value: Column, scales: Sequence[float] = SCALES) -> Column:
     """How a value may be printed in a filing: at each scale where it is a
-    whole number, with thousands commas; negatives as ``(x)`` and ``-x``."""
+    whole number, with thousands commas; unscaled also with two decimals, or
+    one if the second is zero; negatives as ``(x`` (the closing parenthesis may
+    stand elsewhere) and ``-x``."""
     items = []
     a = F.abs(value)
     for s in scales:
         x = a / F.lit(s)
         whole = (x == F.floor(x)) & (x >= 1)
-        txt = F.format_number(x, 0)
-        neg = value < 0
-        items.append(F.when(whole, F.struct(F.lit(s).alias("scale"), F.when(
-            neg, F.array(F.concat(F.lit("("), txt, F.lit(")")), F.concat(F.lit("-"), txt)))
-            .otherwise(F.array(txt)).alias("forms"))))
+        forms = F.when(whole, F.array(F.format_number(x, 0)))
+        if s == 1:
+            cents = F.round(x * 100)
+            two = F.format_number(x, 2)
+            decimal = (F.abs(x * 100 - cents) < 1e-6) & (cents > 0)
+            forms = F.when(whole, F.array(F.format_number(x, 0), two)).when(
+                decimal, F.when(cents % 10 == 0, F.array(two, F.format_number(x, 1))).otherwise(F.array(two)))
+        signed = F.when(value < 0, F.flatten(F.transform(forms, lambda f: F.array(
+            F.concat(F.lit("("), f), F.concat(F.lit("-"), f))))).otherwise(forms)
+        items.append(F.when(forms.isNotNull(), F.struct(F.lit(float(s)).alias("scale"), signed.alias("forms"))))
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
+def whole_number(form: Column) -> Column:
+    """A pattern for a printed number that is no part of a longer one (no look-around, so that any regex engine takes it)."""
+    plain = F.replace(F.replace(form, F.lit("."), F.lit("\\.")), F.lit("("), F.lit("\\("))
+    return F.concat(F.lit("(?:^|[^0-9.,])"), plain, F.lit("(?:$|[^0-9.,]|[.,](?:$|[^0-9]))"))
+
+
 def reconcile_auto(facts: DataFrame, value_col: str = "value", text_col: str = "text",
                    scales: Sequence[float] = SCALES) -> DataFrame:
     """Machine check of a value against its evidence text.
 
-    ``verified`` when any rendering occurs in the text; ``matched_scale`` is
-    the smallest scale that matched.
+    ``verified`` when any rendering occurs in the text as a number of its
+    own (5 is not found in 15, nor 1 in 21); ``matched_scale`` is the smallest
+    scale that matched.
     """
     r = renderings(F.col(value_col), scales)
-    hit = F.filter(r, lambda x: F.exists(x["forms"], lambda f: F.contains(F.col(text_col), f)))
+    t = F.col(text_col)
+    hit = F.filter(r, lambda x: F.exists(x["forms"], lambda f: F.contains(t, f) & F.regexp_like(t, whole_number(f))))
     return (facts.withColumn("matched_scale", F.try_element_at(hit, F.lit(1))["scale"])
-            .withColumn("verified", F.size(hit) > 0))
+            .withColumn("verified", F.coalesce(F.size(hit) > 0, F.lit(False)) & t.isNotNull()))
+
+
+#: What tells versions of one fact apart, greatest first: the shortest period
+#: (its start is the latest, the end being part of the key), the newest filing.
+FACT_VERSION = ("period_start", "filed_date", "accession_number")
+
+
+def one_fact(facts: DataFrame, keys: Sequence[str], value_col: str, out_col: str,
+             order: Sequence[str] | None = None) -> DataFrame:
+    """One value per key: of its versions the one with the greatest (``order``, value)."""
+    order = [c for c in FACT_VERSION if c in facts.columns and c not in keys] if order is None else list(order)
+    v = F.col(value_col)
+    pick = F.max(F.when(v.isNotNull(), F.struct(*order, v.alias("_v"))))
+    return facts.groupBy(*keys).agg(pick["_v"].alias(out_col))
 
 
 def golden_eval(golden: DataFrame, facts: DataFrame, keys: Sequence[str],
                 expected_col: str = "expected_value", value_col: str = "value",
-                rel_tol: float = 0.0, abs_tol: float = 0.0) -> DataFrame:
+                rel_tol: float = 0.0, abs_tol: float = 0.0,
+                order: Sequence[str] | None = None) -> DataFrame:
     """Expected vs stored value per golden record.
 
-    The fact side is reduced to one row per key first (its greatest value
-    tuple), so a record meets at most one fact.
+    The fact side is reduced to one row per key first (``one_fact``: the
+    shortest period, then the newest filing), so a record meets one fact.
     """
-    one = facts.groupBy(*keys).agg(F.max(F.col(value_col)).alias("actual_value"))
+    one = one_fact(facts, keys, value_col, "actual_value", order)
     j = golden.join(one, list(keys), "left")
     diff = F.abs(F.col(expected_col) - F.col("actual_value"))
     tol = F.greatest(F.lit(abs_tol), F.lit(rel_tol) * F.abs(F.col(expected_col)))
@@ -232,9 +262,10 @@ def golden_accuracy(evaluated: DataFrame) -> DataFrame:
 
 def verify_claims(claims: DataFrame, facts: DataFrame, keys: Sequence[str],
                   claimed_col: str = "claimed_value", value_col: str = "value",
-                  rel_tol: float = 0.0, abs_tol: float = 0.005) -> DataFrame:
+                  rel_tol: float = 0.0, abs_tol: float = 0.005,
+                  order: Sequence[str] | None = None) -> DataFrame:
     """Verdict for every generated number: verified / mismatch / no_fact."""
-    one = facts.groupBy(*keys).agg(F.max(F.col(value_col)).alias("fact_value"))
+    one = one_fact(facts, keys, value_col, "fact_value", order)
     j = claims.join(one, list(keys), "left")
     tol = F.greatest(F.lit(abs_tol), F.lit(rel_tol) * F.abs(F.col("fact_value")))
     ok = F.abs(F.col(claimed_col) - F.col("fact_value")) <= tol

@@ -35,10 +35,8 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     ``order`` must be a total order within a key for a deterministic result.
     NULL parts of a key form one group; NULL order values sort lowest.
     """
-    from tallystone.operators.partitioning import spread
     w = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in _cols(order)])
-    # the per-task limit sorts its input: give it every core on a small scan
-    return (spread(df).withColumn("_rn", F.row_number().over(w))
+    return (df.withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 

@@ -7,7 +7,9 @@ emits one row per cell. Spark partitions the pages; nothing is collected.
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -15,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystone.operators.partitioning import spread
 
+#: Cells sent on at once; spans can make many of a small page.
+CELLS_PER_FRAME = 20_000
 _WS = re.compile(r"\s+")
 _PLAIN_NUMBER = re.compile(r"^-?\d{1,3}(,\d{3})+(\.\d+)?$")
 _NUM = re.compile(r"^-?\d+(\.\d+)?$")
@@ -46,101 +49,114 @@ def cell_number_expr(c):
 
 
 class _Tables(HTMLParser):
-    """Collect every table as rows of cell texts, expanding row/col spans."""
+    """Collect every table as rows of (text, rowspan, colspan); end tags of
+    cells and rows are optional, and a table open at the end is complete."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tables: list[list[list[str]]] = []   # by start order
+        self.tables: list[list[list[tuple]]] = []   # by start order
         self.stack: list[dict] = []                 # open tables
         self.skip = 0                               # inside script/style/noscript
 
     def handle_starttag(self, tag, attrs):
         if tag in ("script", "style", "noscript"):
             self.skip += 1
-            return
-        if tag == "table":
+        elif tag == "table":
             self.tables.append([])
-            self.stack.append({"idx": len(self.tables) - 1, "grid": {}, "row": -1, "cell": None})
-            return
-        if not self.stack:
-            return
-        t = self.stack[-1]
-        if tag == "tr":
-            t["row"] += 1
-            t["col"] = 0
-        elif tag in ("td", "th"):
-            if t["row"] < 0:
-                t["row"], t["col"] = 0, 0
-            a = dict(attrs)
-            t["cell"] = {"text": [], "rs": _span(a.get("rowspan")), "cs": _span(a.get("colspan"))}
-        elif tag == "br" and t["cell"] is not None:
-            t["cell"]["text"].append(" ")
+            self.stack.append({"rows": self.tables[-1], "cell": None})
+        elif self.stack:
+            t = self.stack[-1]
+            if tag == "tr":
+                self._close_cell(t)
+                t["rows"].append([])
+            elif tag in ("td", "th"):
+                self._close_cell(t)
+                if not t["rows"]:
+                    t["rows"].append([])
+                a = dict(attrs)
+                t["cell"] = ([], _span(a.get("rowspan")), _span(a.get("colspan")))
+            elif tag == "br" and t["cell"] is not None:
+                t["cell"][0].append(" ")
 
     def handle_endtag(self, tag):
         if tag in ("script", "style", "noscript"):
             self.skip = max(0, self.skip - 1)
-            return
-        if not self.stack:
-            return
-        t = self.stack[-1]
-        if tag in ("td", "th"):
-            self._close_cell(t)
-        elif tag == "table":
-            self._close_cell(t)
-            grid = t["grid"]
-            rows = []
-            for r in sorted(grid):
-                cols = grid[r]
-                rows.append([cols.get(c, "") for c in range(max(cols) + 1)] if cols else [])
-            self.tables[t["idx"]] = rows
-            self.stack.pop()
+        elif self.stack and tag in ("td", "th", "tr", "table"):
+            self._close_cell(self.stack[-1])
+            if tag == "table":
+                self.stack.pop()
 
     def handle_data(self, data):
-        if self.skip or not self.stack:
-            return
-        cell = self.stack[-1]["cell"]
-        if cell is not None:
-            cell["text"].append(data)
+        if not self.skip and self.stack and self.stack[-1]["cell"] is not None:
+            self.stack[-1]["cell"][0].append(data)
+
+    def close(self):
+        super().close()
+        for t in self.stack:
+            self._close_cell(t)
 
     def _close_cell(self, t):
-        cell = t["cell"]
-        if cell is None:
-            return
-        text = _WS.sub(" ", "".join(cell["text"])).strip()
-        if _PLAIN_NUMBER.match(text):
-            text = text.replace(",", "")
-        grid, r = t["grid"], t["row"]
-        c = t.get("col", 0)
-        while c in grid.get(r, {}):
-            c += 1
-        for dr in range(cell["rs"]):
-            for dc in range(cell["cs"]):
-                grid.setdefault(r + dr, {})[c + dc] = text
-        t["col"] = c + cell["cs"]
-        t["cell"] = None
+        if t["cell"] is not None:
+            pieces, rs, cs = t["cell"]
+            text = _WS.sub(" ", "".join(pieces)).strip()
+            if _PLAIN_NUMBER.match(text):
+                text = text.replace(",", "")
+            t["rows"][-1].append((text, rs, cs))
+            t["cell"] = None
 
 
 def _span(v) -> int:
     try:
-        return max(1, min(int(v), 1000))
+        return max(1, int(v))
     except (TypeError, ValueError):
         return 1
 
 
-def parse_tables(html: str | None) -> list[tuple[int, int, int, str]]:
+def _expand(rows) -> Iterator[list[str]]:
+    """Rows of cell texts with spans filled in, one at a time; rows that only
+    spans from above reach follow the last one. Rows without cells vanish."""
+    above: dict[int, tuple[str, int]] = {}          # column -> text, rows still to fill
+    rows = iter(rows)
+    while True:
+        cells = next(rows, None)
+        if cells is None and not above:
+            return
+        line: dict[int, str] = {}
+        below: dict[int, tuple[str, int]] = {}
+        col = 0
+        for text, rs, cs in cells or ():
+            while col in above:
+                col += 1
+            for c in range(col, col + cs):
+                line[c] = text
+                if rs > 1:
+                    below[c] = (text, rs - 1)
+            col += cs
+        for c, (text, left) in above.items():
+            if c not in line:
+                line[c] = text
+                if left > 1:
+                    below[c] = (text, left - 1)
+        above = below
+        if line:
+            yield [line.get(c, "") for c in range(max(line) + 1)]
+
+
+def iter_cells(html: str | None) -> Iterator[tuple[int, int, int, str]]:
     """(table_idx, row_idx, col_idx, cell) of every non-empty table; empty
     tables are skipped but keep their place in the numbering."""
-    if not html:
-        return []
     p = _Tables()
-    p.feed(html)
+    p.feed(html or "")
     p.close()
-    out = []
     for ti, rows in enumerate(p.tables):
-        for ri, row in enumerate(rows):
+        for ri, row in enumerate(_expand(rows)):
             for ci, cell in enumerate(row):
-                out.append((ti, ri, ci, cell))
-    return out
+                yield ti, ri, ci, cell
+
+
+def parse_tables(html: str | None) -> list[tuple[int, int, int, str]]:
+    """All cells of one page at once (``iter_cells`` yields them one by one)."""
+    return list(iter_cells(html))
 
 
 CELL_FIELDS = [T.StructField("table_idx", T.IntegerType()), T.StructField("row_idx", T.IntegerType()),
@@ -151,17 +167,17 @@ CELL_FIELDS = [T.StructField("table_idx", T.IntegerType()), T.StructField("row_i
 def html_tables(pages: DataFrame, html_col: str = "html", id_cols=("page_id",)) -> DataFrame:
     """One row per table cell: ids, table_idx, row_idx, col_idx, cell, num."""
     ids = list(id_cols)
-    src = spread(pages.select(*ids, html_col), ids)
+    src = pages.select(*ids, html_col)
     schema = T.StructType([src.schema[c] for c in ids] + CELL_FIELDS[:-1])
 
+    names = [f.name for f in schema.fields]
+
     def cells(batches):
         for pdf in batches:
-            rows = []
-            for rec in pdf.itertuples(index=False):
-                key = tuple(getattr(rec, c) for c in ids)
-                for ti, ri, ci, cell in parse_tables(getattr(rec, html_col)):
-                    rows.append(key + (ti, ri, ci, cell))
-            yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
+            rows = ((*key, *cell) for *key, html in pdf[[*ids, html_col]].itertuples(index=False, name=None)
+                    for cell in iter_cells(html))
+            while part := list(itertools.islice(rows, CELLS_PER_FRAME)):
+                yield pd.DataFrame(part, columns=names)
 
     # the number rule runs JVM-side, after the parse
     return src.mapInPandas(cells, schema).withColumn("num", cell_number_expr(F.col("cell")))

@@ -23,6 +23,8 @@ from tallystone.schemas import DEFAULT_TOP_K, EMBEDDING_BATCH_SIZE
 
 # Upper bound for the broadcast query matrix (queries x dim x 8 bytes).
 MAX_QUERY_BYTES = 256 << 20
+# Upper bound for the entries of one distance matrix (queries x items).
+MAX_TILE = 4 << 20
 DISTANCE_DIGITS = 6
 
 
@@ -35,7 +37,10 @@ def _query_matrix(queries: DataFrame, qid_col: str, vec_col: str, width: int):
     rows = queries.select(qid_col, vec_col).limit(cap + 1).collect()
     if len(rows) > cap:
         return None                                   # caller splits the group again
-    dim = next((len(r[1]) for r in rows if r[1] is not None and len(r[1]) > 0), 0)
+    widths = {len(r[1]) for r in rows if r[1] is not None and len(r[1]) > 0}
+    if len(widths) > 1:
+        raise ValueError(f"query vectors differ in width: {sorted(widths)}")
+    dim = max(widths, default=0)
     ids = [r[0] for r in rows]
     m = np.zeros((len(rows), dim), dtype=np.float64)
     for i, r in enumerate(rows):
@@ -76,7 +81,7 @@ def vector_search(items: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
     # The query side is read a few times while its matrix is collected (all
     # eagerly, below); keep it for that span only.
     from pyspark import StorageLevel
-    qs = queries.select(qid_col, qvec_col).persist(StorageLevel.MEMORY_AND_DISK)
+    qs = queries.select(qid_col, qvec_col).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = qs.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec_col)).alias("d")).first()
         n_q, dim = int(stats["n"]), max(1, int(stats["d"] or 1))
@@ -85,26 +90,32 @@ def vector_search(items: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
         qid_type = queries.schema[qid_col].dataType
         if groups > 1:
             # beyond the broadcast bound: one exact pass per hash group of queries
-            g = F.pmod(F.xxhash64(F.col(qid_col)), F.lit(groups))
+            g = F.pmod(F.xxhash64(qid_col, qvec_col), F.lit(groups))
             parts = [_search_pass(f, qs.filter(g == i), k, id_col, vec_col, qid_col, qvec_col,
                                   payload, qid_type, dim=dim) for i in range(groups)]
-            out = parts[0]
+            cand = parts[0]
             for p_ in parts[1:]:
-                out = out.unionByName(p_)
-            return out
-        return _search_pass(f, qs, k, id_col, vec_col, qid_col, qvec_col, payload, qid_type, dim=dim)
+                cand = cand.unionByName(p_)
+        else:
+            cand = _search_pass(f, qs, k, id_col, vec_col, qid_col, qvec_col, payload, qid_type, dim=dim)
     finally:
         qs.unpersist()
+    # ranked once over all passes: a query id may have vectors in several groups
+    keep_cols = [id_col] + [c for c in payload if c != id_col]
+    w = Window.partitionBy(qid_col).orderBy(F.col("distance").asc(), F.col(id_col).asc())
+    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select(qid_col, "rank", *keep_cols, "distance"))
 
 
 def _search_pass(f: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str,
                  qid_col: str, qvec_col: str, payload: Sequence[str], qid_type,
                  depth: int = 0, dim: int = 1) -> DataFrame:
-    """One scan of the items against a query set whose matrix fits the bound
-    (a set that does not fit is halved by another hash and searched twice)."""
+    """Candidates (each batch's best ``k``) of one scan of the items against a
+    query set whose matrix fits the bound (a set that does not fit is halved by another hash and searched twice)."""
     got = _query_matrix(queries, qid_col, qvec_col, dim)
     if got is None:
-        h = F.pmod(F.xxhash64(F.col(qid_col), F.lit(depth + 1)), F.lit(2))
+        # distinct (id, vector) rows: the hash tells them apart, so halving ends
+        h = F.pmod(F.xxhash64(qid_col, qvec_col, F.lit(depth + 1)), F.lit(2))
         return (_search_pass(f, queries.filter(h == 0), k, id_col, vec_col, qid_col, qvec_col,
                              payload, qid_type, depth + 1, dim)
                 .unionByName(_search_pass(f, queries.filter(h == 1), k, id_col, vec_col, qid_col,
@@ -125,9 +136,10 @@ def _search_pass(f: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col:
         import pyarrow.compute as pc
         ids_q, mat, ok = bq.value
         dim = mat.shape[1]
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
+        if not ok.any():
+            return                                     # no query to answer
+        step = max(1, MAX_TILE // max(1, len(ids_q)))   # bounds queries x items held at once
+        for rb in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
             col = rb.column("_v")
             lens = pc.list_value_length(col).to_numpy(zero_copy_only=False)
             if (lens != dim).any():
@@ -162,10 +174,7 @@ def _search_pass(f: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col:
                 [pa.array(np.concatenate(ds), type=pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[qid_col, *keep_cols, "distance"])
 
-    cand = src.mapInArrow(topk, out_schema)
-    w = Window.partitionBy(qid_col).orderBy(F.col("distance").asc(), F.col(id_col).asc())
-    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(qid_col, "rank", *keep_cols, "distance"))
+    return src.mapInArrow(topk, out_schema)
 
 
 def centroids(items: DataFrame, group_col: str, vec_col: str = "embedding",
@@ -222,7 +231,7 @@ def embed_chunks(chunks: DataFrame, text_col: str = "chunk_text", dim: int = 153
 
 def check_same_model(chunks: DataFrame, model_id: str, model_col: str = "embed_model") -> None:
     """Raise if any stored vector was made by another model (bounded: distinct ids)."""
-    others = (chunks.select(model_col).distinct().filter(F.col(model_col) != F.lit(model_id))
+    others = (chunks.select(model_col).distinct().filter(~F.col(model_col).eqNullSafe(F.lit(model_id)))
               .limit(5).collect())
     if others:
         raise ValueError(f"chunks embedded with {[r[0] for r in others]}, query with {model_id}")

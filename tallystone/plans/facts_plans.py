@@ -121,14 +121,14 @@ def q_tag_fallback(spark, sf_dir):
     return tag_fallback(o, dim, ["o_custkey"], tag_col="o_orderpriority")
 
 
-# --- derived_ratio: events per (user, day): purchase value over view value
-# x 100, 2 places; both sides required, a zero view total gives NULL.
+# --- derived_ratio: events per (user, day): the last purchase's value over
+# the last view's x 100, 2 places; both sides required, a zero view gives NULL.
 @register("derived_ratio", sql="""
 SELECT user_id, day, round(num_value, 2) AS num_value, round(den_value, 2) AS den_value,
        round(num_value / nullif(den_value, 0) * 100.0, 2) AS ratio
 FROM (SELECT user_id, CAST(ts AS DATE) AS day,
-             sum(CASE WHEN event_type = 'purchase' THEN value END) AS num_value,
-             sum(CASE WHEN event_type = 'view' THEN value END) AS den_value,
+             arg_max(value, {'ts': ts, 'v': value}) FILTER (WHERE event_type = 'purchase') AS num_value,
+             arg_max(value, {'ts': ts, 'v': value}) FILTER (WHERE event_type = 'view') AS den_value,
              count(CASE WHEN event_type = 'purchase' THEN 1 END) AS n_num,
              count(CASE WHEN event_type = 'view' THEN 1 END) AS n_den
       FROM events WHERE event_type IN ('purchase', 'view')
@@ -139,8 +139,7 @@ def q_derived_ratio(spark, sf_dir):
     from tallystone.operators.facts import derived_ratio
     ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     r = derived_ratio(ev, ["user_id", "day"], numerator="purchase", denominator="view",
-                      concept_col="event_type")
-    # sums of doubles: reported to the cent (summation order differs between engines)
+                      concept_col="event_type", order=["ts"])
     return r.withColumn("num_value", F.round("num_value", 2)).withColumn("den_value", F.round("den_value", 2))
 
 
@@ -163,38 +162,42 @@ def q_yoy_growth(spark, sf_dir):
 
 
 # --- fact_yoy: store rows from orders (entity o_custkey, concept priority,
-# a 90-day period ending on the order date, filed 30 days later); growth of
-# each value over the one whose period ended 12 months earlier in the same
-# duration bucket, the newest filing per month first.
+# a period of 90, 180 or 364 days ending on the order date, filed 30 days
+# later); growth of each value over the latest that ended 350 to 380 days
+# before in the same duration bucket, the newest filing per period end.
 @register("fact_yoy", sql="""
 WITH f AS (
-  SELECT o_custkey AS cik, o_orderpriority AS concept, 'Q' AS bucket,
-         (year(o_orderdate) * 12 + month(o_orderdate))::INT AS end_month, o_totalprice AS value,
+  SELECT o_custkey AS cik, o_orderpriority AS concept,
+         CASE o_orderkey % 3 WHEN 0 THEN 'Q' WHEN 1 THEN 'H' ELSE 'FY' END AS bucket,
+         o_orderdate::DATE AS period_end, o_totalprice AS value,
          (o_orderdate + INTERVAL 30 DAY)::DATE AS filed_date, o_orderkey AS accession_number
   FROM orders),
-one AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY cik, concept, bucket, end_month
-          ORDER BY filed_date DESC NULLS LAST, accession_number DESC) = 1)
-SELECT c.cik, c.concept, c.bucket, c.end_month, c.value, p.value AS prev_value,
-       round((c.value - p.value) / nullif(p.value, 0) * 100.0, 4) AS growth_pct
-FROM one c LEFT JOIN one p ON p.cik = c.cik AND p.concept = c.concept AND p.bucket = c.bucket
-                          AND p.end_month = c.end_month - 12
+one AS (SELECT *, datediff('day', DATE '1970-01-01', period_end) AS day FROM f
+        QUALIFY row_number() OVER (PARTITION BY cik, concept, bucket, period_end
+          ORDER BY filed_date DESC NULLS LAST, accession_number DESC) = 1),
+g AS (SELECT *, last_value(value) OVER (PARTITION BY cik, concept, bucket ORDER BY day
+                  RANGE BETWEEN 380 PRECEDING AND 350 PRECEDING) AS prev_value FROM one)
+SELECT cik, concept, bucket, period_end, value, prev_value,
+       round((value - prev_value) / nullif(prev_value, 0) * 100.0, 4) AS growth_pct
+FROM g
 """)
 def q_fact_yoy(spark, sf_dir):
     from tallystone.operators.facts import fact_yoy
     o = table(spark, sf_dir, "orders")
     end = F.to_date("o_orderdate")
+    long = F.element_at(F.array(F.lit(90), F.lit(180), F.lit(364)), (F.col("o_orderkey") % 3 + 1).cast("int"))
     stored = o.select(F.col("o_custkey").alias("cik"), F.col("o_orderpriority").alias("concept"),
-                      F.date_sub(end, 90).alias("period_start"), end.alias("period_end"),
+                      F.date_sub(end, long).alias("period_start"), end.alias("period_end"),
                       F.col("o_totalprice").alias("value"), F.date_add(end, 30).alias("filed_date"),
                       F.col("o_orderkey").alias("accession_number"))
-    return fact_yoy(stored).select("cik", "concept", "bucket", "end_month", "value",
+    return fact_yoy(stored).select("cik", "concept", "bucket", "period_end", "value",
                                    "prev_value", "growth_pct")
 
 
-# --- uncovered_concepts: for every customer with orders, the priorities
-# (of all five) it never used — "no data found" per entity and concept.
+# --- uncovered_concepts: for every customer, with orders or without, the
+# priorities (of all five) it never used.
 @register("uncovered_concepts", sql="""
-WITH e AS (SELECT DISTINCT o_custkey FROM orders),
+WITH e AS (SELECT c_custkey AS o_custkey FROM customer),
 d(concept) AS (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW')),
 h AS (SELECT DISTINCT o_custkey, o_orderpriority AS concept FROM orders)
 SELECT e.o_custkey, d.concept FROM e, d
@@ -203,4 +206,5 @@ WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.o_custkey = e.o_custkey AND h.concept
 def q_uncovered_concepts(spark, sf_dir):
     from tallystone.operators.facts import uncovered_concepts
     o = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderpriority").alias("concept"))
-    return uncovered_concepts(o, FALLBACK_TAGS, entity_col="o_custkey")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    return uncovered_concepts(o, FALLBACK_TAGS, entity_col="o_custkey", entities=customers)

@@ -49,13 +49,14 @@ def q_reconcile_snippets(spark, sf_dir):
 
 # --- reconcile_auto: each order is a fact of value round(total) x 1e6
 # (negative for status F); its evidence line prints round(total) in
-# thousands-comma form, in parentheses for negatives, and one in seven
-# evidence lines carries a different number.
+# thousands-comma form, in parentheses for negatives; one in seven evidence
+# lines carries a different number, one in eleven a longer one that ends with it.
 def _auto_inputs(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     whole = F.round("o_totalprice")
     neg = F.col("o_orderstatus") == "F"
     printed = F.format_number(whole + F.when(F.col("o_orderkey") % 7 == 0, 1).otherwise(0), 0)
+    printed = F.when(F.col("o_orderkey") % 11 == 0, F.concat(F.lit("2,"), printed)).otherwise(printed)
     printed = F.when(neg, F.concat(F.lit("("), printed, F.lit(")"))).otherwise(printed)
     return o.select("o_orderkey",
                     (whole * F.lit(1e6) * F.when(neg, -1.0).otherwise(1.0)).alias("value"),
@@ -66,19 +67,16 @@ def _auto_inputs(spark, sf_dir):
 WITH f AS (
   SELECT o_orderkey,
          round(o_totalprice) * 1e6 * CASE WHEN o_orderstatus = 'F' THEN -1.0 ELSE 1.0 END AS value,
-         'Total net sales ' || CASE WHEN o_orderstatus = 'F'
-           THEN '(' || format('{:,}', (round(o_totalprice) + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END)::BIGINT) || ')'
-           ELSE format('{:,}', (round(o_totalprice) + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END)::BIGINT) END AS text
+         CASE WHEN o_orderkey % 11 = 0 THEN '2,' ELSE '' END
+           || format('{:,}', (round(o_totalprice) + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END)::BIGINT) AS p,
+         'Total net sales ' || CASE WHEN o_orderstatus = 'F' THEN '(' || p || ')' ELSE p END AS text
   FROM orders),
 r AS (SELECT f.*, s.scale, abs(value) / s.scale AS x
       FROM f, (VALUES (1.0::DOUBLE), (1000.0::DOUBLE), (1e6::DOUBLE), (1e9::DOUBLE)) s(scale)),
-h AS (SELECT *, CASE WHEN x = floor(x) AND x >= 1 THEN
-          CASE WHEN value < 0
-               THEN contains(text, '(' || format('{:,}', x::BIGINT) || ')')
-                    OR contains(text, '-' || format('{:,}', x::BIGINT))
-               ELSE contains(text, format('{:,}', x::BIGINT)) END
-        ELSE false END AS hit
-      FROM r)
+n AS (SELECT *, CASE WHEN x = floor(x) AND x >= 1 THEN format('{:,}', x::BIGINT) END AS form FROM r),
+h AS (SELECT *, coalesce(regexp_matches(text, '(?:^|[^0-9.,])' || CASE WHEN value < 0 THEN '(?:\\(|-)' ELSE '' END
+                  || form || '(?:[.]00)?' || '(?:$|[^0-9.,]|[.,](?:$|[^0-9]))'), false) AS hit
+      FROM n)
 SELECT o_orderkey, any_value(value) AS value, any_value(text) AS text,
        min(CASE WHEN hit THEN scale END) AS matched_scale, bool_or(hit) AS verified
 FROM h GROUP BY o_orderkey

@@ -20,4 +20,8 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. ``tallystone.input.partitions`` (a session setting, unset
+    by default) deals it out anew; for inputs that are one Parquet row group."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    n = spark.conf.get("tallystone.input.partitions", None)
+    return df.repartition(int(n)) if n else df

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallystone.functions import ids
-from tallystone.functions.text import HTML_COMMENT, HTML_HIDDEN, WS
+from tallystone.functions.text import HTML_HIDDEN, WS
 from tallystone.operators import facts as facts_ops
 from tallystone.operators import tables
 from tallystone.plans.registry import register, table
@@ -321,7 +321,7 @@ def q_normalize_ids(spark, sf_dir):
 # comments are removed; cells come from the Python table parser.
 def _list_tables(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
-    h = F.regexp_replace(F.regexp_replace(F.col("html"), HTML_HIDDEN, ""), HTML_COMMENT, "")
+    h = F.regexp_replace(F.col("html"), HTML_HIDDEN, "")
     h = F.regexp_replace(h, r"(?i)<ul\b", "<table")
     h = F.regexp_replace(h, r"(?i)</ul\s*>", "</table>")
     h = F.regexp_replace(h, r"(?i)<li\b([^>]*)>", "<tr><td$1>")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallystone.functions.text import (HTML_COMMENT, HTML_HIDDEN, HTML_TAG, LB, SECTION_HEADER, SP,
+from tallystone.functions.text import (HTML_HIDDEN, HTML_TAG, LB, SECTION_HEADER, SP,
                                        WS, WS_RUN)
 from tallystone.operators import chunks
 from tallystone.operators.html import html_to_text
@@ -41,8 +41,8 @@ def _norm_sql(x: str) -> str:
 HTML_TEXT_SQL = f"""
 WITH s0 AS (
   SELECT page_id,
-    regexp_replace(regexp_replace(regexp_replace(html, {_sql_str(HTML_HIDDEN)}, chr(10), 'g'),
-      {_sql_str(HTML_COMMENT)}, chr(10), 'g'), {_sql_str(HTML_TAG)}, chr(10), 'g') AS s
+    regexp_replace(regexp_replace(html, {_sql_str(HTML_HIDDEN)}, chr(10), 'g'),
+       {_sql_str(HTML_TAG)}, chr(10), 'g') AS s
   FROM pages),
 s1 AS (
   -- the references the pages use; legacy names decode with or without ";"

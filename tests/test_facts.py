@@ -35,9 +35,8 @@ def test_tag_fallback_fixture(spark):
     assert got[2] == [("B", "USD", 9.0)]           # empty USD does not fall to EUR
     assert got[3] == [("A", "EUR", 7.0)]           # first unit in document order
     assert 4 not in got
-    unc = fo.uncovered_concepts(tidy.unionByName(
-        spark.createDataFrame([(4, "Co4", "y")], "cik long, entityName string, concept string"),
-        allowMissingColumns=True), ["x"])
+    asked = spark.createDataFrame([(1,), (2,), (3,), (4,)], "cik long")      # 4 has no fact at all
+    unc = fo.uncovered_concepts(tidy, ["x"], entities=asked)
     assert sorted((r.cik, r.concept) for r in unc.collect()) == [(4, "x")]
 
 
