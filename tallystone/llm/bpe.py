@@ -2,8 +2,8 @@
 
 Encoding works on Arrow batches of whole texts. Each match of the splitting
 pattern is encoded by itself, so a match met before in this task is taken from
-a bounded table and only new ones go through the library, one batch call for
-each Arrow batch. The library spells bytes as printable characters; reversing
+a bounded table and only new ones go through the library, in one batch call for
+each text that has any. The library spells bytes as printable characters; reversing
 that byte table gives each id its bytes, which yield byte offsets and, through
 the byte-to-character mapping, character offsets of every token. A character
 split over several tokens counts to each of them: a token's span runs from the
@@ -30,7 +30,9 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 #: Matches kept in a task's table; beyond it the table is begun anew.
-TABLE = 400_000
+TABLE = 100_000
+#: Texts whose ids are held at once, by characters.
+PIECE = 4_000_000
 # The splitting pattern of the public vocabulary, with white
 # space written out as Unicode's White_Space (other engines' \s has more).
 _S = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -94,14 +96,24 @@ class Codec:
         return char[start] if len(ids) else start, char[end - 1] + 1 if len(ids) else end
 
 
+def pieces(frames: Iterator[pd.DataFrame], size: int = PIECE) -> Iterator[pd.DataFrame]:
+    """Cut Arrow batches where their texts pass ``size`` characters: ids take more room than text."""
+    for f in frames:
+        after = f["text"].str.len().fillna(0).cumsum().to_numpy(float)
+        cuts = np.flatnonzero(np.diff(after // size) > 0) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(f)]):
+            if b > a:
+                yield f.iloc[a:b]
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids, starts, ends): ids and character offsets of every token."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(path)
-        for f in frames:
+        for f in pieces(frames):
             ids = codec.encode(f["text"])
             spans = [codec.offsets(t or "", i) for t, i in zip(f["text"], ids)]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "n_tokens": [len(i) for i in ids],
+            yield pd.DataFrame({"doc_id": f["doc_id"].to_numpy(), "n_tokens": [len(i) for i in ids],
                                 "ids": [i.astype(np.int64) for i in ids],
                                 "starts": [a for a, _ in spans], "ends": [b for _, b in spans]})
 
@@ -127,9 +139,9 @@ def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     text is encoded and its ids decoded again in one pass over the batch."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(path)
-        for f in frames:
+        for f in pieces(frames):
             ids = codec.encode(f["text"])
-            out = {"doc_id": f["doc_id"], "n_tokens": [len(i) for i in ids],
+            out = {"doc_id": f["doc_id"].to_numpy(), "n_tokens": [len(i) for i in ids],
                    "ids_sha256": [hashlib.sha256(i.tobytes()).hexdigest() for i in ids],
                    "decoded_sha256": [hashlib.sha256(codec.decode(i)).hexdigest() for i in ids]}
             yield pd.DataFrame(out | ({"ids": [i.astype(np.int32) for i in ids]} if with_ids else {}))
