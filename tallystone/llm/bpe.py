@@ -19,6 +19,7 @@ and further columns: carried or ignored, never used.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from collections.abc import Iterator
@@ -29,8 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-#: Matches kept in a task's table; beyond it the table is begun anew.
-TABLE = 100_000
+#: Matches kept in a worker's table; beyond it the table is begun anew.
+TABLE = 300_000
 #: Texts whose ids are held at once, by characters.
 PIECE = 4_000_000
 # The splitting pattern of the public vocabulary, with white
@@ -96,6 +97,12 @@ class Codec:
         return char[start] if len(ids) else start, char[end - 1] + 1 if len(ids) else end
 
 
+@functools.lru_cache(maxsize=1)
+def codec_of(path: str) -> Codec:
+    """One codec for each Python worker, whose table serves its next tasks too."""
+    return Codec(path)
+
+
 def pieces(frames: Iterator[pd.DataFrame], size: int = PIECE) -> Iterator[pd.DataFrame]:
     """Cut Arrow batches where their texts pass ``size`` characters: ids take more room than text."""
     for f in frames:
@@ -109,7 +116,7 @@ def pieces(frames: Iterator[pd.DataFrame], size: int = PIECE) -> Iterator[pd.Dat
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids, starts, ends): ids and character offsets of every token."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for f in pieces(frames):
             ids = codec.encode(f["text"])
             spans = [codec.offsets(t or "", i) for t, i in zip(f["text"], ids)]
@@ -125,7 +132,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); bytes that are no UTF-8 become U+FFFD."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for f in frames:
             yield pd.DataFrame({"doc_id": f["doc_id"], "text": [
                 codec.decode(() if i is None else i).decode("utf-8", "replace") for i in f["ids"]]})
@@ -138,7 +145,7 @@ def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if asked for): each
     text is encoded and its ids decoded again in one pass over the batch."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for f in pieces(frames):
             ids = codec.encode(f["text"])
             out = {"doc_id": f["doc_id"].to_numpy(), "n_tokens": [len(i) for i in ids],

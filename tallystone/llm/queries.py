@@ -5,10 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystone.llm import ann, bpe, mixing, ordinal, repeats, rules, secrets, simhash, token_counts, wrappers
+from tallystone.llm import ann, bpe, mixing, oracles, ordinal, repeats, rules, secrets, simhash, token_counts, wrappers
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_quality_rules": oracles.OP1}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from tallystone.llm.bpe import Codec
+from tallystone.llm.bpe import codec_of
 
 
 def sections(text: str) -> np.ndarray:
@@ -55,7 +55,7 @@ def allocate(starts: np.ndarray, ends: np.ndarray, edge: np.ndarray, rule: str =
 def token_counts(docs: DataFrame, path: str, rule: str = "most") -> DataFrame:
     """(doc_id, n_tokens, n_sections, section_tokens, n_crossing) of every row of ``docs``."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for f in frames:
             rows = []
             for doc_id, text in zip(f["doc_id"], f["text"]):
