@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +54,8 @@ class Codec:
     """One task's encoder and decoder; ``path`` is the library's JSON file of a vocabulary."""
 
     def __init__(self, path: str, table: int = TABLE):
+        # Spark runs the tasks side by side; threads of the library's own only cost hand-overs
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their strings are ordinary text
         spelled = byte_spelling()
