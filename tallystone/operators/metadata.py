@@ -24,9 +24,9 @@ def chunk_metadata(chunks: DataFrame, facts: DataFrame, ticker_col: str = "ticke
     """
     fc, cc = list(filing_cols), list(company_cols)
     exact = (facts.groupBy(ticker_col, accn_col)
-             .agg(F.max(F.struct(*fc, *cc)).alias("_e")))
-    by_ticker = facts.groupBy(ticker_col).agg(F.max(F.struct(*cc)).alias("_t"))
-    j = (chunks.join(exact, [ticker_col, accn_col], "left")
+             .agg(F.max(F.struct(*fc, *cc)).alias("_e"), F.max(F.struct(*cc)).alias("_c")))
+    by_ticker = exact.groupBy(ticker_col).agg(F.max("_c").alias("_t"))
+    j = (chunks.join(exact.drop("_c"), [ticker_col, accn_col], "left")
          .join(by_ticker, ticker_col, "left"))
     has_e, has_t = F.col("_e").isNotNull(), F.col("_t").isNotNull()
     out = j
@@ -48,9 +48,10 @@ def filing_chunks(texts: DataFrame, facts: DataFrame, stem_col: str = "stem",
     """Filing texts -> rows of the chunk table (the narrative flow).
 
     Identity from the file stem (files whose name does not parse are left
-    out; ``parse_filename_cols`` reports them), chunks per filing, filing
-    metadata from the fact store (exact filing, else company), and vectors
-    when ``embed_dim`` is given.
+    out; ``parse_filename_cols`` reports them), filing metadata from the fact
+    store (exact filing, else company) for the distinct identities, joined to
+    the file rows before the cut, so that chunks are never shuffled; then chunks
+    per filing, and vectors when ``embed_dim`` is given.
     """
     from tallystone.functions.ids import parse_filename_cols
     from tallystone.operators.chunks import build_chunks
@@ -59,10 +60,12 @@ def filing_chunks(texts: DataFrame, facts: DataFrame, stem_col: str = "stem",
     ident = parse_filename_cols(F.col(stem_col), strict=strict_names)
     named = (texts.select(*[c.alias(k) for k, c in ident.items()], F.col(text_col).alias("_text"))
              .filter(F.col("valid")))
-    ch = build_chunks(named, "_text", ("ticker", "form", "accession_number"), size, overlap, min_tokens)
-    meta = chunk_metadata(ch, facts, company_cols=("cik", "company_name"),
+    key = ["ticker", "accession_number"]
+    meta = chunk_metadata(named.select(*key).distinct(), facts, company_cols=("cik", "company_name"),
                           filing_cols=("fiscal_year", "fiscal_period"))
-    out = meta.select(*CHUNK_COLS)
+    filed = named.join(meta, key, "left")
+    ids = [c for c in CHUNK_COLS if c not in ("section", "chunk_index", "chunk_text")]
+    out = build_chunks(filed, "_text", ids, size, overlap, min_tokens).select(*CHUNK_COLS)
     if embed_dim:
         out = embed_chunks(out, dim=embed_dim)
     return out

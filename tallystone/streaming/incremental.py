@@ -3,9 +3,11 @@
 Each run is ``availableNow``: it picks up every file that arrived since the
 last run (the checkpoint remembers the files already taken, exactly once),
 appends them as one load to the log, and stops. A micro-batch writes its own
-log folder ``load_seq=<epoch>`` with overwrite, so a retried epoch (lost
+log folder ``load_seq=<first + epoch>`` with overwrite, so a retried epoch (lost
 executor, restarted driver) rewrites the same folder instead of duplicating
-rows. The current table is last-write-wins over the log.
+rows. ``first`` is fixed once for each checkpoint, beyond the log's loads, so a
+fresh checkpoint (epochs from 0 again) overwrites none of them. The current
+table is last-write-wins over the log.
 """
 
 from __future__ import annotations
@@ -19,15 +21,31 @@ from pyspark.sql import types as T
 from tallystone.operators.store import latest_by_key, read_log
 
 
+def first_load(spark: SparkSession, log_dir: str, checkpoint_dir: str) -> int:
+    """The load that epoch 0 of this checkpoint writes, kept beside the checkpoint."""
+    at = lambda name: spark._jvm.org.apache.hadoop.fs.Path(name)
+    mark, conf = f"{checkpoint_dir.rstrip('/')}/first_load", spark._jsc.hadoopConfiguration()
+    ck, log = at(checkpoint_dir).getFileSystem(conf), at(log_dir).getFileSystem(conf)
+    if ck.exists(at(f"{mark}/_SUCCESS")):
+        return int(spark.read.text(mark).first()[0])
+    if ck.exists(at(f"{checkpoint_dir.rstrip('/')}/offsets")):
+        return 0                                # begun before the mark was kept
+    loads = log.globStatus(at(f"{log_dir.rstrip('/')}/load_seq=*")) if log.exists(at(log_dir)) else []
+    first = max((int(x.getPath().getName().split("=")[1]) for x in loads or []), default=-1) + 1
+    spark.range(1).selectExpr(f"'{first}' AS value").coalesce(1).write.mode("overwrite").text(mark)
+    return first
+
+
 def run_incremental_load(spark: SparkSession, landing_dir: str, log_dir: str, checkpoint_dir: str,
                          schema: T.StructType, fmt: str = "parquet",
                          timeout_s: float | None = None) -> None:
     """Run one ``availableNow`` load of everything new under ``landing_dir``."""
     stream = spark.readStream.schema(schema).format(fmt).load(landing_dir)
+    first = first_load(spark, log_dir, checkpoint_dir)
 
     def append(batch: DataFrame, epoch_id: int) -> None:
         (batch.withColumn("row_ord", F.monotonically_increasing_id())
-         .write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/load_seq={int(epoch_id)}"))
+         .write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/load_seq={first + int(epoch_id)}"))
 
     q = (stream.writeStream.foreachBatch(append)
          .option("checkpointLocation", checkpoint_dir)
@@ -67,12 +85,13 @@ def run_incremental_chunks(spark: SparkSession, landing_dir: str, log_dir: str,
     from tallystone.operators.vectors import embed_chunks
 
     stream = spark.readStream.schema(schema).format(fmt).load(landing_dir)
+    first = first_load(spark, log_dir, checkpoint_dir)
 
     def append(batch: DataFrame, epoch_id: int) -> None:
         ch = build_chunks(batch, text_col, tuple(id_cols), size, overlap, min_tokens)
         if embed_dim:
             ch = embed_chunks(ch, dim=embed_dim)
-        ch.write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/load_seq={int(epoch_id)}")
+        ch.write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/load_seq={first + int(epoch_id)}")
 
     q = (stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())

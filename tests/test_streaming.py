@@ -18,3 +18,6 @@ def test_incremental_runs_are_exactly_once(spark):
     assert loads == [(0, 2), (1, 1)]
     cur = {r.k: r.v for r in current_view(spark, log, ["k"]).collect()}
     assert cur == {"a": 2, "b": 1}
+    # a fresh checkpoint takes every file again, as a newer load; the old ones stay
+    run_incremental_load(spark, land, log, f"{base}/ck2", first.schema, timeout_s=300)
+    assert sorted((r.load_seq, r.n_rows) for r in loads_in_log(spark, log).collect()) == [(0, 2), (1, 1), (2, 3)]
