@@ -12,8 +12,3 @@ def format_value(value: Column, unit: Column) -> Column:
             .when(unit == "percent", F.concat(F.regexp_replace(F.format_number(value, 2), ",", ""),
                                               F.lit("%")))
             .otherwise(F.concat(F.format_number(value, 4), F.lit(" "), unit)))
-
-
-def with_commas(whole: Column) -> Column:
-    """Integer (as BIGINT/DECIMAL) -> digits grouped by commas."""
-    return F.format_number(whole, 0)

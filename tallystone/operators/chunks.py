@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallystone.functions import let
 from tallystone.functions.text import (SECTION_HEADER, WS, normalize_header, word_tokens)
 from tallystone.schemas import (DEFAULT_CHUNK_OVERLAP, DEFAULT_CHUNK_SIZE,
                                 DEFAULT_MIN_SECTION_TOKENS, FULL_DOCUMENT_TITLE, PREAMBLE_TITLE)
@@ -58,13 +59,12 @@ def with_raw_sections(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
     df = _with(df, _body=F.slice("_segs", 2, 1 << 30))
     df = _with(df, _heads=F.transform("_body", lambda s: F.regexp_extract(s, "^" + SECTION_HEADER, 1)))
     df = _with(df, _norms=F.transform("_heads", lambda h: normalize_header(h)))
-    df = _with(df, _rnorms=F.reverse("_norms"))
-    nh = F.size("_norms")
-    # a header is kept when no later header has the same normalised title
-    df = _with(df, _kpos=F.filter(
-        F.transform("_norms", lambda nm, i: F.when(
-            (nh - F.array_position(F.col("_rnorms"), nm)) == i, i).otherwise(-1)),
-        lambda x: x >= 0))
+    # a header is kept when no later header has the same normalised title: the
+    # last of its run once (title, position) pairs are sorted, no search per header
+    df = _with(df, _kpos=let(
+        F.array_sort(F.transform("_norms", lambda nm, i: F.struct(nm.alias("n"), i.alias("i")))),
+        lambda s: F.array_sort(F.transform(
+            F.filter(s, lambda e, j: ~e["n"].eqNullSafe(F.get(s, j + 1)["n"])), lambda e: e["i"]))))
     nk = F.size("_kpos")
     body_n = F.size("_body")
 
@@ -82,34 +82,7 @@ def with_raw_sections(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
     out = F.when(F.size("_segs") == 1,
                  F.array(F.struct(F.lit(FULL_DOCUMENT_TITLE).alias("title"), t.alias("text")))) \
         .otherwise(F.concat(pre_arr, F.transform("_kpos", section)))
-    return _with(df, **{out_col: out}).drop("_segs", "_body", "_heads", "_norms", "_rnorms",
-                                            "_kpos")
-
-
-def raw_sections(text: Column) -> Column:
-    """Single-expression form of ``with_raw_sections`` (small inputs, tests)."""
-    segs = F.split(F.regexp_replace(text, SECTION_HEADER, MARK + "$1"), MARK, -1)
-    body = F.slice(segs, 2, 1 << 30)
-    heads = F.transform(body, lambda s: F.regexp_extract(s, "^" + SECTION_HEADER, 1))
-    norms = F.transform(heads, lambda h: normalize_header(h))
-    nh = F.size(norms)
-    kpos = F.filter(F.transform(norms, lambda nm, i: F.when(
-        (nh - F.array_position(F.reverse(norms), nm)) == i, i).otherwise(-1)), lambda x: x >= 0)
-    nk, body_n = F.size(kpos), F.size(body)
-
-    def section(p: Column, j: Column) -> Column:
-        nxt = F.when(j + 1 < nk, F.element_at(kpos, j + 2)).otherwise(body_n)
-        return F.struct(_strip(F.element_at(heads, p + 1)).alias("title"),
-                        F.array_join(F.slice(body, p + 1, nxt - p), "").alias("text"))
-
-    first = F.when(nk > 0, F.element_at(kpos, 1)).otherwise(body_n)
-    pre = F.concat(F.element_at(segs, 1), F.array_join(F.slice(body, 1, first), ""))
-    pre_arr = F.when(F.length(pre) > 0,
-                     F.array(F.struct(F.lit(PREAMBLE_TITLE).alias("title"), pre.alias("text")))) \
-        .otherwise(F.array().cast(SECTION_T))
-    return F.when(F.size(segs) == 1,
-                  F.array(F.struct(F.lit(FULL_DOCUMENT_TITLE).alias("title"), text.alias("text")))) \
-        .otherwise(F.concat(pre_arr, F.transform(kpos, section)))
+    return _with(df, **{out_col: out}).drop("_segs", "_body", "_heads", "_norms", "_kpos")
 
 
 def merge_small(sections: Column, min_tokens: int = DEFAULT_MIN_SECTION_TOKENS,
@@ -147,16 +120,6 @@ def merge_small(sections: Column, min_tokens: int = DEFAULT_MIN_SECTION_TOKENS,
     return F.aggregate(sections, init, step, finish)
 
 
-def split_sections_expr(text: Column, min_tokens: int = DEFAULT_MIN_SECTION_TOKENS,
-                        merge: bool = True) -> Column:
-    raw = raw_sections(text)
-    if not merge:
-        return raw
-    # a document without any header is one section and is never merged
-    no_header = F.instr(F.regexp_replace(text, SECTION_HEADER, MARK), MARK) == 0
-    return F.when(no_header, raw).otherwise(merge_small(raw, min_tokens))
-
-
 def window_count(n: Column, size: int, step: int) -> Column:
     return F.when(n <= 0, F.lit(0)).otherwise(
         F.greatest(F.lit(0), F.ceil((n - F.lit(size)) / F.lit(float(step))).cast("int")) + 1)

@@ -69,3 +69,35 @@ def filing_chunks(texts: DataFrame, facts: DataFrame, stem_col: str = "stem",
     if embed_dim:
         out = embed_chunks(out, dim=embed_dim)
     return out
+
+
+def chunk_report(texts: DataFrame, stem_col: str = "stem", text_col: str = "text",
+                 strict_names: bool = True, size: int = 500, overlap: int = 50,
+                 min_tokens: int = 40) -> DataFrame:
+    """Outcome of the narrative flow for every file: ``file, status, error,
+    n_sections, n_chunks``.
+
+    ``status`` is ``ok``, ``empty`` (a text without words) or ``failed`` (name
+    not understood, no text); a failed file has NULL counts and stops no other.
+    Narrow: sections and windows are counted inside the file's row.
+    """
+    from tallystone.functions.ids import parse_filename_cols
+    from tallystone.operators.chunks import token_count, window_count, with_sections
+
+    df = texts.select(F.col(stem_col).alias("file"), F.col(text_col).alias("_text"),
+                      parse_filename_cols(F.col(stem_col), strict=strict_names)["valid"].alias("_valid"))
+    df = with_sections(df, "_text", "_secs", min_tokens)
+    error = (F.when(~F.coalesce("_valid", F.lit(False)), "file name not understood")
+             .when(F.col("_text").isNull(), "no text"))
+    n_chunks = F.aggregate("_secs", F.lit(0), lambda n, s: n + window_count(token_count(s["text"]), size, size - overlap))
+    df = df.select("file", error.alias("error"), F.size("_secs").alias("_s"), n_chunks.alias("_c"))
+    good = F.col("error").isNull()
+    return df.select("file", F.when(~good, "failed").when(F.col("_c") == 0, "empty").otherwise("ok").alias("status"),
+                     "error", F.when(good, F.col("_s")).alias("n_sections"), F.when(good, F.col("_c")).alias("n_chunks"))
+
+
+def summarize_chunk_report(report: DataFrame) -> DataFrame:
+    """Files, sections and chunks by status and error."""
+    return report.groupBy("status", "error").agg(
+        F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n_sections"), F.lit(0)).alias("n_sections"),
+        F.coalesce(F.sum("n_chunks"), F.lit(0)).alias("n_chunks"))

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.functions import let
+from tallystone.functions.fmt import format_value
+from tallystone.functions.ids import golden_record_id
 from tallystone.functions.text import WS_RUN, quote_literal_regex
-from tallystone.schemas import CONCEPT_KEYWORDS, SNIPPET_AFTER, SNIPPET_BEFORE
+from tallystone.operators.lookup import FACT_NEWEST
+from tallystone.operators.store import latest_by_key
+from tallystone.schemas import (CONCEPT_KEYWORDS, GOLDEN_RECORD, GOLDEN_VERIFIED_BY, SNIPPET_AFTER,
+                                SNIPPET_BEFORE)
 
 SCALES = [1.0, 1e3, 1e6, 1e9]
 
@@ -221,6 +227,50 @@ def reconcile_auto(facts: DataFrame, value_col: str = "value", text_col: str = "
             .withColumn("verified", F.coalesce(F.size(hit) > 0, F.lit(False)) & t.isNotNull()))
 
 
+def reconcile_newest(facts: DataFrame, texts: DataFrame, keywords: Sequence[tuple[str, int, str]],
+                     keys: Sequence[str] = ("ticker", "concept"),
+                     order: Sequence[str | Column] = FACT_NEWEST) -> DataFrame:
+    """The reconciliation flow: newest fact of every key -> its filing's text ->
+    keyword snippets -> verdict.
+
+    One row per key with the fact's columns, ``shown`` (the value by its unit),
+    ``file_name``, ``n_snippets``, ``matched_scale``, ``evidence`` (the first
+    snippet that holds the value, else the first one) and ``verdict``:
+    ``verified``, ``not_found`` (snippets, none with the value),
+    ``no_occurrence`` (a text without any keyword) or ``no_text``. ``keys``
+    ends with the concept. NULL keys are keys like any other.
+    """
+    *ids, concept = keys
+    newest = latest_by_key(facts, keys, order)
+    paired = match_text_files(newest, texts)
+    snips = keyword_snippets(paired.filter(F.col("text").isNotNull()), keywords, id_cols=(*ids, "value"),
+                             concept_col=concept, normalize_ws=True)
+    place = F.struct((~F.col("verified")).alias("_v"), "kw_pos", "match_idx")
+    found = (reconcile_auto(snips, "value", "snippet").groupBy(*ids, F.col("concept").alias(concept))
+             .agg(F.count(F.lit(1)).alias("n_snippets"), F.min("matched_scale").alias("matched_scale"),
+                  F.min_by("snippet", place).alias("evidence"))
+             .select(*[F.col(k).alias(f"_{k}") for k in keys], "n_snippets", "matched_scale", "evidence"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    out = paired.drop("text").join(found, same, "left").drop(*[f"_{k}" for k in keys])
+    return (out.withColumn("n_snippets", F.coalesce("n_snippets", F.lit(0)).cast("bigint"))
+            .withColumn("shown", format_value(F.col("value"), F.col("unit")))
+            .withColumn("verdict", F.when(F.col("file_name").isNull(), "no_text")
+                        .when(F.col("n_snippets") == 0, "no_occurrence")
+                        .when(F.col("matched_scale").isNull(), "not_found").otherwise("verified")))
+
+
+def golden_records(reconciled: DataFrame, verified_date: str, notes: str = "",
+                   verified_by: str = GOLDEN_VERIFIED_BY) -> DataFrame:
+    """Golden records of the verified rows of ``reconcile_newest`` (columns of
+    ``GOLDEN_RECORD``; one the facts lack is NULL)."""
+    given = {"id": golden_record_id(F.col("ticker"), F.col("fiscal_year"), F.col("fiscal_period"), F.col("concept")),
+             "ticker": F.upper("ticker"), "expected_value": F.col("value"), "source_snippet": F.col("evidence"),
+             "verified_by": F.lit(verified_by), "verified_date": F.lit(verified_date), "notes": F.lit(notes)}
+    return reconciled.filter(F.col("verdict") == "verified").select(*[
+        given.get(f.name, F.col(f.name) if f.name in reconciled.columns else F.lit(None))
+        .cast(f.dataType).alias(f.name) for f in GOLDEN_RECORD.fields])
+
+
 #: What tells versions of one fact apart, greatest first: the shortest period
 #: (its start is the latest, the end being part of the key), the newest filing.
 FACT_VERSION = ("period_start", "filed_date", "accession_number")

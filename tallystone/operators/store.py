@@ -66,8 +66,11 @@ def read_log(spark, log_path: str) -> DataFrame:
 
 
 def compact(current: DataFrame, out_path: str, partition_by: Sequence[str] = ("cik",)) -> None:
-    """Write the current view to a *new* path, partitioned for pruning."""
-    (current.repartition(*partition_by).write.mode("overwrite")
+    """Write the current view to a *new* path, partitioned for pruning.
+
+    ``rebalance`` brings a key's rows together and lets AQE split a key that
+    is larger than the advisory size over several tasks, merging small ones."""
+    (current.hint("rebalance", *partition_by).write.mode("overwrite")
      .partitionBy(*partition_by).parquet(out_path))
 
 

@@ -1,11 +1,13 @@
 """Embeddings and exact filtered cosine top-k search.
 
 Spark SQL has no vector type or cosine function; vectors are
-``ARRAY<FLOAT>`` columns. Search is an exact scan: every partition turns
-each Arrow batch of item vectors (its flat value buffer, reshaped) into one
-dense (queries x items) distance matrix with numpy and emits only that batch's best ``k`` per query, so the
-item x query pairs are never rows. A final ``row_number() <= k`` per query
-(partial ``WindowGroupLimit`` before its shuffle) merges the candidates.
+``ARRAY<FLOAT>`` columns. Search is an exact scan of a stated query set
+against all items, in blocks: both sides are packed into rows that hold up to
+``QUERY_BLOCK`` queries or ``ITEM_BLOCK`` items, every pair of blocks is one
+dense matrix product inside a task, and of each product only the best ``k``
+items of each query become rows. Queries stay distributed: nothing is
+collected, and declaring a search runs no job. A final ``row_number() <= k``
+per query (partial ``WindowGroupLimit`` before its shuffle) merges the candidates.
 """
 
 from __future__ import annotations
@@ -21,35 +23,42 @@ from pyspark.sql import types as T
 from tallystone.functions.text import word_tokens
 from tallystone.schemas import DEFAULT_TOP_K, EMBEDDING_BATCH_SIZE
 
-# Upper bound for the broadcast query matrix (queries x dim x 8 bytes).
-MAX_QUERY_BYTES = 256 << 20
-# Upper bound for the entries of one distance matrix (queries x items).
-MAX_TILE = 4 << 20
+# Rows of one packed block; a distance matrix has at most their product of entries.
+QUERY_BLOCK = 512
+ITEM_BLOCK = 4096
 DISTANCE_DIGITS = 6
 
 
-def _query_matrix(queries: DataFrame, qid_col: str, vec_col: str, width: int):
-    """Collect one query group, bounded by MAX_QUERY_BYTES of float64 (the
-    caller sized the groups; the limit guards against a skewed hash group);
-    returns ids and the unit-norm matrix, or None when the group is too big."""
-    spark = queries.sparkSession
-    cap = max(1, MAX_QUERY_BYTES // (8 * max(1, width)))
-    rows = queries.select(qid_col, vec_col).limit(cap + 1).collect()
-    if len(rows) > cap:
-        return None                                   # caller splits the group again
-    widths = {len(r[1]) for r in rows if r[1] is not None and len(r[1]) > 0}
-    if len(widths) > 1:
-        raise ValueError(f"query vectors differ in width: {sorted(widths)}")
-    dim = max(widths, default=0)
-    ids = [r[0] for r in rows]
-    m = np.zeros((len(rows), dim), dtype=np.float64)
-    for i, r in enumerate(rows):
-        if r[1] is not None and len(r[1]) == dim:
-            m[i] = np.asarray(r[1], dtype=np.float64)
-    norms = np.linalg.norm(m, axis=1)
-    ok = norms > 0
-    m[ok] = m[ok] / norms[ok][:, None]
-    return spark, ids, m, ok
+def _blocks(src: DataFrame, rows: int) -> DataFrame:
+    """``(row struct, _v array<double>)`` rows packed by partition: up to ``rows``
+    structs in order of their first field, and their unit vectors end to end.
+    Zero and non-finite vectors are left out; two widths in one partition raise."""
+    def pack(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        width = None
+        for rb in (b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows)):
+            col = rb.column("_v")
+            lens = pc.list_value_length(col).to_numpy(zero_copy_only=False)
+            width = int(lens[0]) if width is None else width
+            if (lens != width).any():
+                raise ValueError(f"vectors of different widths: {width} and {int(lens[lens != width][0])}")
+            # the list values are one flat buffer: reshape, no per-row Python
+            v = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+            n = np.linalg.norm(v, axis=1)
+            order = pc.sort_indices(rb.column("_row").field(0)).to_numpy()
+            order = order[(np.isfinite(n) & (n > 0))[order]]
+            if len(order):
+                unit = (v[order] / n[order][:, None]).ravel()
+                part = rb.column("_row").take(pa.array(order))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part),
+                     pa.ListArray.from_arrays(pa.array([0, len(unit)], pa.int32()), pa.array(unit))],
+                    names=["rows", "units"])
+
+    schema = T.StructType([T.StructField("rows", T.ArrayType(src.schema["_row"].dataType)),
+                           T.StructField("units", T.ArrayType(T.DoubleType()))])
+    return src.mapInArrow(pack, schema)
 
 
 def vector_search(items: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
@@ -64,7 +73,13 @@ def vector_search(items: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
     ``equals`` (column -> value), ``ilike`` (column -> substring, case
     insensitive; ``%``/``_`` act as wildcards as in the reference).
     Output: qid, rank (1-based), id, payload..., distance (rounded to 6
-    places); ties by id. NULL and zero vectors never rank (T20).
+    places); ties by id (a number, date or string). NULL, empty, zero and
+    non-finite vectors never rank (T20); no queries: no rows; vectors of
+    another width than a query's: an error.
+
+    Every block of queries meets every block of items: the planner sends the
+    smaller side to the tasks if its size is below the broadcast threshold,
+    else it pairs partitions. The rows are blocks, never pairs of vectors.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -76,115 +91,53 @@ def vector_search(items: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
         f = f.filter(F.col(c) == F.lit(v))
     for c, sub in (ilike or {}).items():
         f = f.filter(F.col(c).ilike(f"%{sub}%"))
-    f = f.filter(F.col(vec_col).isNotNull())
-
-    # The query side is read a few times while its matrix is collected (all
-    # eagerly, below); keep it for that span only.
-    from pyspark import StorageLevel
-    qs = queries.select(qid_col, qvec_col).distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = qs.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec_col)).alias("d")).first()
-        n_q, dim = int(stats["n"]), max(1, int(stats["d"] or 1))
-        per_group = max(1, MAX_QUERY_BYTES // (2 * 8 * dim))       # 2x slack for hash imbalance
-        groups = max(1, -(-n_q // per_group))
-        qid_type = queries.schema[qid_col].dataType
-        if groups > 1:
-            # beyond the broadcast bound: one exact pass per hash group of queries
-            g = F.pmod(F.xxhash64(qid_col, qvec_col), F.lit(groups))
-            parts = [_search_pass(f, qs.filter(g == i), k, id_col, vec_col, qid_col, qvec_col,
-                                  payload, qid_type, dim=dim) for i in range(groups)]
-            cand = parts[0]
-            for p_ in parts[1:]:
-                cand = cand.unionByName(p_)
-        else:
-            cand = _search_pass(f, qs, k, id_col, vec_col, qid_col, qvec_col, payload, qid_type, dim=dim)
-    finally:
-        qs.unpersist()
-    # ranked once over all passes: a query id may have vectors in several groups
-    keep_cols = [id_col] + [c for c in payload if c != id_col]
-    w = Window.partitionBy(qid_col).orderBy(F.col("distance").asc(), F.col(id_col).asc())
-    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(qid_col, "rank", *keep_cols, "distance"))
 
-
-def _search_pass(f: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str,
-                 qid_col: str, qvec_col: str, payload: Sequence[str], qid_type,
-                 depth: int = 0, dim: int = 1) -> DataFrame:
-    """Candidates (each batch's best ``k``) of one scan of the items against a
-    query set whose matrix fits the bound (a set that does not fit is halved by another hash and searched twice)."""
-    got = _query_matrix(queries, qid_col, qvec_col, dim)
-    if got is None:
-        # distinct (id, vector) rows: the hash tells them apart, so halving ends
-        h = F.pmod(F.xxhash64(qid_col, qvec_col, F.lit(depth + 1)), F.lit(2))
-        return (_search_pass(f, queries.filter(h == 0), k, id_col, vec_col, qid_col, qvec_col,
-                             payload, qid_type, depth + 1, dim)
-                .unionByName(_search_pass(f, queries.filter(h == 1), k, id_col, vec_col, qid_col,
-                                          qvec_col, payload, qid_type, depth + 1, dim)))
-    spark, qids, qm, qok = got
-    bq = spark.sparkContext.broadcast((qids, qm, qok))
     keep_cols = [id_col] + [c for c in payload if c != id_col]
-    src = f.select(*keep_cols, F.col(vec_col).alias("_v"))
-    fields = [src.schema[c] for c in keep_cols]
-    out_schema = T.StructType([T.StructField(qid_col, qid_type)] + fields +
-                              [T.StructField("distance", T.DoubleType())])
 
-    from pyspark.sql.pandas.types import to_arrow_type
-    qid_arrow = to_arrow_type(qid_type)
+    def side(df: DataFrame, cols: Sequence[str], vec: str) -> DataFrame:
+        return df.filter(F.size(vec) > 0).select(F.struct(*cols).alias("_row"), F.col(vec).alias("_v"))
+
+    qs = side(queries.select(qid_col, qvec_col).distinct(), [qid_col], qvec_col)
+    pairs = (_blocks(side(f, keep_cols, vec_col), ITEM_BLOCK)
+             .crossJoin(_blocks(qs, QUERY_BLOCK).toDF("q_rows", "q_units")))
+    fields = [queries.schema[qid_col]] + [f.schema[c] for c in keep_cols]
+    names = [qid_col, *keep_cols, "distance"]
 
     def topk(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
-        ids_q, mat, ok = bq.value
-        dim = mat.shape[1]
-        if not ok.any():
-            return                                     # no query to answer
-        step = max(1, MAX_TILE // max(1, len(ids_q)))   # bounds queries x items held at once
-        for rb in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
-            col = rb.column("_v")
-            lens = pc.list_value_length(col).to_numpy(zero_copy_only=False)
-            if (lens != dim).any():
-                raise ValueError("vector width differs from the query width")
-            # the list values are one flat buffer: reshape, no per-row Python
-            vecs = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-            n = np.linalg.norm(vecs, axis=1)
-            good = np.nonzero(n > 0)[0]
-            if len(good) == 0:
-                continue
-            unit = vecs[good] / n[good][:, None]
-            dist = np.round(1.0 - mat @ unit.T, DISTANCE_DIGITS)      # (Q, B)
-            idv = rb.column(id_col).to_numpy(zero_copy_only=False)[good]
-            take, qs, ds = [], [], []
-            for qi, qid in enumerate(ids_q):
-                if not ok[qi]:
-                    continue
-                d = dist[qi]
-                if len(d) > k:
-                    cut = np.partition(d, k - 1)[k - 1]
-                    cand = np.nonzero(d <= cut)[0]          # keeps every tie at the cut
-                else:
-                    cand = np.arange(len(d))
-                sel = cand[np.lexsort((idv[cand], d[cand]))[:k]]
-                take.append(good[sel])
-                qs.extend([qid] * len(sel))
-                ds.append(d[sel])
-            if not take:
-                continue
-            rows = rb.take(pa.array(np.concatenate(take)))
-            arrays = [pa.array(qs, type=qid_arrow)] + [rows.column(c) for c in keep_cols] + \
-                [pa.array(np.concatenate(ds), type=pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[qid_col, *keep_cols, "distance"])
-
-    return src.mapInArrow(topk, out_schema)
+        for rb in batches:
+            for i in range(rb.num_rows):
+                items, asked = rb.column("rows")[i].values, rb.column("q_rows")[i].values
+                mat, unit = (rb.column(c)[i].values.to_numpy().reshape(n, -1)
+                             for c, n in (("q_units", len(asked)), ("units", len(items))))
+                if mat.shape[1] != unit.shape[1]:
+                    raise ValueError("vector width differs from the query width")
+                # distance in whole steps, then position (the items are in id order): no two keys alike
+                key = np.rint((1.0 - mat @ unit.T) * 10 ** DISTANCE_DIGITS).astype(np.int64)
+                key = key * len(items) + np.arange(len(items))
+                if len(items) > k:
+                    key = np.partition(key, k - 1, axis=1)[:, :k]
+                step, at = np.divmod(key, len(items))
+                who = pa.array(np.repeat(np.arange(len(asked)), key.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [*asked.take(who).flatten(), *items.take(pa.array(at.ravel())).flatten(),
+                     pa.array(step.ravel() / 10 ** DISTANCE_DIGITS)], names=names)
+
+    cand = pairs.mapInArrow(topk, T.StructType(fields + [T.StructField("distance", T.DoubleType())]))
+    # a query id may have several vectors: ranked once over all of them
+    w = Window.partitionBy(qid_col).orderBy(F.col("distance").asc(), F.col(id_col).asc())
+    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select(qid_col, "rank", *keep_cols, "distance"))
 
 
 def centroids(items: DataFrame, group_col: str, vec_col: str = "embedding",
               out_col: str = "embedding") -> DataFrame:
-    """Element-wise mean vector per group (partial aggregation per dimension)."""
-    e = items.select(group_col, F.posexplode(vec_col).alias("_i", "_x"))
-    per_dim = e.groupBy(group_col, "_i").agg(F.avg(F.col("_x").cast("double")).alias("_m"))
-    return (per_dim.groupBy(group_col)
-            .agg(F.sort_array(F.collect_list(F.struct("_i", "_m"))).alias("_l"))
-            .select(group_col, F.transform("_l", lambda s: s["_m"]).alias(out_col)))
+    """Element-wise mean vector per group: one partial sum vector per task and group."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    v = array_to_vector(F.col(vec_col).cast("array<double>"))
+    return (items.filter(F.size(vec_col) > 0).groupBy(group_col)
+            .agg(vector_to_array(Summarizer.mean(v)).alias(out_col)))
 
 
 # ---------------------------------------------------------------------------
@@ -229,12 +182,15 @@ def embed_chunks(chunks: DataFrame, text_col: str = "chunk_text", dim: int = 153
             .withColumn("embed_model", F.lit(model_id or "custom")))
 
 
-def check_same_model(chunks: DataFrame, model_id: str, model_col: str = "embed_model") -> None:
-    """Raise if any stored vector was made by another model (bounded: distinct ids)."""
-    others = (chunks.select(model_col).distinct().filter(~F.col(model_col).eqNullSafe(F.lit(model_id)))
-              .limit(5).collect())
-    if others:
-        raise ValueError(f"chunks embedded with {[r[0] for r in others]}, query with {model_id}")
+def require_model(chunks: DataFrame, model_id: str, vec_col: str = "embedding",
+                  model_col: str = "embed_model") -> DataFrame:
+    """``chunks`` whose vectors raise while they are read if another model, or
+    an unknown one (NULL), made them; no job of its own."""
+    kind = chunks.schema[vec_col].dataType
+    wrong = F.raise_error(F.concat(F.lit("chunks embedded with "), F.coalesce(model_col, F.lit("an unknown model")),
+                                   F.lit(f", query with {model_id}"))).cast(kind)
+    return chunks.withColumn(vec_col, F.when(F.col(model_col).eqNullSafe(F.lit(model_id)), F.col(vec_col))
+                             .otherwise(wrong))
 
 
 def with_similarity(results: DataFrame, distance_col: str = "distance") -> DataFrame:
@@ -262,13 +218,13 @@ def search(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_TOP_K,
     """Top-k chunks for query texts (V1 + V2 together).
 
     The query texts are embedded with the same model as the chunks (the
-    stored ``embed_model`` is checked), then searched with the reference's
+    stored ``embed_model`` is checked as they are read), then searched with the reference's
     filters: tickers (upper-cased, any of), form, section substring.
     Output: qid, rank, chunk id, payload, distance, similarity_pct.
     """
     model = model_id or (hashing_embedder_model(dim) if embedder is None else "custom")
     if "embed_model" in chunks.columns:
-        check_same_model(chunks, model)
+        chunks = require_model(chunks, model)
     q = embed_chunks(queries.select(qid_col, text_col), text_col=text_col, dim=dim,
                      embedder=embedder, model_id=model).select(qid_col, "embedding")
     res = vector_search(chunks, q, k=k, id_col=id_col, qid_col=qid_col,

@@ -40,6 +40,22 @@ def q_latest_fact(spark, sf_dir):
                               order=["o_orderdate", "o_orderkey"])
 
 
+# --- latest_fact_filtered: the same with every optional filter set: concept
+# "1-URGENT", form "F", fiscal year and quarter of the order date, one row per customer.
+@register("latest_fact_filtered", sql="""
+SELECT *, year(o_orderdate)::INT AS fiscal_year, 'Q' || quarter(o_orderdate) AS fiscal_period, o_orderstatus AS form
+FROM orders WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1995 AND quarter(o_orderdate) = 2
+  AND o_orderstatus = 'F'
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1
+""")
+def q_latest_fact_filtered(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumns({
+        "fiscal_year": F.year("o_orderdate"), "form": F.col("o_orderstatus"),
+        "fiscal_period": F.concat(F.lit("Q"), F.quarter("o_orderdate").cast("string"))})
+    return lookup.latest_fact(o, keys=["o_custkey"], order=["o_orderdate", "o_orderkey"], concept="1-URGENT",
+                              fiscal_year=1995, fiscal_period="Q2", form="F", concept_col="o_orderpriority")
+
+
 # --- fact_history: every (customer, priority) series of orders, oldest first;
 # NULL dates last.
 @register("fact_history", sql="""

@@ -225,3 +225,85 @@ def q_reconcile_facts(spark, sf_dir):
     joined = reconcile.match_text_files(facts, texts).filter(F.col("text").isNotNull())
     return reconcile.keyword_snippets(joined, SNIPPET_KEYWORDS, id_cols=("doc_id",),
                                       concept_col="concept")
+
+
+# --- reconcile_newest: every order is a fact of its customer (concept by
+# priority, round(total) x 1e6) and files a text: its line names the concept and
+# prints round(total), one in three names nothing, one in seven prints another
+# number, one in eleven a longer one, one in five orders has no text at all.
+_CONCEPTS = {"1-URGENT": "revenue", "2-HIGH": "net_income", "3-MEDIUM": "gross_profit", "5-LOW": "other_items"}
+_PHRASES = {"revenue": "Total net sales", "net_income": "Net Income", "gross_profit": "Gross\nmargin and gross profit",
+            "other_items": "Other items"}
+
+
+def _flow_inputs(spark, sf_dir):
+    from tallystone.functions import ids
+    key = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders")
+    for a, b in _CONCEPTS.items():
+        o = o.replace(a, b, "o_orderpriority")
+    whole = F.round("o_totalprice")
+    nd = F.lpad(key.cast("string"), 18, "0")
+    facts = o.select(F.concat(F.lit("T"), F.col("o_custkey").cast("string")).alias("ticker"),
+                     F.col("o_orderpriority").alias("concept"), (whole * F.lit(1e6)).alias("value"), F.lit("USD").alias("unit"),
+                     F.lit(None).cast("date").alias("period_start"), F.to_date("o_orderdate").alias("period_end"),
+                     F.to_date("o_orderdate").alias("filed_date"), F.year("o_orderdate").alias("fiscal_year"),
+                     F.concat(F.lit("Q"), F.quarter("o_orderdate").cast("string")).alias("fiscal_period"),
+                     ids.accession_dash(nd).alias("accession_number"))
+    phrase = F.create_map(*[F.lit(x) for kv in _PHRASES.items() for x in kv])[F.col("o_orderpriority")]
+    printed = F.format_number(whole + F.when(key % 7 == 0, 1).otherwise(0), 0)
+    printed = F.when(key % 11 == 0, F.concat(F.lit("2,"), printed)).otherwise(printed)
+    body = F.concat(F.lit("Cover page. "), F.when(key % 3 == 0, "Nothing here").otherwise(F.coalesce(phrase, F.lit("-"))),
+                    F.lit(" "), printed, F.lit(" in total"))
+    texts = o.filter(key % 5 != 0).select(F.concat(F.lit("T_10-K_2026-01-01_"), nd, F.lit(".txt")).alias("file_name"),
+                                         body.alias("text"))
+    return facts, texts
+
+
+_FLOW_CTE = f"""
+kw(concept, kw_pos, keyword) AS (VALUES {_KW_VALUES}),
+n AS (SELECT *, CASE o_orderpriority {" ".join(f"WHEN {_q(a)} THEN {_q(b)}" for a, b in _CONCEPTS.items())}
+                ELSE o_orderpriority END AS concept, round(o_totalprice)::BIGINT AS whole
+      FROM orders
+      QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate DESC, lpad(o_orderkey::VARCHAR, 18, '0') DESC) = 1),
+t AS (SELECT *, CASE WHEN o_orderkey % 5 <> 0 THEN 'Cover page. ' || CASE WHEN o_orderkey % 3 = 0 THEN 'Nothing here' ELSE
+             CASE concept {" ".join(f"WHEN {_q(a)} THEN {_q(b.replace(chr(10), ' '))}" for a, b in _PHRASES.items())} ELSE '-' END END
+             || ' ' || CASE WHEN o_orderkey % 11 = 0 THEN '2,' ELSE '' END
+             || format('{{:,}}', whole + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END) || ' in total' END AS text FROM n),
+h AS (SELECT t.o_orderkey, coalesce(sum(len(regexp_extract_all(text, '(?i)\\Q' || w.keyword || '\\E'))), 0)::BIGINT AS n_snippets
+      FROM t LEFT JOIN (SELECT concept, keyword FROM kw UNION ALL
+                        SELECT DISTINCT concept, replace(concept, '_', ' ') FROM t WHERE concept NOT IN (SELECT concept FROM kw)) w
+        ON w.concept = t.concept GROUP BY t.o_orderkey),
+v AS (SELECT t.*, n_snippets, n_snippets > 0 AND regexp_matches(text, '(?:^|[^0-9.,])' || format('{{:,}}', whole)
+             || '(?:[.]00)?(?:$|[^0-9.,]|[.,](?:$|[^0-9]))') AS hit FROM t JOIN h USING (o_orderkey)),
+flow AS (SELECT 'T' || o_custkey AS ticker, concept, whole * 1e6::DOUBLE AS value, o_orderkey, o_orderdate,
+                year(o_orderdate)::INT AS fiscal_year, 'Q' || quarter(o_orderdate) AS fiscal_period,
+                '$' || format('{{:,}}', whole * 1000000) AS shown, n_snippets,
+                CASE WHEN hit THEN 1e6::DOUBLE END AS matched_scale,
+                CASE WHEN text IS NULL THEN 'no_text' WHEN n_snippets = 0 THEN 'no_occurrence'
+                     WHEN hit THEN 'verified' ELSE 'not_found' END AS verdict FROM v)"""
+
+
+@register("reconcile_newest", sql=f"""
+WITH {_FLOW_CTE}
+SELECT ticker, concept, value, fiscal_year, fiscal_period, shown, n_snippets, matched_scale, verdict FROM flow
+""")
+def q_reconcile_newest(spark, sf_dir):
+    flow = reconcile.reconcile_newest(*_flow_inputs(spark, sf_dir), SNIPPET_KEYWORDS)
+    return flow.select("ticker", "concept", "value", "fiscal_year", "fiscal_period", "shown", "n_snippets",
+                       "matched_scale", "verdict")
+
+
+# --- golden_from_facts: the verified ones as golden records.
+@register("golden_from_facts", sql=f"""
+WITH {_FLOW_CTE}
+SELECT ticker || '-' || fiscal_year || fiscal_period || '-' || concept AS id, ticker, concept, value AS expected_value,
+       'USD' AS unit, o_orderdate::DATE::VARCHAR AS period_end, fiscal_year, fiscal_period,
+       'manual_reconciliation' AS verified_by, '2026-01-01' AS verified_date, '' AS notes
+FROM flow WHERE verdict = 'verified'
+""")
+def q_golden_from_facts(spark, sf_dir):
+    flow = reconcile.reconcile_newest(*_flow_inputs(spark, sf_dir), SNIPPET_KEYWORDS)
+    return reconcile.golden_records(flow, "2026-01-01").select(
+        "id", "ticker", "concept", "expected_value", "unit", "period_end", "fiscal_year", "fiscal_period",
+        "verified_by", "verified_date", "notes")

@@ -14,7 +14,7 @@ from tallystone.functions.text import (HTML_HIDDEN, HTML_TAG, LB, SECTION_HEADER
                                        WS, WS_RUN)
 from tallystone.operators import chunks
 from tallystone.operators.html import html_to_text
-from tallystone.plans.registry import register, table
+from tallystone.plans.registry import ORACLE, register, table
 
 MERGE_MIN_WORDS = 120
 
@@ -286,3 +286,24 @@ def q_split_sections_docs(spark, sf_dir):
     "SELECT conv_id,\n       (row_number()", "SELECT conv_id AS doc_id,\n       (row_number()"))
 def q_build_chunks_docs(spark, sf_dir):
     return chunks.build_chunks(filing_shaped_docs(spark, sf_dir))
+
+
+# --- chunk_report: the same filing-shaped documents as files, one in seven with
+# a name that does not parse; sections and chunks of every file that does.
+@register("chunk_report", sql=f"""
+WITH s AS (SELECT doc_id, count(*)::INT AS n FROM ({ORACLE["split_sections_docs"]}) GROUP BY doc_id),
+c AS (SELECT doc_id, count(*)::INT AS n FROM ({ORACLE["build_chunks_docs"]}) GROUP BY doc_id),
+f AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'draft_' ELSE 'ABC_10-K_2026-01-01_' END
+             || lpad(doc_id::VARCHAR, 18, '0') AS file,
+             CASE WHEN doc_id % 7 = 0 THEN 'file name not understood' WHEN text IS NULL THEN 'no text' END AS error
+      FROM documents)
+SELECT file, CASE WHEN error IS NOT NULL THEN 'failed' WHEN c.n IS NULL THEN 'empty' ELSE 'ok' END AS status, error,
+       CASE WHEN error IS NULL THEN coalesce(s.n, 0) END AS n_sections,
+       CASE WHEN error IS NULL THEN coalesce(c.n, 0) END AS n_chunks
+FROM f LEFT JOIN s USING (doc_id) LEFT JOIN c USING (doc_id)
+""")
+def q_chunk_report(spark, sf_dir):
+    from tallystone.operators.metadata import chunk_report
+    name = F.when(F.col("doc_id") % 7 == 0, "draft_").otherwise("ABC_10-K_2026-01-01_")
+    d = filing_shaped_docs(spark, sf_dir)
+    return chunk_report(d.select(F.concat(name, F.lpad(F.col("doc_id").cast("string"), 18, "0")).alias("stem"), "text"))

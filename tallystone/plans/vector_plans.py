@@ -56,6 +56,18 @@ def q_vector_search_filtered(spark, sf_dir):
     return _search(spark, sf_dir, any_of={"label": [1, 3, 5]})
 
 
+# --- vector_search_like: the search form's other filters; items carry the name
+# "Class <label>" and the parity of their id, and only those of parity 0 whose
+# name contains "CLASS 1" in any case may rank.
+@register("vector_search_like", sql=_search_sql("AND vec_id % 2 = 0 AND ('Class ' || label) ILIKE '%CLASS 1%'"))
+def q_vector_search_like(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    q = vectors.centroids(e, "label").withColumnRenamed("label", "qid")
+    named = e.withColumn("name", F.concat(F.lit("Class "), F.col("label"))).withColumn("parity", F.col("vec_id") % 2)
+    return vectors.vector_search(named, q, k=5, id_col="vec_id", payload=["label"],
+                                 equals={"parity": 0}, ilike={"name": "CLASS 1"})
+
+
 # --- embed_chunks: 500/50 windows of every document, hashed-TF vectors of
 # width 64 (no SQL equivalent of the hash: rows-only check).
 @register("embed_chunks")
@@ -191,7 +203,7 @@ def q_text_search(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     w = chunks.token_windows(d.select("doc_id", F.upper("source").alias("ticker"), "text"),
                              id_cols=("doc_id", "ticker"))
-    ch = vectors.embed_chunks(w.withColumn("chunk_id", F.col("doc_id") * 100000 + F.col("window_index"))
+    ch = vectors.embed_chunks(w.withColumn("chunk_id", F.concat_ws(":", "doc_id", "window_index"))
                               .withColumnRenamed("window_index", "chunk_index"), dim=64)
     qs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text")
     return vectors.search(ch, qs, k=5, dim=64)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -167,17 +166,3 @@ GOLDEN_FILE = T.StructType([
     T.StructField("_readme", T.StringType()),
     T.StructField("records", T.ArrayType(GOLDEN_RECORD)),
 ])
-
-
-def concept_tags_df(spark: SparkSession, concept_tags: dict | None = None) -> DataFrame:
-    """D12 as a small dimension ``(concept, priority, tag)``."""
-    ct = concept_tags or CONCEPT_TAGS
-    rows = [(c, i, t) for c, tags in ct.items() for i, t in enumerate(tags)]
-    return spark.createDataFrame(rows, "concept string, priority int, tag string")
-
-
-def concept_keywords_df(spark: SparkSession, concept_keywords: dict | None = None) -> DataFrame:
-    """D13 as a small dimension ``(concept, kw_pos, keyword)``."""
-    ck = concept_keywords or CONCEPT_KEYWORDS
-    rows = [(c, i, k) for c, kws in ck.items() for i, k in enumerate(kws)]
-    return spark.createDataFrame(rows, "concept string, kw_pos int, keyword string")

@@ -222,9 +222,10 @@ def summarize_outcomes(report: DataFrame, status_col: str = "status") -> DataFra
 
 # --- S6 / S7: HTML and text files ------------------------------------------------
 def _drop_invalid(df: DataFrame, col: str) -> DataFrame:
-    # Spark decodes undecodable bytes as U+FFFD; dropping them matches a
-    # reader that ignores decoding errors
-    return df.withColumn(col, F.replace(F.col(col), F.lit("\ufffd"), F.lit("")))
+    # a file's bytes are kept as they are; in one that is no UTF-8, what does not
+    # decode becomes U+FFFD and goes, as for a reader that ignores decoding errors
+    made = F.replace(F.make_valid_utf8(col), F.lit("\ufffd"), F.lit(""))
+    return df.withColumn(col, F.when(F.is_valid_utf8(col), F.col(col)).otherwise(made))
 
 
 def read_html(spark: SparkSession, path: str, ticker: str | None = None, newest_only: bool = False,
@@ -284,6 +285,24 @@ def write_golden(records: DataFrame, path: str) -> None:
      .write.mode("overwrite").json(path))
 
 
+GOLDEN_README = "Golden dataset of verified filing facts."
+
+
+def write_golden_file(records: DataFrame, path: str, readme: str = GOLDEN_README) -> None:
+    """Write the golden set as one ``{_readme, records}`` document, records in
+    (load_seq, pos) order (S14).
+
+    The format is a single JSON object, so one task writes it: for hand-verified
+    sets. ``write_golden`` is the parallel form.
+    """
+    cols = [f.name for f in GOLDEN_RECORD.fields if f.name in records.columns]
+    packed = records.agg(F.sort_array(F.collect_list(F.struct(
+        "load_seq", "pos", F.struct(*cols).alias("r")))).alias("l"))
+    doc = F.struct(F.lit(readme).alias("_readme"), F.transform("l", lambda x: x["r"]).alias("records"))
+    (packed.select(F.to_json(doc, {"ignoreNullFields": "false"}).alias("value"))
+     .coalesce(1).write.mode("overwrite").text(path))
+
+
 # --- S10: watch list -----------------------------------------------------------------
 def read_watch_list(spark: SparkSession, path: str) -> DataFrame:
     """One ticker per line: blank lines and lines starting with '#' dropped

@@ -18,7 +18,7 @@ def write_fact_files(tidy: DataFrame, identities: DataFrame, out_dir: str) -> No
     entityName); ``tidy`` carries a ``ticker`` column.
     """
     cols = ["ticker"] + [c for c in TIDY_COLS if c in tidy.columns]
-    tidy.select(*cols).write.mode("overwrite").partitionBy("ticker") \
+    tidy.select(*cols).hint("rebalance", "ticker").write.mode("overwrite").partitionBy("ticker") \
         .option("header", "true").csv(f"{out_dir}/csv")
     present = tidy.select("ticker").distinct()
     identities.join(present, "ticker", "left_semi").write.mode("overwrite") \

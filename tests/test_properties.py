@@ -25,8 +25,7 @@ def test_section_and_window_invariants(spark):
     rng = random.Random(7)
     texts = [(i, random_text(rng)) for i in range(300)]
     df = spark.createDataFrame(texts, "doc_id long, text string")
-    raw = df.select("doc_id", "text", chunks.split_sections_expr(F.col("text"), merge=False).alias("r"),
-                    chunks.split_sections_expr(F.col("text"), min_tokens=40).alias("m"))
+    raw = chunks.with_sections(chunks.with_sections(df, "text", "r", merge=False), "text", "m", min_tokens=40)
     for row in raw.collect():
         assert "".join(s.text for s in row.r) == row.text
         raw_words = sum(len(s.text.split()) for s in row.r)

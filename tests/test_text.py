@@ -26,8 +26,9 @@ def test_html_whitespace_and_blank_lines(spark):
 
 
 def sections(spark, text, min_tokens=40, merge=True):
-    r = one(spark, lambda c: chunks.split_sections_expr(c, min_tokens, merge), text)
-    return [(s["title"], s["text"]) for s in r]
+    docs = spark.createDataFrame([(0, text)], "doc_id int, text string")
+    r = chunks.split_sections(docs, min_tokens=min_tokens, merge=merge).orderBy("section_idx").collect()
+    return [(s.title, s.section_text) for s in r]
 
 
 def test_sections_keep_last_header(spark):

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallystone.operators import vectors
 
@@ -49,28 +50,41 @@ def test_text_search_filters_and_model_check(spark):
     assert [x.chunk_id for x in r] == [1, 3] and r[0].similarity_pct > r[1].similarity_pct
     r = vectors.search(emb, q, k=3, form="10-Q", section_contains="risk", dim=32).collect()
     assert sorted(x.chunk_id for x in r) == [1, 2]
-    with pytest.raises(ValueError):
-        vectors.search(emb, q, dim=16)
+    with pytest.raises(Exception, match="embedded with hashing-tf-l2-32, query with hashing-tf-l2-16"):
+        vectors.search(emb, q, dim=16).collect()
 
 
-def test_query_groups_beyond_broadcast_bound(spark, monkeypatch):
+def test_blocks_of_any_size_agree(spark, monkeypatch):
     rng = np.random.default_rng(5)
-    items = spark.createDataFrame([(i, rng.normal(size=4).astype(float).tolist()) for i in range(200)],
-                                  "id long, embedding array<double>")
+    base = [rng.normal(size=4).astype(float).tolist() for _ in range(60)]
+    items = spark.createDataFrame([(f"i{i:03d}", base[i % 60]) for i in range(200)],     # ties between copies
+                                  "id string, embedding array<double>").repartition(3)
     q = spark.createDataFrame([(j, rng.normal(size=4).astype(float).tolist()) for j in range(30)],
                               "qid int, embedding array<double>")
-    one = sorted(tuple(r) for r in vectors.vector_search(items, q, k=4).collect())
-    monkeypatch.setattr(vectors, "MAX_QUERY_BYTES", 8 * 4 * 2 * 6)     # ~6 queries per group
-    many = sorted(tuple(r) for r in vectors.vector_search(items, q, k=4).collect())
-    assert many == one and len(one) == 120
+    one = sorted(tuple(r) for r in vectors.vector_search(items, q, k=5).collect())
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(vectors, "ITEM_BLOCK", 3)
+    many = sorted(tuple(r) for r in vectors.vector_search(items, q, k=5).collect())
+    assert many == one and len(one) == 150
 
 
-def test_oversized_group_is_split_again(spark, monkeypatch):
-    rng = np.random.default_rng(9)
-    items = spark.createDataFrame([(i, rng.normal(size=4).astype(float).tolist()) for i in range(100)],
+def test_no_queries_odd_vectors_and_widths(spark):
+    import pytest
+    nan = float("nan")
+    items = spark.createDataFrame([(1, [1.0, 1.0]), (2, []), (3, [nan, 1.0]), (4, [None, 1.0]), (5, None)],
                                   "id long, embedding array<double>")
-    q = spark.createDataFrame([(j, rng.normal(size=4).astype(float).tolist()) for j in range(12)],
-                              "qid int, embedding array<double>")
-    one = sorted(tuple(r) for r in vectors.vector_search(items, q, k=3).collect())
-    monkeypatch.setattr(vectors, "MAX_QUERY_BYTES", 8 * 4 * 5)        # at most 5 per collect
-    assert sorted(tuple(r) for r in vectors.vector_search(items, q, k=3).collect()) == one
+    none = spark.createDataFrame([], "qid int, embedding array<double>")
+    assert vectors.vector_search(items, none).collect() == []
+    q = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, None)], "qid int, embedding array<double>")
+    assert [(r.qid, r.id) for r in vectors.vector_search(items, q).collect()] == [(0, 1)]
+    wide = spark.createDataFrame([(0, [1.0, 0.0, 0.0])], "qid int, embedding array<double>")
+    with pytest.raises(Exception, match="width"):
+        vectors.vector_search(items, wide).collect()
+
+
+def test_declaring_a_search_runs_no_job(spark):
+    items = spark.range(100).select("id", F.array(F.rand(1), F.rand(2)).alias("embedding"))
+    q = items.select(F.col("id").alias("qid"), "embedding")
+    spark.sparkContext.setJobGroup("declared", "declared")
+    vectors.vector_search(items, q, k=3)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("declared")) == 0
