@@ -184,13 +184,16 @@ def measure(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns."""
-    narrow = stage(docs.select("doc_id", stratum(F.col("lang")).alias("stratum"), counts(F.col("text")).alias("q")),
-                   "quality-counts")
-    cuts = stage(thresholds(narrow, labels, risk, delta), "quality-cuts")
+    """The rows of ``docs`` that the rules keep, with their columns.
+
+    The counts are written beside the rows: they cost far more than the
+    writing, and a filter would make them again.
+    """
     q, s = fresh(docs, "quality_counts"), fresh(docs, "quality_stratum")
+    scored = stage(docs.withColumns({q: counts(F.col("text")), s: stratum(F.col("lang"))}), "quality-counts")
+    cuts = stage(thresholds(scored.select("doc_id", F.col(s).alias("stratum"), F.col(q).alias("q")), labels, risk, delta),
+                 "quality-cuts")
     names = {r: fresh(docs, f"quality_cut_{r}") for r in RULES}
     cuts = cuts.select(F.col("stratum").alias(s), *[F.col(f"cut_{r}").alias(names[r]) for r in RULES])
-    scored = docs.withColumns({q: counts(F.col("text")), s: stratum(F.col("lang"))})
     return scored.join(F.broadcast(cuts), s, "left").where(
         verdict(F.col(q), {r: F.col(names[r]) for r in RULES})).select(*docs.columns)
