@@ -25,6 +25,15 @@ def test_ratio_reads_only_needed_columns(spark):
 
 
 def test_text_and_search_plans_have_no_pair_joins(spark):
-    for name in ("html_to_text", "token_windows", "build_chunks", "vector_search", "reconcile_snippets"):
+    for name in ("html_to_text", "token_windows", "build_chunks", "reconcile_snippets"):
         p = plan_of(E.queries()[name](spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_vector_search_pairs_blocks_only(spark):
+    p = plan_of(E.queries()["vector_search"](spark, SF))
+    joins = [ln for ln in p.splitlines() if "CartesianProduct" in ln or "NestedLoopJoin" in ln]
+    # one join, of packed blocks on both sides: two packing steps below it, the scoring above
+    assert len(joins) == 1 and p.count("MapInArrow") == 3
+    below = p[p.index(joins[0]):]
+    assert below.count("MapInArrow pack(") == 2

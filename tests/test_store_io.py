@@ -35,9 +35,10 @@ def test_pluggable_embedder(spark):
 
     out = {r.id: r for r in vectors.embed_chunks(df, embedder=emb, model_id="len-3").collect()}
     assert out[1].embedding == [3.0, 1.0, 0.0] and out[2].embed_model == "len-3"
-    vectors.check_same_model(vectors.embed_chunks(df, embedder=emb, model_id="len-3"), "len-3")
-    with pytest.raises(ValueError):
-        vectors.check_same_model(vectors.embed_chunks(df, dim=8), "len-3")
+    own = vectors.require_model(vectors.embed_chunks(df, embedder=emb, model_id="len-3"), "len-3")
+    assert {r.id: r.embedding for r in own.collect()} == {i: r.embedding for i, r in out.items()}
+    with pytest.raises(Exception, match="query with len-3"):
+        vectors.require_model(vectors.embed_chunks(df, dim=8), "len-3").collect()
 
 
 def test_embedder_sees_batches_of_100(spark):
