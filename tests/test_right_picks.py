@@ -77,10 +77,10 @@ def test_vector_search_odd_query_sets(spark, monkeypatch):
     none = spark.createDataFrame([], "qid long, embedding array<float>")
     assert vectors.vector_search(items, none).count() == 0
     mixed = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0])], "qid long, embedding array<float>")
-    with pytest.raises(ValueError):
-        vectors.vector_search(items, mixed)
+    with pytest.raises(Exception, match="width"):
+        vectors.vector_search(items, mixed).collect()
     one_id = spark.createDataFrame([(7, [float(x), 1.0]) for x in range(12)], "qid long, embedding array<float>")
-    monkeypatch.setattr(vectors, "MAX_QUERY_BYTES", 64)          # groups of four at most
-    monkeypatch.setattr(vectors, "MAX_TILE", 8)
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(vectors, "ITEM_BLOCK", 2)
     assert vectors.vector_search(items, one_id, k=2).count() == 2
     assert np.isfinite(vectors.vector_search(items, one_id, k=2).toPandas()["distance"]).all()
