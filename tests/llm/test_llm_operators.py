@@ -342,6 +342,17 @@ def test_html_wrapper_finds_unnamed_container():
     assert w.read(roots[2]) == "unique2 unique2 unique2 unique2 unique2 more"
 
 
+def test_html_title_and_body_in_different_containers():
+    body = " ".join(["{0}"] * 200)
+    for page, name in (("<body><article><h1>t{0}</h1><div class=body><p>%s</p></div><div class=end><p>end {0}</p></div></article></body>", "article"),
+                       ("<body><div class=top>Site</div><div class=all><div class=head><h1>t{0}</h1></div><div class=body><p>%s</p></div>"
+                        "<div class=end><p>end {0}</p></div></div></body>", "div.all")):
+        roots = [wrappers.tree((page % body).format(f"w{i}")) for i in range(4)]
+        w = wrappers.induce(roots)
+        assert w.path[-1] == name
+        assert w.read(roots[1]) == "tw1 " + body.format("w1") + " end w1"
+
+
 def test_tree_matching_counts_pairs():
     a, b = wrappers.tree("<div><p>1</p><ul><li>x</ul><p>2</p></div>"), wrappers.tree("<div><p>1</p><p>2</p><em>z</em></div>")
     assert wrappers.match(a, b, {}) == 4            # root, div and two paragraphs
