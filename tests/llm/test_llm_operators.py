@@ -353,6 +353,14 @@ def test_html_title_and_body_in_different_containers():
         assert w.read(roots[1]) == "tw1 " + body.format("w1") + " end w1"
 
 
+def test_html_template_text_goes_by_itself():
+    page = ("<body><div class=top>Site</div><div class=body><div class=summary>Summary: <p>sum {0}</p></div><div class=box>{1}</div>"
+            "<p>text {0}</p></div></body>")
+    w = wrappers.induce([wrappers.tree(page.format(f"w{i}", "Print <b>this</b>")) for i in range(4)])
+    assert w.read(wrappers.tree(page.format("w9", "Print <b>this</b>"))) == "sum w9 text w9"
+    assert w.read(wrappers.tree(page.format("w9", "varying <b>this</b>"))) == "sum w9 varying this text w9"
+
+
 def test_tree_matching_counts_pairs():
     a, b = wrappers.tree("<div><p>1</p><ul><li>x</ul><p>2</p></div>"), wrappers.tree("<div><p>1</p><p>2</p><em>z</em></div>")
     assert wrappers.match(a, b, {}) == 4            # root, div and two paragraphs
