@@ -361,6 +361,30 @@ def test_html_template_text_goes_by_itself():
     assert w.read(wrappers.tree(page.format("w9", "varying <b>this</b>"))) == "sum w9 varying this text w9"
 
 
+def test_html_wrapper_counts_all_pages(spark):
+    """Five stubs, shorter than all others, share a note and lack a part that the others have."""
+    page = "<body><div class=top>Site</div><div class=body><p>{0}</p><div class=note>{1}</div></div>{2}<div class=legal>Rights</div></body>"
+    rows = [(i, f"http://h.example/{i}", page.format(f"s{i}", "Same", "")) for i in range(5)]
+    rows += [(i, f"http://h.example/{i}", page.format(f"long text {i}", f"note {i}", f"<div class=more><p>more {i}</p></div>")) for i in range(5, 24)]
+    want = {i: f"s{i} Same" if i < 5 else f"long text {i} note {i} more {i}" for i in range(24)}
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for table in (frame, frame.union(frame)):
+        got = wrappers.extract(table).collect()
+        assert len(got) == table.count() and {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_html_counts_equal_induction(spark):
+    """A table's wrapper is the one of its pages taken by themselves, whatever the spread."""
+    page = "<html><body>{2}<div class=a><h2>Part</h2><div>By<br> all</div><span><div>in {0}</div></span></div><ul><li>{1}</ul></body></html>"
+    html = [page.format(i, i % 2, "x" * (i % 3)) for i in range(12)] + [page.format(1, 1, "x")]
+    given = spark.createDataFrame([("h", h) for h in html] + [("one", "<p>a</p>"), ("two", "<p>a</p>"), ("two", "<p>b</p>")], "host string, html string")
+    got = {r["host"]: (tuple(r["path"]), frozenset(r["template"])) for r in wrappers.wrappers_of(given.repartition(5)).collect()}
+    for host, pages in (("h", sorted(set(html))), ("two", ["<p>a</p>", "<p>b</p>"])):
+        w = wrappers.induce([wrappers.tree(h) for h in pages])
+        assert got.pop(host) == (w.path, w.template)
+    assert not got
+
+
 def test_tree_matching_counts_pairs():
     a, b = wrappers.tree("<div><p>1</p><ul><li>x</ul><p>2</p></div>"), wrappers.tree("<div><p>1</p><p>2</p><em>z</em></div>")
     assert wrappers.match(a, b, {}) == 4            # root, div and two paragraphs
