@@ -385,6 +385,26 @@ def test_html_counts_equal_induction(spark):
     assert not got
 
 
+@pytest.mark.parametrize("page", [
+    "<body><div class='content no-sidebar'>{}</div></body>",
+    "<body class='layout-with-sidebar'><div class='layout-with-sidebar'><article>{}</article></div></body>",
+    "<body><article class='post comments-open'>{}</article></body>", "<body><main id=widget>{}</main></body>",
+    "<body><div class='page social-share-enabled'>{}</div></body>",
+    "<body><div class='page sidebar'><div class=ad>ad</div><article>{}</article></div></body>",
+    "<body><article><div class=widget>{}</div></article></body>", "<body><div class=widget>{}</div></body>"])
+def test_html_labels_leave_the_article(page):
+    text = "<h1>title {0}</h1><p>long text {0}</p><div class='ad-banner'>buy</div><div class='x comments'>re {0}</div>"
+    roots = [wrappers.tree(page.format(text.format(i))) for i in range(4)]
+    w = wrappers.induce(roots)
+    assert [w.read(r) for r in roots] == [f"title {i} long text {i}" for i in range(4)]
+    assert wrappers.Wrapper().read(roots[0]) == "title 0 long text 0"
+
+
+def test_html_large_advert_beside_an_article():
+    page = wrappers.tree("<body><div class=ad>buy this and this and this</div><article><p>text</p></article></body>")
+    assert wrappers.Wrapper().read(page) == "text"
+
+
 def test_tree_matching_counts_pairs():
     a, b = wrappers.tree("<div><p>1</p><ul><li>x</ul><p>2</p></div>"), wrappers.tree("<div><p>1</p><p>2</p><em>z</em></div>")
     assert wrappers.match(a, b, {}) == 4            # root, div and two paragraphs
