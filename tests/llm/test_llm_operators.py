@@ -195,6 +195,21 @@ def test_secret_network_held_out(spark):
     assert got["n_model"] == 1 and got["spans"] == "model:5:37"
 
 
+def test_secret_network_finds_frequent_bare_keys(spark):
+    """Candidates without a label are no negatives, however many they are, and no floor lifts the threshold."""
+    rng = np.random.default_rng(2)
+    text = lambda n, a: "".join(rng.choice(list(a), n))
+    low, alpha = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    rows = [f"the {text(5, low)} token = \"{text(32, alpha)}\" was" for _ in range(700)]
+    rows += [f"see {text(9, low)}-{text(6, low)}-{rng.integers(2000, 2030)} and {text(14, low)} in {text(8, low)}" for _ in range(700)]
+    rows += [f"bare {text(32, alpha)} value" for _ in range(1400)]
+    got = secrets.scan(docs_of(spark, rows)).toPandas().set_index("doc_id")["n_model"]
+    assert (got[got.index >= 1400] == 1).mean() >= 0.9 and (got[(got.index >= 700) & (got.index < 1400)] > 0).mean() <= 0.05
+    net, x = secrets.Network(), np.zeros((50, secrets.WIDTH), np.uint8)
+    net.out_bias = -3.0
+    assert net.constrain(x, np.ones(50)).threshold <= net.probability(x).max()
+
+
 def test_redact_keeps_the_rest(spark, odd):
     frame = docs_of(spark, ["a password: hunter22, b", "nothing", None, ""])
     got = [r["text"] for r in secrets.redact(frame).orderBy("doc_id").collect()]
