@@ -210,6 +210,23 @@ def test_secret_network_finds_frequent_bare_keys(spark):
     assert net.constrain(x, np.ones(50)).threshold <= net.probability(x).max()
 
 
+def test_secret_key_deep_in_a_path(spark):
+    rng = np.random.default_rng(3)
+    text = lambda n, a: "".join(rng.choice(list(a), n))
+    low, alpha = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    rows = [f"the {text(5, low)} token = \"{text(32, alpha)}\" was" for _ in range(700)]
+    rows += [f"see {text(9, low)}-{text(6, low)}-{rng.integers(2000, 2030)} and {text(14, low)} in {text(8, low)}" for _ in range(700)]
+    deep = "static/images/" + "/".join(text(9, low) for _ in range(9)) + "/"
+    rows += [f"at {deep}{text(32, alpha)} it" for _ in range(40)] + [f"at {deep}2024 it" for _ in range(40)]
+    got = [r["text"] for r in secrets.redact(docs_of(spark, rows)).orderBy("doc_id").collect()][1400:]
+    assert sum(t == "at [SECRET] it" for t in got[:40]) >= 30 and got[40:] == rows[1440:]
+    for n in (16, 56, 57, 84, 85, 300):
+        run = "".join(chr(33 + i % 90) for i in range(n))
+        seen = [w[secrets.BEFORE:secrets.BEFORE + secrets.INSIDE] for w in secrets.windows(f"a {run} b", 2, 2 + n)]
+        assert seen[0] == secrets.context(f"a {run} b", 2, 2 + n)[secrets.BEFORE:secrets.BEFORE + secrets.INSIDE]
+        assert all(any(run[i:i + secrets.INSIDE - secrets.STEP] in w for w in seen) for i in range(n))
+
+
 def test_redact_keeps_the_rest(spark, odd):
     frame = docs_of(spark, ["a password: hunter22, b", "nothing", None, ""])
     got = [r["text"] for r in secrets.redact(frame).orderBy("doc_id").collect()]
