@@ -227,6 +227,18 @@ def test_secret_key_deep_in_a_path(spark):
         assert all(any(run[i:i + secrets.INSIDE - secrets.STEP] in w for w in seen) for i in range(n))
 
 
+def test_secret_parts_beside_base_spans(spark):
+    rng = np.random.default_rng(4)
+    text = lambda n, a: "".join(rng.choice(list(a), n))
+    low, alpha = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    rows = [f"the {text(5, low)} token = \"{text(32, alpha)}\" was" for _ in range(700)]
+    rows += [f"see {text(9, low)}-{text(6, low)}-{rng.integers(2000, 2030)} and {text(14, low)} in {text(8, low)}" for _ in range(700)]
+    rows += [f"at {text(29, alpha)}Z{'0123456789ab' * 2}Z{text(29, alpha)} it" for _ in range(40)]
+    got = secrets.scan(docs_of(spark, rows)).where("doc_id >= 1400").toPandas()
+    assert (got["n_hex"] == 1).all() and (got["spans"] == "model:3:33,hex:33:57,model:57:87").sum() >= 25
+    assert secrets.candidates("x token=abcdefgh12345678 y", secrets.base_spans("x token=abcdefgh12345678 y")) == []
+
+
 def test_redact_keeps_the_rest(spark, odd):
     frame = docs_of(spark, ["a password: hunter22, b", "nothing", None, ""])
     got = [r["text"] for r in secrets.redact(frame).orderBy("doc_id").collect()]
