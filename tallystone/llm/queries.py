@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystone.llm import ann, bpe, mixing, oracles, ordinal, repeats, rules, secrets, simhash, token_counts, wrappers
+from tallystone.llm import (ann, bpe, collocations, fragments, lexical, mixing, oracles, ordinal, repeats, rules, secrets,
+                            simhash, token_counts, wrappers)
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {"op1_quality_rules": oracles.OP1}
+ORACLE: dict[str, str] = {"op1_quality_rules": oracles.OP1, "op11_collocations": oracles.OP11, "op13_lexical_search": oracles.OP13}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,3 +79,21 @@ def op9_source_mixing(spark, sf_dir):
 def op10_suffix_dedup(spark, sf_dir):
     """Every document's bytes without repeated 400-byte strings."""
     return repeats.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    """Each language's first 2,000 collocations."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_fragment_bpe(spark, sf_dir):
+    """Every document encoded in fragments and decoded, as digests."""
+    return fragments.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    """The 50 highest-scoring documents of every benchmark item."""
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
