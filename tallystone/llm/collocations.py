@@ -41,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +50,8 @@ from pyspark.sql.window import Window
 from tallystone.llm.common import stage
 
 ORDER, LEAST, TOP, SHARE, SCALE = 4, 30, 2000, 80, 2_000_000
-#: Bytes of text counted at once in a task.
-BLOCK = 8_000_000
+#: Bytes of text counted at once in a task, and pairs whose hashes are.
+BLOCK, PAIRS = 3_000_000, 4_000_000
 #: Bits of the filter of frequent pairs: 16 MiB.
 BITS = 1 << 27
 # What separates pieces, and words inside a piece.
@@ -101,11 +102,12 @@ class Block:
         return found[::-1]
 
     def arrays(self):
-        """Ids of the words (0: break), numbers of their languages, the words and languages by number."""
+        """Ids of the words (0: break), numbers of their languages, the words and languages by number; gives up the tokens."""
         table = _Ids()
-        ids = np.fromiter(map(table.__getitem__, self.tokens), np.int64, len(self.tokens))
+        ids = np.fromiter(map(table.__getitem__, self.tokens), np.int32, len(self.tokens))
+        self.tokens = []
         names = {lang: i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in self.runs))}
-        langs = np.repeat(np.array([names[lang] for lang, _ in self.runs], np.int64), [n for _, n in self.runs])
+        langs = np.repeat(np.array([names[lang] for lang, _ in self.runs], np.int32), [n for _, n in self.runs])
         keep = ids != 1
         return ids[keep], langs[keep], table.words, list(names)
 
@@ -114,8 +116,8 @@ def blocks(batches: Iterator[pa.RecordBatch], order: int, size: int = BLOCK) ->
     """The texts (lang, text) of a partition as blocks of about ``size`` bytes."""
     now = Block()
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            raw, kept = (text or "").encode().translate(_READ), 0
+        for lang, text in zip(batch.column(0), batch.column(1)):
+            lang, raw, kept = lang.as_py(), (text.as_py() or "").encode().translate(_READ), 0
             while now.size + len(raw) > 2 * size:
                 # the last gap within the block, or the first after it; beyond the words carried over
                 least = max(kept + 1, size - now.size)
@@ -156,14 +158,22 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def frequent_pairs(texts: DataFrame, least: int, bits: int = BITS, size: int = BLOCK) -> np.ndarray:
     """The filter of neighbouring words that occur ``least`` times or more, as 64-bit words."""
+    def batch(hashes: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(hashes), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], ["h", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for block in blocks(batches, 2, size):
             ids, langs, words, names = block.arrays()
-            if len(ids) < 2:
-                continue
-            both = (ids[:-1] > 0) & (ids[1:] > 0)
-            h, n = np.unique(_pair_hashes(ids, langs, words, names)[both].view(np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], ["h", "n"])
+            if len(ids) > 1:
+                both = (ids[:-1] > 0) & (ids[1:] > 0)
+                held.append(_pair_hashes(ids, langs, words, names)[both].view(np.int64))
+            if sum(map(len, held)) > PAIRS:
+                yield batch(held)
+                held = []
+        if held:
+            yield batch(held)
 
     frequent = (texts.mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
                 .where(F.col("n") >= least))
@@ -186,7 +196,7 @@ def _in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def counted_windows(texts: DataFrame, bits: np.ndarray, order: int = ORDER, size: int = BLOCK) -> DataFrame:
-    """(lang, w1 .. w<order>, n): windows of frequent pairs, padded with empty strings, counted in blocks."""
+    """(lang, words, n): windows of frequent pairs, their words joined by spaces up to the padding, counted in blocks."""
     columns = [f"w{i + 1}" for i in range(order)]
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
@@ -195,23 +205,23 @@ def counted_windows(texts: DataFrame, bits: np.ndarray, order: int = ORDER, size
             ids, langs, words, names = block.arrays()
             if not len(ids):
                 continue
-            follows = np.r_[_in_filter(shared.value, _pair_hashes(ids, langs, words, names)), False]
+            follows = np.r_[_in_filter(shared.value, _pair_hashes(ids, langs, words, names)), np.zeros(order, bool)]
             starts = np.flatnonzero(ids[:len(ids) - block.open] > 0)
+            padded = np.r_[ids, np.zeros(order, ids.dtype)]
             lead, goes_on = [ids[starts]], np.ones(len(starts), bool)
-            padded = np.r_[ids, np.zeros(order, np.int64)]
-            follows = np.r_[follows, np.zeros(order, bool)]
             for i in range(1, order):
                 goes_on = goes_on & follows[starts + i - 1] & (padded[starts + i] > 0)
                 lead.append(np.where(goes_on, padded[starts + i], 0))
             found = pa.table([langs[starts], *lead], names=["lang", *columns]).group_by(
                 ["lang", *columns], use_threads=False).aggregate([([], "count_all")])
-            spelled = pa.array(words, pa.binary()).cast(pa.string())
+            spelled = pa.array([w or None for w in words], pa.binary()).cast(pa.string())
+            joined = pc.binary_join_element_wise(*[spelled.take(found[c].combine_chunks()) for c in columns], " ",
+                                                 null_handling="skip")
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()).take(found["lang"].combine_chunks()),
-                 *[spelled.take(found[c].combine_chunks()) for c in columns],
-                 found["count_all"].combine_chunks().cast(pa.int64())], ["lang", *columns, "n"])
+                [pa.array(names, pa.string()).take(found["lang"].combine_chunks()), joined,
+                 found["count_all"].combine_chunks().cast(pa.int64())], ["lang", "words", "n"])
 
-    return texts.mapInArrow(count, "lang string, " + ", ".join(f"{c} string" for c in columns) + ", n bigint")
+    return texts.mapInArrow(count, "lang string, words string, n bigint")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, order: int = ORDER, bits: int = BITS, size: int = BLOCK) -> DataFrame:
@@ -220,8 +230,11 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, order: int = ORDER, bits:
     texts = _texts(docs)
     columns = [f"w{i + 1}" for i in range(order)]
     windows = counted_windows(texts, frequent_pairs(texts, least, bits, size), order, size)
-    windows = windows.groupBy("lang", *columns).agg(F.sum("n").alias("n"))
-    windows = windows.withColumn(columns[-1], F.when(F.col("n") >= least, F.col(columns[-1])).otherwise(""))
+    windows = windows.groupBy("lang", "words").agg(F.sum("n").alias("n")).withColumn("w", F.split("words", " "))
+    # a longest window too rare to be a phrase counts for its prefixes only
+    last = F.when((F.col("n") >= least) & (F.size("w") == order), F.element_at("w", -1)).otherwise("")
+    windows = windows.select("lang", "n", *[F.coalesce(F.get("w", F.lit(i)), F.lit("")).alias(c)
+                                            for i, c in enumerate(columns[:-1])], last.alias(columns[-1]))
     sums = windows.rollup("lang", *columns).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     k = F.lit(order) - F.round(F.log2(F.col("g") + 1)).cast("int")           # the columns that a row still has
     words = F.slice(F.array(*columns), 1, F.greatest(k, F.lit(0)))
