@@ -38,12 +38,13 @@ further columns: ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -237,10 +238,12 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, order: int = ORDER, bits:
                                             for i, c in enumerate(columns[:-1])], last.alias(columns[-1]))
     sums = windows.rollup("lang", *columns).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     k = F.lit(order) - F.round(F.log2(F.col("g") + 1)).cast("int")           # the columns that a row still has
-    words = F.slice(F.array(*columns), 1, F.greatest(k, F.lit(0)))
-    return (sums.where(F.col("g") < 2 ** (order + 1) - 1)
-            .select("lang", k.alias("k"), words.alias("words"), "f")
-            .where((F.col("k") == 0) | ((F.col("f") >= least) & (F.element_at("words", -1) != "")))
+    # prefixes that end in padding are no phrases; Spark drops them before the shuffle
+    ends = [F.col("g").isin(2 ** order - 1, 2 ** order // 2 - 1)]
+    ends += [(F.col("g") == 2 ** i - 1) & (F.col(c) != "") for i, c in enumerate(reversed(columns[1:]))]
+    return (sums.where(reduce(Column.__or__, ends))
+            .select("lang", k.alias("k"), F.slice(F.array(*columns), 1, k).alias("words"), "f")
+            .where((F.col("k") == 0) | (F.col("f") >= least))
             .select("lang", "k", "words", F.array_join("words", " ").alias("phrase"), "f"))
 
 
