@@ -2,8 +2,8 @@
 
 Index (``signatures``; knows no query). The terms of a document set bits of a
 Bloom signature, ``HASHES`` each, once for every level of occurrence that they reach
-(1, 2, 4, .. times). Signatures have ``ROOM`` bits or more for a key, in powers
-of two, so a long document gets a long one. Documents of one signature length
+(``LEVELS``). Signatures have ``ROOM`` bits or a few more for a key,
+so a long document gets a long one. Documents of one signature length
 are laid side by side in blocks and stored by rows of bits: slice s holds bit s
 of every document of the block, so the documents that may hold a term are the AND of its
 slices. The same pass counts the documents of each term.
@@ -13,7 +13,7 @@ Search, for a block of items at a time:
 1. Bounds. A term's bitmap of a level holds every document that reaches it, and
    some by chance. Weighted sums of an item's bitmaps, times what a level adds
    at most to the score of a document of that length, bound the scores from above.
-2. Threshold. The ``top`` documents with the highest bounds are scored exactly; the
+2. Threshold. The ``FIRST`` documents with the highest bounds are scored exactly; the
    last of their best ``top`` scores is one that the result reaches (0 if fewer score).
 3. Rest. Every document whose bound is not below the threshold is scored
    exactly from its text; the others are provably outside. The best ``top`` are the result.
@@ -49,8 +49,11 @@ from pyspark.sql.window import Window
 
 from tallystone.llm.common import stage
 
-TOP = 50
-HASHES, ROOM, LEVELS = 3, 8, 5
+#: Documents of an item's result, and those scored first for its threshold.
+TOP, FIRST = 50, 200
+HASHES, ROOM = 4, 16
+#: Numbers of occurrences that have bits of their own; between two of them the bound takes the higher.
+LEVELS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)
 #: Bits of a block of signatures, and its most and fewest documents.
 BLOCK, MOST, FEWEST = 1 << 23, 1024, 8
 #: Items searched at once, on average; hashes and counts of terms kept by a task.
@@ -58,7 +61,7 @@ ITEMS, TERMS = 256, 200_000
 # What is no part of a term, in bytes; A-Z lower-cased.
 _READ = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_BLOCK_ROW = "bits int, docs bigint, words bigint, keys binary, lengths binary, slices binary, term binary, df bigint"
+_BLOCK_ROW = "slots bigint, docs bigint, words bigint, keys binary, lengths binary, slices binary, term binary, df bigint"
 
 
 def terms_of(text: str | None) -> list[bytes]:
@@ -79,11 +82,18 @@ def _keys(h: np.ndarray, level: int) -> np.ndarray:
     return k ^ (k >> np.uint64(31))
 
 
-def _places(keys: np.ndarray, bits: int) -> np.ndarray:
-    """The ``HASHES`` places of each key in a signature of 2^bits."""
+def slots_for(keys: int) -> int:
+    """The length of a signature of so many keys: one of four in each octave."""
+    least = max(64, ROOM * keys)
+    step = 1 << (least - 1).bit_length() - 3
+    return -(-least // step) * step
+
+
+def _places(keys: np.ndarray, slots: int) -> np.ndarray:
+    """The ``HASHES`` places of each key in a signature."""
     low, high = keys & np.uint64(0xFFFFFFFF), (keys >> np.uint64(32)) | np.uint64(1)
     i = np.arange(HASHES, dtype=np.uint64)
-    return ((low[:, None] + i * high[:, None]) & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return ((low[:, None] + i * high[:, None]) % np.uint64(slots)).astype(np.int64)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -91,20 +101,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """The index of (k, text): rows of blocks of documents (bits, docs, words, keys,
+    """The index of (k, text): rows of blocks of documents (slots, docs, words, keys,
     lengths, slices), and rows of terms (term, df) that are to be summed."""
-    def block(bits: int, rows: list) -> dict:
+    def block(slots: int, rows: list) -> dict:
         n = -(-len(rows) // 8) * 8
-        held = np.zeros((1 << bits, n), bool)
+        held = np.zeros((slots, n), bool)
         for d, (_, _, places) in enumerate(rows):
             held[places, d] = True
-        return {"bits": bits, "docs": len(rows), "words": sum(r[1] for r in rows),
+        return {"slots": slots, "docs": len(rows), "words": sum(r[1] for r in rows),
                 "keys": np.array([r[0] for r in rows], np.int64).tobytes(),
                 "lengths": np.array([r[1] for r in rows], np.int64).tobytes(),
                 "slices": np.packbits(held, axis=1, bitorder="little").tobytes()}
 
     def batch(rows: list[dict]) -> pa.RecordBatch:
-        kinds = [("bits", pa.int32()), ("docs", pa.int64()), ("words", pa.int64()), ("keys", pa.binary()), ("lengths", pa.binary()),
+        kinds = [("slots", pa.int64()), ("docs", pa.int64()), ("words", pa.int64()), ("keys", pa.binary()), ("lengths", pa.binary()),
                  ("slices", pa.binary()), ("term", pa.binary()), ("df", pa.int64())]
         return pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
 
@@ -119,16 +129,16 @@ def signatures(docs: DataFrame) -> DataFrame:
                 df.update(tf.keys())
                 h = np.fromiter(map(hashes.__getitem__, tf), np.uint64, len(tf))
                 n = np.fromiter(tf.values(), np.int64, len(tf))
-                keys = np.concatenate([_keys(h[n >= 1 << j], j) for j in range(LEVELS)])
-                bits = max(6, (ROOM * len(keys) - 1).bit_length())
-                waiting[bits].append((k, len(terms), _places(keys, bits).ravel()))
-                if len(waiting[bits]) == min(MOST, max(FEWEST, BLOCK >> bits)):
-                    yield batch([block(bits, waiting.pop(bits))])
+                keys = np.concatenate([_keys(h[n >= least], least) for least in LEVELS])
+                slots = slots_for(len(keys))
+                waiting[slots].append((k, len(terms), _places(keys, slots).ravel()))
+                if len(waiting[slots]) == min(MOST, max(FEWEST, BLOCK // slots)):
+                    yield batch([block(slots, waiting.pop(slots))])
                 if len(df) > TERMS:
                     yield batch([{"term": t, "df": c} for t, c in df.items()])
                     df.clear()
-        for bits in list(waiting):
-            yield batch([block(bits, waiting.pop(bits))])
+        for slots in list(waiting):
+            yield batch([block(slots, waiting.pop(slots))])
         if df:
             yield batch([{"term": t, "df": c} for t, c in df.items()])
 
@@ -149,16 +159,16 @@ class Items:
     def bounds(self, row: dict) -> tuple[np.ndarray, np.ndarray]:
         """(keys, bounds): of the block's documents, and of each item's score in each."""
         keys, lengths = np.frombuffer(row["keys"], np.int64), np.frombuffer(row["lengths"], np.int64)
-        slices = np.frombuffer(row["slices"], np.uint8).reshape(1 << row["bits"], -1)
+        slices = np.frombuffer(row["slices"], np.uint8).reshape(row["slots"], -1)
         weight, m = np.array(self.weight, np.float64), self.evenness(lengths)
         bound = np.zeros((len(self.terms), len(keys)), np.int64)
         before, held = 0, None
-        for j in range(LEVELS):
-            places = _places(_keys(self.hashes, j), row["bits"])
+        for level, after in zip(LEVELS, [*LEVELS[1:], None]):
+            places = _places(_keys(self.hashes, level), row["slots"])
             now = np.bitwise_and.reduce([slices[places[:, i]] for i in range(HASHES)])
             held = now if held is None else held & now                # a level holds all of the next
-            most = (2 << j) - 1
-            worth = 10**9 * most // (1000 * most + 20 * m) if j < LEVELS - 1 else np.full(len(m), 10**6)
+            most = after and after - 1
+            worth = 10**9 * most // (1000 * most + 20 * m) if most else np.full(len(m), 10**6)
             there = np.unpackbits(held, axis=1, count=len(keys), bitorder="little")
             for q, of in enumerate(self.terms):
                 bound[q] += (weight[of] @ there[of]).astype(np.int64) * (worth - before)
@@ -189,7 +199,7 @@ def _bounded(index: DataFrame, items: Items, choose, finish) -> DataFrame:
         if found is not None:
             yield batch(*found)
 
-    return index.where("bits IS NOT NULL").select("bits", "keys", "lengths", "slices").mapInArrow(
+    return index.where("slots IS NOT NULL").select("slots", "keys", "lengths", "slices").mapInArrow(
         run, "q int, k bigint, bound bigint")
 
 
@@ -253,7 +263,7 @@ def _best(scores: DataFrame, top: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top)
 
 
-def search(docs: DataFrame, benchmark: DataFrame, top: int = TOP, at_once: int = ITEMS) -> DataFrame:
+def search(docs: DataFrame, benchmark: DataFrame, top: int = TOP, at_once: int = ITEMS, first: int = FIRST) -> DataFrame:
     """(item_id, rank, doc_id, score): each item's ``top`` documents."""
     spark = docs.sparkSession
     keyed = _keyed(docs)
@@ -272,8 +282,8 @@ def search(docs: DataFrame, benchmark: DataFrame, top: int = TOP, at_once: int =
         if not df:
             continue
         block = Items(terms, df, n, total)
-        first = _best(rescored(keyed, highest(index, block, top), block), top)
-        reached = first.where(F.col("rank") == top).select("q", "score").collect()
+        tried = _best(rescored(keyed, highest(index, block, max(top, first)), block), top)
+        reached = tried.where(F.col("rank") == top).select("q", "score").collect()
         pairs = stage(not_excluded(index, block, {r["q"]: r["score"] for r in reached}), "lexical-candidates")
         best = stage(_best(rescored(keyed, pairs, block), top), "lexical-best")
         names = spark.createDataFrame([(q, r["item_id"]) for q, r in enumerate(rows)], f"q int, item_id {kind}")

@@ -224,7 +224,7 @@ def test_bounds_are_never_below_the_score_and_exclude_most(spark):
     n, total = index.agg(F.sum("docs"), F.sum("words")).first()
     block = lexical.Items(terms, {t: counted[t] for of in terms for t in of if t in counted}, n, total)
     bound = {}
-    for row in index.where("bits IS NOT NULL").collect():
+    for row in index.where("slots IS NOT NULL").collect():
         keys, found = block.bounds(row.asDict())
         bound |= {(q, k): found[q, d] for q in range(10) for d, k in enumerate(keys.tolist())}
     pairs = keyed.select("k").distinct().crossJoin(spark.range(10).select(F.col("id").cast("int").alias("q")))
