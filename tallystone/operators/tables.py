@@ -1,8 +1,9 @@
 """HTML tables -> long-form cells (X2) and table profiles.
 
-The only Python-side operator: a small stdlib ``html.parser`` helper runs
-inside ``mapInPandas`` over Arrow batches of pages, one page at a time, and
-emits one row per cell. Spark partitions the pages; nothing is collected.
+Cells are read from the page's tree (``dom``), so malformed markup gives the cells
+that a browser would show. The helper runs inside ``mapInPandas`` over Arrow
+batches of pages, one page at a time, and emits one row per cell. Spark
+partitions the pages; nothing is collected.
 """
 
 from __future__ import annotations
@@ -10,13 +11,13 @@ from __future__ import annotations
 import itertools
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallystone.operators import dom
 
 #: Cells sent on at once; spans can make many of a small page.
 CELLS_PER_FRAME = 20_000
@@ -48,68 +49,22 @@ def cell_number_expr(c):
     return F.when(neg, -v).otherwise(v)
 
 
-class _Tables(HTMLParser):
-    """Collect every table as rows of (text, rowspan, colspan); end tags of
-    cells and rows are optional, and a table open at the end is complete."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.tables: list[list[list[tuple]]] = []   # by start order
-        self.stack: list[dict] = []                 # open tables
-        self.skip = 0                               # inside script/style/noscript
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style", "noscript"):
-            self.skip += 1
-        elif tag == "table":
-            self.tables.append([])
-            self.stack.append({"rows": self.tables[-1], "cell": None})
-        elif self.stack:
-            t = self.stack[-1]
-            if tag == "tr":
-                self._close_cell(t)
-                t["rows"].append([])
-            elif tag in ("td", "th"):
-                self._close_cell(t)
-                if not t["rows"]:
-                    t["rows"].append([])
-                a = dict(attrs)
-                t["cell"] = ([], _span(a.get("rowspan")), _span(a.get("colspan")))
-            elif tag == "br" and t["cell"] is not None:
-                t["cell"][0].append(" ")
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style", "noscript"):
-            self.skip = max(0, self.skip - 1)
-        elif self.stack and tag in ("td", "th", "tr", "table"):
-            self._close_cell(self.stack[-1])
-            if tag == "table":
-                self.stack.pop()
-
-    def handle_data(self, data):
-        if not self.skip and self.stack and self.stack[-1]["cell"] is not None:
-            self.stack[-1]["cell"][0].append(data)
-
-    def close(self):
-        super().close()
-        for t in self.stack:
-            self._close_cell(t)
-
-    def _close_cell(self, t):
-        if t["cell"] is not None:
-            pieces, rs, cs = t["cell"]
-            text = _WS.sub(" ", "".join(pieces)).strip()
-            if _PLAIN_NUMBER.match(text):
-                text = text.replace(",", "")
-            t["rows"][-1].append((text, rs, cs))
-            t["cell"] = None
-
-
-def _span(v) -> int:
-    try:
-        return max(1, int(v))
-    except (TypeError, ValueError):
-        return 1
+# The limits of the HTML standard.
+_MOST_COLUMNS, _MOST_ROWS = 1000, 65_534
+
+
+def _span(v: str | None, most: int) -> int:
+    """A span attribute: its leading digits, from 1 to ``most``; 1 without any."""
+    m = re.match(r"\s*\+?([0-9]{1,9})", v or "")
+    return min(most, max(1, int(m[1]))) if m else 1
+
+
+def _cell(node: dom.Node) -> tuple[str, int, int]:
+    """(text, rowspan, colspan); thousands commas of plain numbers are taken out."""
+    text = _WS.sub(" ", dom.cell_text(node)).strip()
+    if _PLAIN_NUMBER.match(text):
+        text = text.replace(",", "")
+    return text, _span(node.attrs.get("rowspan"), _MOST_ROWS), _span(node.attrs.get("colspan"), _MOST_COLUMNS)
 
 
 def _expand(rows) -> Iterator[list[str]]:
@@ -145,11 +100,8 @@ def _expand(rows) -> Iterator[list[str]]:
 def iter_cells(html: str | None) -> Iterator[tuple[int, int, int, str]]:
     """(table_idx, row_idx, col_idx, cell) of every non-empty table; empty
     tables are skipped but keep their place in the numbering."""
-    p = _Tables()
-    p.feed(html or "")
-    p.close()
-    for ti, rows in enumerate(p.tables):
-        for ri, row in enumerate(_expand(rows)):
+    for ti, rows in dom.iter_tables(html):
+        for ri, row in enumerate(_expand(map(_cell, cells) for cells in rows)):
             for ci, cell in enumerate(row):
                 yield ti, ri, ci, cell
 

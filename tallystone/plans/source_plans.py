@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallystone.functions import ids
-from tallystone.functions.text import HTML_HIDDEN, WS
+from tallystone.functions.text import HTML_HIDDEN, HTML_TAG, WS
 from tallystone.operators import facts as facts_ops
-from tallystone.operators import tables
+from tallystone.operators import dom, tables
 from tallystone.plans.registry import register, table
+from tallystone.plans.text_plans import HTML_TEXT_SQL, WS_SQL, _sql_str, entities_sql
 from tallystone.session import shared_dir
 from tallystone.sources import filings, sinks
 
@@ -318,25 +319,67 @@ def q_normalize_ids(spark, sf_dir):
 
 # --- html_tables / table_profile: the pages' lists become one-column
 # tables (ul -> table, li -> row with one cell) after hidden subtrees and
-# comments are removed; cells come from the Python table parser.
+# comments are removed; end tags of rows and cells are left out, so that the tree
+# construction has to imply them.
 def _list_tables(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     h = F.regexp_replace(F.col("html"), HTML_HIDDEN, "")
     h = F.regexp_replace(h, r"(?i)<ul\b", "<table")
     h = F.regexp_replace(h, r"(?i)</ul\s*>", "</table>")
     h = F.regexp_replace(h, r"(?i)<li\b([^>]*)>", "<tr><td$1>")
-    h = F.regexp_replace(h, r"(?i)</li\s*>", "</td></tr>")
+    h = F.regexp_replace(h, r"(?i)</li\s*>", "")
     return tables.html_tables(p.select("page_id", h.alias("html")))
 
 
-@register("html_tables")
+_CELLS_SQL = f"""
+l AS (SELECT page_id, unnest(l) AS l, generate_subscripts(l, 1) - 1 AS table_idx FROM (
+        SELECT page_id, regexp_extract_all(regexp_replace(html, {_sql_str(HTML_HIDDEN)}, '', 'g'),
+                                           '(?is)<ul\\b[^>]*>(.*?)</ul\\s*>', 1) AS l FROM pages)),
+i AS (SELECT page_id, table_idx, unnest(i) AS i, generate_subscripts(i, 1) - 1 AS row_idx FROM (
+        SELECT page_id, table_idx, regexp_extract_all(l, '(?is)<li\\b[^>]*>(.*?)</li\\s*>', 1) AS i FROM l)),
+c AS (SELECT page_id, table_idx, row_idx, trim(regexp_replace({entities_sql(f"regexp_replace(i, {_sql_str(HTML_TAG)}, '', 'g')")},
+                                                              {WS_SQL}, ' ', 'g')) AS c FROM i),
+cells AS (SELECT page_id, table_idx::INT AS table_idx, row_idx::INT AS row_idx, 0 AS col_idx,
+                 CASE WHEN regexp_full_match(c, '-?[0-9]{{1,3}}(,[0-9]{{3}})+([.][0-9]+)?') THEN replace(c, ',', '') ELSE c END AS cell,
+                 trim(regexp_replace(c, '[$,%]', '', 'g')) AS t FROM c),
+nums AS (SELECT * EXCLUDE (t), CASE WHEN regexp_full_match(n, '-?[0-9]+([.][0-9]+)?')
+                                   THEN n::DOUBLE * CASE WHEN starts_with(t, '(') THEN -1 ELSE 1 END END AS num
+         FROM (SELECT *, trim(regexp_replace(t, '^[()]+|[()]+$', '', 'g')) AS n FROM cells))"""
+
+
+@register("html_tables", sql=f"WITH {_CELLS_SQL} SELECT * EXCLUDE (n) FROM nums")
 def q_html_tables(spark, sf_dir):
     return _list_tables(spark, sf_dir)
 
 
-@register("table_profile")
+@register("table_profile", sql=f"""
+WITH {_CELLS_SQL}
+SELECT page_id, table_idx, (max(row_idx) + 1)::INT AS n_rows, (max(col_idx) + 1)::INT AS n_cols, count(*) AS n_cells,
+       count(num) AS n_numeric, string_agg(cell, chr(10) ORDER BY row_idx, col_idx) FILTER (row_idx < 10) AS preview
+FROM nums GROUP BY page_id, table_idx
+""")
 def q_table_profile(spark, sf_dir):
-    return tables.table_profile(_list_tables(spark, sf_dir)).drop("preview")
+    profile = tables.table_profile(_list_tables(spark, sf_dir))
+    return profile.withColumn("preview", F.array_join(F.transform("preview", lambda x: x["cell"]), "\n"))
+
+
+# --- html_outline / html_tree_text: the pages' trees; elements by tag, and the
+# same text as html_to_text, read from the nodes.
+@register("html_outline", sql=f"""
+SELECT page_id, lower(t) AS tag, count(*) AS n_elements
+FROM (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, {_sql_str(HTML_HIDDEN)}, '', 'g'),
+                                                '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS t FROM pages)
+GROUP BY ALL
+""")
+def q_html_outline(spark, sf_dir):
+    nodes = dom.html_nodes(table(spark, sf_dir, "pages"))
+    return (nodes.where("tag IS NOT NULL AND NOT hidden AND NOT again")
+            .groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n_elements")))
+
+
+@register("html_tree_text", sql=HTML_TEXT_SQL)
+def q_html_tree_text(spark, sf_dir):
+    return dom.nodes_text(dom.html_nodes(table(spark, sf_dir, "pages")))
 
 
 # --- fact_store_rows: the numeric flow end to end on the same documents:

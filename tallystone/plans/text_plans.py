@@ -37,6 +37,16 @@ def _norm_sql(x: str) -> str:
     return f"lower(trim(regexp_replace({x}, {WS_SQL}, ' ', 'g')))"
 
 
+def entities_sql(x: str) -> str:
+    """Decoding of the references that the pages use: legacy names with or without
+    ";" (HTML5), and &amp last so that one pass never decodes twice."""
+    x = f"replace({x}, '&#39;', '\'\'')"
+    for name, char in [("quot", "'\"'"), ("copy", "'©'"), ("middot", "'·'"), ("lt", "'<'"), ("gt", "'>'"),
+                       ("nbsp", "chr(160)"), ("amp", "'&'")]:
+        x = f"regexp_replace({x}, '&{name};?', {char}, 'g')"
+    return x
+
+
 # --- html_to_text: pages -----------------------------------------------------
 HTML_TEXT_SQL = f"""
 WITH s0 AS (
@@ -47,11 +57,7 @@ WITH s0 AS (
 s1 AS (
   -- the references the pages use; legacy names decode with or without ";"
   -- (HTML5), and &amp is last so that one pass never decodes twice
-  SELECT page_id,
-    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-    regexp_replace(replace(s, '&#39;', ''''),
-    '&quot;?', '"', 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&lt;?', '<', 'g'),
-    '&gt;?', '>', 'g'), '&nbsp;?', chr(160), 'g'), '&amp;?', '&', 'g') AS s
+  SELECT page_id, {entities_sql('s')} AS s
   FROM s0),
 s2 AS (
   SELECT page_id, regexp_replace(regexp_replace(s, {_sql_str(f"\r\n|[{LB}]")}, chr(10), 'g'),
