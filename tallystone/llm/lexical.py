@@ -252,7 +252,8 @@ def rescored(keyed: DataFrame, pairs: DataFrame, items: Items) -> DataFrame:
                 [pa.array(q, pa.int32()), b.column(0).take(pa.array(at, pa.int64())), pa.array(s, pa.int64())],
                 ["q", "doc_id", "score"])
 
-    wanted = pairs.groupBy("k").agg(F.collect_set("q").alias("qs"))
+    # written first, so that Spark knows its size before it plans to shuffle the texts
+    wanted = stage(pairs.groupBy("k").agg(F.collect_set("q").alias("qs")), "lexical-candidates")
     kind = keyed.schema["doc_id"].dataType.simpleString()
     return (keyed.join(wanted, "k").select("doc_id", "text", "qs")
             .mapInArrow(run, f"q int, doc_id {kind}, score bigint"))
@@ -284,7 +285,7 @@ def search(docs: DataFrame, benchmark: DataFrame, top: int = TOP, at_once: int =
         block = Items(terms, df, n, total)
         tried = _best(rescored(keyed, highest(index, block, max(top, first)), block), top)
         reached = tried.where(F.col("rank") == top).select("q", "score").collect()
-        pairs = stage(not_excluded(index, block, {r["q"]: r["score"] for r in reached}), "lexical-candidates")
+        pairs = not_excluded(index, block, {r["q"]: r["score"] for r in reached})
         best = stage(_best(rescored(keyed, pairs, block), top), "lexical-best")
         names = spark.createDataFrame([(q, r["item_id"]) for q, r in enumerate(rows)], f"q int, item_id {kind}")
         out.append(best.join(names, "q").select("item_id", "rank", "doc_id", "score"))
