@@ -6,15 +6,15 @@ where the piece ends. The occurrences of a shorter phrase are the windows that
 begin with it, so one ROLLUP over the counted windows sums up all shorter
 prefixes; no n-gram of another length is ever made.
 
-1. Pairs. A phrase that occurs ``least`` times is made of pairs of neighbours
-   that do. Pairs are counted by a 64-bit hash of language and words, and those
-   with ``least`` or more set their bits in a filter of ``BITS`` bits. That is
-   all that reaches the driver and the tasks, however large the corpus.
-2. Windows. A window is broken off, and padded, before a pair that the filter
-   does not hold: no counted phrase loses an occurrence, and the first word
+1. Filter. A phrase that occurs ``least`` times is made of pairs and triples of
+   neighbours that do. They are counted by a 64-bit hash of language and words
+   (triples only where both pairs are in the filter), and those with ``least`` or
+   more set their bits in a filter of ``BITS`` bits. That is all that reaches the
+   driver and the tasks, however large the corpus.
+2. Windows. A window is broken off, and padded, before a pair or triple that the
+   filter does not hold: no counted phrase loses an occurrence, and the first word
    always stays. What the filter holds by chance is only counted for nothing;
-   beyond some 10^8 frequent pairs it holds all and saves nothing, with the same
-   rows. Windows are counted in blocks inside a task, then over all tasks; one
+   beyond some 10^8 entries it holds all and saves nothing, with the same rows. Windows are counted in blocks inside a task, then over all tasks; one
    under ``least`` is of use for its prefixes alone and gives up its last word
    before the ROLLUP.
 3. Phrases with ``least`` occurrences or more, with their counts, are the result
@@ -53,7 +53,7 @@ from tallystone.llm.common import stage
 ORDER, LEAST, TOP, SHARE, SCALE = 4, 30, 2000, 80, 2_000_000
 #: Bytes of text counted at once in a task, and pairs whose hashes are.
 BLOCK, PAIRS = 3_000_000, 4_000_000
-#: Bits of the filter of frequent pairs: 16 MiB.
+#: Bits of the filter of frequent pairs and triples: 16 MiB.
 BITS = 1 << 27
 # What separates pieces, and words inside a piece.
 _BREAKS, _GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -143,33 +143,61 @@ def blocks(batches: Iterator[pa.RecordBatch], order: int, size: int = BLOCK) ->
         yield now
 
 
-def _pair_hashes(ids: np.ndarray, langs: np.ndarray, words: list[bytes], names: list[str]) -> np.ndarray:
-    """A 64-bit hash of language, word and next word at each place but the last."""
-    w = np.array([xxhash.xxh3_64_intdigest(x) for x in words], np.uint64)[ids]
-    n = np.array([xxhash.xxh3_64_intdigest(x, 1) for x in names], np.uint64)[langs[:-1]]
-    h = (w[:-1] * _MIX[0] + w[1:]) * _MIX[1] + n
-    h ^= h >> np.uint64(29)
-    h *= _MIX[2]
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint64(29))
+    h = h * _MIX[2]
     return h ^ (h >> np.uint64(32))
 
 
+def _hashes(ids: np.ndarray, langs: np.ndarray, words: list[bytes], names: list[str], most: int) -> list[np.ndarray]:
+    """64-bit hashes of language and of the 2, 3 .. ``most`` words from each place on."""
+    w = np.array([xxhash.xxh3_64_intdigest(x) for x in words], np.uint64)[ids]
+    h = w * _MIX[0] + np.array([xxhash.xxh3_64_intdigest(x, 1) for x in names], np.uint64)[langs]
+    out = []
+    for n in range(2, most + 1):
+        h = _mixed(h[:-1] * _MIX[1] + w[n - 1:])
+        out.append(h)
+    return out
+
+
+def _goes_on(ids: np.ndarray, hashes: list[np.ndarray], bits: np.ndarray) -> np.ndarray:
+    """The number of words from each place on that the filter and the piece's end allow, up to one more than
+    the longest hashed; all their inner pairs, triples and so on are in the filter."""
+    reach = (ids > 0).astype(np.int8)
+    held = [_in_filter(bits, h) & (ids[:len(h)] > 0) & (ids[i + 1:] > 0) for i, h in enumerate(hashes)]
+    for length in range(2, len(hashes) + 3):
+        # all parts of ``length`` words are held where all shorter ones are, from here and from the next place
+        here, after = reach[:-1] >= length - 1, reach[1:] >= length - 1
+        more = np.zeros(len(ids), bool)
+        more[:-1] = here & after
+        if length - 2 < len(held):
+            more[:len(held[length - 2])] &= held[length - 2]
+            more[len(held[length - 2]):] = False
+        reach = np.where(more, np.int8(length), reach)
+    return reach
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
 
 
-def frequent_pairs(texts: DataFrame, least: int, bits: int = BITS, size: int = BLOCK) -> np.ndarray:
-    """The filter of neighbouring words that occur ``least`` times or more, as 64-bit words."""
+def set_frequent(texts: DataFrame, bits: np.ndarray, length: int, least: int, size: int = BLOCK) -> None:
+    """Set the filter's bits of all ``length`` neighbours that occur ``least`` times or more; shorter ones are set."""
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
+
     def batch(hashes: list[np.ndarray]) -> pa.RecordBatch:
         h, n = np.unique(np.concatenate(hashes), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], ["h", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        for block in blocks(batches, 2, size):
+        for block in blocks(batches, length, size):
             ids, langs, words, names = block.arrays()
-            if len(ids) > 1:
-                both = (ids[:-1] > 0) & (ids[1:] > 0)
-                held.append(_pair_hashes(ids, langs, words, names)[both].view(np.int64))
+            if len(ids) >= length:
+                *shorter, h = _hashes(ids, langs, words, names, length)
+                whole = (_goes_on(ids, shorter, shared.value) >= length)[:len(h)]
+                whole[len(ids) - block.open:] = False
+                held.append(h[whole].view(np.int64))
             if sum(map(len, held)) > PAIRS:
                 yield batch(held)
                 held = []
@@ -178,14 +206,12 @@ def frequent_pairs(texts: DataFrame, least: int, bits: int = BITS, size: int = B
 
     frequent = (texts.mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
                 .where(F.col("n") >= least))
-    mask = bits - 1
+    mask = len(bits) * 64 - 1
     places = frequent.select(F.explode(F.array(F.col("h").bitwiseAND(mask),
                                                F.shiftrightunsigned("h", 32).bitwiseAND(mask))).alias("p"))
-    held = (places.groupBy(F.shiftright("p", 6).alias("at"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, CAST(p & 63 AS INT))")).alias("word")).toArrow())
-    out = np.zeros(bits // 64, np.int64)
-    out[held["at"].to_numpy()] = held["word"].to_numpy()
-    return out.view(np.uint64)
+    found = (places.groupBy(F.shiftright("p", 6).alias("at"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(p & 63 AS INT))")).alias("word")).toArrow())
+    bits[found["at"].to_numpy()] |= found["word"].to_numpy().view(np.uint64)
 
 
 def _in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -197,7 +223,7 @@ def _in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def counted_windows(texts: DataFrame, bits: np.ndarray, order: int = ORDER, size: int = BLOCK) -> DataFrame:
-    """(lang, words, n): windows of frequent pairs, their words joined by spaces up to the padding, counted in blocks."""
+    """(lang, words, n): windows that the filter allows, their words joined by spaces up to the padding, counted in blocks."""
     columns = [f"w{i + 1}" for i in range(order)]
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
@@ -206,13 +232,10 @@ def counted_windows(texts: DataFrame, bits: np.ndarray, order: int = ORDER, size
             ids, langs, words, names = block.arrays()
             if not len(ids):
                 continue
-            follows = np.r_[_in_filter(shared.value, _pair_hashes(ids, langs, words, names)), np.zeros(order, bool)]
+            reach = _goes_on(ids, _hashes(ids, langs, words, names, order - 1), shared.value)
             starts = np.flatnonzero(ids[:len(ids) - block.open] > 0)
             padded = np.r_[ids, np.zeros(order, ids.dtype)]
-            lead, goes_on = [ids[starts]], np.ones(len(starts), bool)
-            for i in range(1, order):
-                goes_on = goes_on & follows[starts + i - 1] & (padded[starts + i] > 0)
-                lead.append(np.where(goes_on, padded[starts + i], 0))
+            lead = [np.where(reach[starts] > i, padded[starts + i], 0) for i in range(order)]
             found = pa.table([langs[starts], *lead], names=["lang", *columns]).group_by(
                 ["lang", *columns], use_threads=False).aggregate([([], "count_all")])
             spelled = pa.array([w or None for w in words], pa.binary()).cast(pa.string())
@@ -230,7 +253,10 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, order: int = ORDER, bits:
     and for each language a row of k = 0 with the number of its words."""
     texts = _texts(docs)
     columns = [f"w{i + 1}" for i in range(order)]
-    windows = counted_windows(texts, frequent_pairs(texts, least, bits, size), order, size)
+    held = np.zeros(bits // 64, np.uint64)
+    for length in range(2, order):
+        set_frequent(texts, held, length, least, size)
+    windows = counted_windows(texts, held, order, size)
     windows = windows.groupBy("lang", "words").agg(F.sum("n").alias("n")).withColumn("w", F.split("words", " "))
     # a longest window too rare to be a phrase counts for its prefixes only
     last = F.when((F.col("n") >= least) & (F.size("w") == order), F.element_at("w", -1)).otherwise("")
