@@ -14,13 +14,11 @@ from tallystone.functions.fmt import format_value
 from tallystone.functions.ids import golden_record_id
 from tallystone.functions.text import WS_RUN, quote_literal_regex
 from tallystone.operators.lookup import FACT_NEWEST
+from tallystone.operators.mentions import agreeing, mention_array
 from tallystone.operators.store import latest_by_key
 from tallystone.schemas import (CONCEPT_KEYWORDS, GOLDEN_RECORD, GOLDEN_VERIFIED_BY, SNIPPET_AFTER,
                                 SNIPPET_BEFORE)
 
-SCALES = [1.0, 1e3, 1e6, 1e9]
-
-
 # Every character Python's str.isspace accepts, for btrim (no regex).
 WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
             + "\u2028\u2029\u202f\u205f\u3000")
@@ -84,6 +82,13 @@ def snippet_of(m: Column, keyword: Column | str, before: int = SNIPPET_BEFORE,
                            F.substring(m["post"], F.lit(1), klen + after)))
 
 
+def _uncut(m: Column, keyword: Column, before: int = SNIPPET_BEFORE, after: int = SNIPPET_AFTER) -> Column:
+    """The snippet without digits at an end where the text goes on."""
+    s, long = snippet_of(m, keyword, before, after), F.length(keyword) + after
+    s = F.when(F.length(m["post"]) > long, F.regexp_replace(s, r"[\d.,]+$", "")).otherwise(s)
+    return F.when(F.length(m["pre"]) > before, F.regexp_replace(s, r"^[\d.,]+", "")).otherwise(s)
+
+
 def _keyword_matches_general(text: Column, pat: Column, before: int, after: int) -> Column:
     """Same elements for texts that contain the marker character: split at
     the matches, keep the matched strings, interleave them."""
@@ -123,7 +128,7 @@ def _kw_array(kws: Sequence[tuple[str, int, str]]) -> Column:
 
 def keyword_snippets(docs: DataFrame, keywords: Sequence[tuple[str, int, str]],
                      text_col: str = "text", id_cols: Sequence[str] = ("doc_id",),
-                     concept_col: str | None = None, normalize_ws: bool = False) -> DataFrame:
+                     concept_col: str | None = None, normalize_ws: bool = False, whole_numbers: bool = False) -> DataFrame:
     """Snippets of keywords in documents.
 
     ``keywords`` is the small fixed (concept, kw_pos, keyword) list, inlined
@@ -133,7 +138,8 @@ def keyword_snippets(docs: DataFrame, keywords: Sequence[tuple[str, int, str]],
     spaces. Output: ids, concept, kw_pos, keyword, match_idx, snippet.
     ``normalize_ws`` collapses every whitespace run (line breaks included) to
     one space first, so a phrase split over lines by inline markup (one text
-    node per line) is still found.
+    node per line) is still found. ``whole_numbers`` adds ``evidence_text``, the
+    snippet without a number that its ends may have cut.
     """
     kws = list(keywords)
     df = docs
@@ -157,8 +163,8 @@ def keyword_snippets(docs: DataFrame, keywords: Sequence[tuple[str, int, str]],
             .select(*id_cols, "concept", "kw_pos", "keyword",
                     F.posexplode_outer("snips").alias("match_idx", "m"))
             .filter(F.col("match_idx").isNotNull())
-            .select(*id_cols, "concept", "kw_pos", "keyword", "match_idx",
-                    snippet_of(F.col("m"), F.col("keyword")).alias("snippet")))
+            .select(*id_cols, "concept", "kw_pos", "keyword", "match_idx", snippet_of(F.col("m"), F.col("keyword")).alias("snippet"),
+                    *([_uncut(F.col("m"), F.col("keyword")).alias("evidence_text")] if whole_numbers else [])))
 
 
 def concept_keyword_list(concept_keywords: dict | None = None) -> list[tuple[str, int, str]]:
@@ -183,48 +189,17 @@ def match_text_files(facts: DataFrame, texts: DataFrame, accn_col: str = "access
     return f.join(t, "_accn", "left").drop("_accn")
 
 
-def renderings(value: Column, scales: Sequence[float] = SCALES) -> Column:
-    """How a value may be printed in a filing: at each scale where it is a
-    whole number, with thousands commas; unscaled also with two decimals, or
-    one if the second is zero; negatives as ``(x`` (the closing parenthesis may
-    stand elsewhere) and ``-x``."""
-    items = []
-    a = F.abs(value)
-    for s in scales:
-        x = a / F.lit(s)
-        whole = (x == F.floor(x)) & (x >= 1)
-        forms = F.when(whole, F.array(F.format_number(x, 0)))
-        if s == 1:
-            cents = F.round(x * 100)
-            two = F.format_number(x, 2)
-            decimal = (F.abs(x * 100 - cents) < 1e-6) & (cents > 0)
-            forms = F.when(whole, F.array(F.format_number(x, 0), two)).when(
-                decimal, F.when(cents % 10 == 0, F.array(two, F.format_number(x, 1))).otherwise(F.array(two)))
-        signed = F.when(value < 0, F.flatten(F.transform(forms, lambda f: F.array(
-            F.concat(F.lit("("), f), F.concat(F.lit("-"), f))))).otherwise(forms)
-        items.append(F.when(forms.isNotNull(), F.struct(F.lit(float(s)).alias("scale"), signed.alias("forms"))))
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
-
-
-def whole_number(form: Column) -> Column:
-    """A pattern for a printed number that is no part of a longer one (no look-around, so that any regex engine takes it)."""
-    plain = F.replace(F.replace(form, F.lit("."), F.lit("\\.")), F.lit("("), F.lit("\\("))
-    return F.concat(F.lit("(?:^|[^0-9.,])"), plain, F.lit("(?:$|[^0-9.,]|[.,](?:$|[^0-9]))"))
-
-
-def reconcile_auto(facts: DataFrame, value_col: str = "value", text_col: str = "text",
-                   scales: Sequence[float] = SCALES) -> DataFrame:
-    """Machine check of a value against its evidence text.
-
-    ``verified`` when any rendering occurs in the text as a number of its
-    own (5 is not found in 15, nor 1 in 21); ``matched_scale`` is the smallest
-    scale that matched.
+def reconcile_auto(facts: DataFrame, value_col: str = "value", text_col: str = "text") -> DataFrame:
+    """Machine check of a value against the evidence text beside it.
+
+    ``verified`` when a mention of the text has a reading that agrees with the
+    value (``mentions``: "Item 1" and "page 5" verify nothing, nor do years);
+    ``matched_scale`` is the smallest scale that agrees.
     """
-    r = renderings(F.col(value_col), scales)
-    t = F.col(text_col)
-    hit = F.filter(r, lambda x: F.exists(x["forms"], lambda f: F.contains(t, f) & F.regexp_like(t, whole_number(f))))
-    return (facts.withColumn("matched_scale", F.try_element_at(hit, F.lit(1))["scale"])
-            .withColumn("verified", F.coalesce(F.size(hit) > 0, F.lit(False)) & t.isNotNull()))
+    hit = agreeing(F.col(value_col), mention_array(F.col(text_col)))
+    return (facts.withColumn("_scale", F.array_min(F.transform(hit, lambda r: r["scale"])))
+            .withColumn("verified", F.col("_scale").isNotNull()).withColumn("matched_scale", F.col("_scale")).drop("_scale")
+            .select(*facts.columns, "matched_scale", "verified"))
 
 
 def reconcile_newest(facts: DataFrame, texts: DataFrame, keywords: Sequence[tuple[str, int, str]],
@@ -244,9 +219,9 @@ def reconcile_newest(facts: DataFrame, texts: DataFrame, keywords: Sequence[tupl
     newest = latest_by_key(facts, keys, order)
     paired = match_text_files(newest, texts)
     snips = keyword_snippets(paired.filter(F.col("text").isNotNull()), keywords, id_cols=(*ids, "value"),
-                             concept_col=concept, normalize_ws=True)
+                             concept_col=concept, normalize_ws=True, whole_numbers=True)
     place = F.struct((~F.col("verified")).alias("_v"), "kw_pos", "match_idx")
-    found = (reconcile_auto(snips, "value", "snippet").groupBy(*ids, F.col("concept").alias(concept))
+    found = (reconcile_auto(snips, "value", "evidence_text").groupBy(*ids, F.col("concept").alias(concept))
              .agg(F.count(F.lit(1)).alias("n_snippets"), F.min("matched_scale").alias("matched_scale"),
                   F.min_by("snippet", place).alias("evidence"))
              .select(*[F.col(k).alias(f"_{k}") for k in keys], "n_snippets", "matched_scale", "evidence"))

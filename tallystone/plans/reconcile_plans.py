@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallystone.functions.text import WS
-from tallystone.operators import reconcile, store
+from tallystone.operators import mentions, reconcile, store
 from tallystone.plans.registry import register, table
 
 # The fixed concept keyword table plus a probe concept of words that occur in
@@ -51,6 +51,7 @@ def q_reconcile_snippets(spark, sf_dir):
 # (negative for status F); its evidence line prints round(total) in
 # thousands-comma form, in parentheses for negatives; one in seven evidence
 # lines carries a different number, one in eleven a longer one that ends with it.
+# No line declares the scale, so only numbers of three significant digits count.
 def _auto_inputs(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     whole = F.round("o_totalprice")
@@ -74,7 +75,8 @@ WITH f AS (
 r AS (SELECT f.*, s.scale, abs(value) / s.scale AS x
       FROM f, (VALUES (1.0::DOUBLE), (1000.0::DOUBLE), (1e6::DOUBLE), (1e9::DOUBLE)) s(scale)),
 n AS (SELECT *, CASE WHEN x = floor(x) AND x >= 1 THEN format('{:,}', x::BIGINT) END AS form FROM r),
-h AS (SELECT *, coalesce(regexp_matches(text, '(?:^|[^0-9.,])' || CASE WHEN value < 0 THEN '(?:\\(|-)' ELSE '' END
+h AS (SELECT *, (scale = 1 OR length(rtrim(replace(form, ',', ''), '0')) >= 3)
+                AND coalesce(regexp_matches(text, '(?:^|[^0-9.,])' || CASE WHEN value < 0 THEN '(?:\\(|-)' ELSE '' END
                   || form || '(?:[.]00)?' || '(?:$|[^0-9.,]|[.,](?:$|[^0-9]))'), false) AS hit
       FROM n)
 SELECT o_orderkey, any_value(value) AS value, any_value(text) AS text,
@@ -85,6 +87,72 @@ def q_reconcile_auto(spark, sf_dir):
     return reconcile.reconcile_auto(_auto_inputs(spark, sf_dir))
 
 
+# --- number_mentions: every order has a line that declares millions, prints its
+# total, a percentage, billions of their own, a year and a loss, beside numbers that
+# only name something.
+@register("number_mentions", sql="""
+WITH o AS (SELECT DISTINCT o_orderkey, round(o_totalprice)::BIGINT AS w FROM orders)
+SELECT o_orderkey, i::INT AS mention_idx,
+       CASE i WHEN 0 THEN w WHEN 1 THEN 12.5 WHEN 2 THEN 1 + (o_orderkey % 90) / 10 WHEN 3 THEN 2024 ELSE 1717 END::DOUBLE AS number,
+       CASE i WHEN 1 THEN 'percent' WHEN 2 THEN 'USD' END AS unit, CASE i WHEN 2 THEN 1e9 END::DOUBLE AS scale,
+       1e6::DOUBLE AS declared, i = 3 AS year, i = 4 AS negative
+FROM o, range(5) r(i)
+""")
+def q_number_mentions(spark, sf_dir):
+    key = F.col("o_orderkey")
+    texts = table(spark, sf_dir, "orders").select(key, F.concat(
+        F.lit("Item 7. (Dollars in millions) Net sales "), F.format_number(F.round("o_totalprice"), 0),
+        F.lit(", up 12.5%; see Note 3 on page 41 and Form 10-K of May 1, 2026. Cash of $"),
+        F.format_number(F.lit(1) + key % 90 / 10, 1), F.lit(" billion in 2024; loss (1,717)"))
+        .alias("text")).distinct()
+    return mentions.number_mentions(texts, id_cols=("o_orderkey",)).select(
+        "o_orderkey", "mention_idx", "number", "unit", "scale", "declared", "year", "negative")
+
+
+# --- reconcile_mentions: every order is a filing with one line of ten kinds, and has two facts:
+# one that the line may show, rightly or with a near miss, and one that it never shows.
+_LINES = [  # line before and after the total, value of the fact per unit of the total, plus, scale, evidence
+    ("Item 7. See page 5 of this report", None, "", "5e6", None, None),
+    ("(in millions) Net sales ", "w", "", "w * 1e6 + 3e5", "1e6", "declared"),
+    ("Net sales were $", "t", " billion", "floor(w / 100) * 1e8 + 4e7", "1e9", "stated"),
+    ("(in millions) Net sales ", "w1", "", "w * 1e6", None, None),
+    ("(in thousands) Net loss (", "w", ")", "w * -1e3", "1e3", "declared"),
+    ("In 2024 the company", None, "", "2024e6", None, None),
+    ("Total net sales ", "w", "", "w * 1e6", "1e6", "implied"),
+    ("(in thousands) Total ", "w", "", "w * 1e6", None, None),
+    ("Net loss ", "w", "", "w * -1e6", None, None),
+    ("Dividends paid (", "w", ")", "w * 1e0", "1e0", "plain"),
+]
+
+
+@register("reconcile_mentions", sql=f"""
+WITH o AS (SELECT DISTINCT o_orderkey, round(o_totalprice) AS w FROM orders),
+v AS (SELECT o_orderkey, w, CASE o_orderkey % 10 {" ".join(f"WHEN {i} THEN {x[3]}" for i, x in enumerate(_LINES))} END::DOUBLE AS v,
+             CASE o_orderkey % 10 {" ".join(f"WHEN {i} THEN {x[4]}" for i, x in enumerate(_LINES) if x[4])} END::DOUBLE AS s,
+             CASE o_orderkey % 10 {" ".join(f"WHEN {i} THEN '{x[5]}'" for i, x in enumerate(_LINES) if x[5])} END AS e FROM o),
+k AS (SELECT *, CASE e WHEN 'implied' THEN length(rtrim(w::BIGINT::VARCHAR, '0')) >= 3 ELSE e IS NOT NULL END AS ok FROM v)
+SELECT o_orderkey, 'shown' AS fact, v AS value, ok::BIGINT AS n_agreeing, CASE WHEN ok THEN s END AS matched_scale,
+       CASE WHEN ok THEN e END AS evidence, ok AS verified FROM k
+UNION ALL
+SELECT o_orderkey, 'other', v * 3 + 7, 0, NULL, NULL, false FROM k
+""")
+def q_reconcile_mentions(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.round("o_totalprice").alias("w")).distinct()
+    kind = F.col("o_orderkey") % 10
+    printed = {"w": F.format_number("w", 0), "w1": F.format_number(F.col("w") + 1, 0),
+               "t": F.format_number(F.floor(F.col("w") / 100) / 10, 1), None: F.lit("")}
+    text, value = F.lit(None).cast("string"), F.lit(None).cast("double")
+    for i, (before, number, after, amount, _, _) in enumerate(_LINES):
+        text = F.when(kind == i, F.concat(F.lit(before), printed[number], F.lit(after))).otherwise(text)
+        value = F.when(kind == i, F.expr(amount).cast("double")).otherwise(value)
+    lines = o.select("o_orderkey", text.alias("text"), value.alias("v"))
+    facts = lines.select("o_orderkey", F.explode(F.array(
+        F.struct(F.lit("shown").alias("fact"), F.col("v").alias("value")),
+        F.struct(F.lit("other").alias("fact"), (F.col("v") * 3 + 7).alias("value")))).alias("f")).select("o_orderkey", "f.*")
+    said = mentions.number_mentions(lines, id_cols=("o_orderkey",))
+    return mentions.reconcile_mentions(facts, said, ("o_orderkey",)).drop("matched_raw")
+
+
 # --- golden_upsert: labels are the golden set (id = doc_id, load 0); the new
 # batch rates every English document (quality = more than 2,000 characters,
 # load 1); with overwrite the batch replaces overlapping ids.
@@ -274,7 +342,7 @@ h AS (SELECT t.o_orderkey, coalesce(sum(len(regexp_extract_all(text, '(?i)\\Q' |
       FROM t LEFT JOIN (SELECT concept, keyword FROM kw UNION ALL
                         SELECT DISTINCT concept, replace(concept, '_', ' ') FROM t WHERE concept NOT IN (SELECT concept FROM kw)) w
         ON w.concept = t.concept GROUP BY t.o_orderkey),
-v AS (SELECT t.*, n_snippets, n_snippets > 0 AND regexp_matches(text, '(?:^|[^0-9.,])' || format('{{:,}}', whole)
+v AS (SELECT t.*, n_snippets, n_snippets > 0 AND length(rtrim(whole::VARCHAR, '0')) >= 3 AND regexp_matches(text, '(?:^|[^0-9.,])' || format('{{:,}}', whole)
              || '(?:[.]00)?(?:$|[^0-9.,]|[.,](?:$|[^0-9]))') AS hit FROM t JOIN h USING (o_orderkey)),
 flow AS (SELECT 'T' || o_custkey AS ticker, concept, whole * 1e6::DOUBLE AS value, o_orderkey, o_orderdate,
                 year(o_orderdate)::INT AS fiscal_year, 'Q' || quarter(o_orderdate) AS fiscal_period,
