@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallystone.operators import chunks, store, vectors
+from tallystone.operators import chunks, store, vector_index, vectors
 from tallystone.operators.metadata import chunk_metadata
 from tallystone.plans.registry import register, table
+from tallystone.session import shared_dir
 
 # --- vector_search: the queries are the per-label centroid vectors of the
 # embeddings table; each is searched over all vectors, k = 5.
@@ -57,15 +58,36 @@ def q_vector_search_filtered(spark, sf_dir):
 
 
 # --- vector_search_like: the search form's other filters; items carry the name
-# "Class <label>" and the parity of their id, and only those of parity 0 whose
-# name contains "CLASS 1" in any case may rank.
-@register("vector_search_like", sql=_search_sql("AND vec_id % 2 = 0 AND ('Class ' || label) ILIKE '%CLASS 1%'"))
+# "Class <label>", and only those of label 1 or 11 whose name contains "CLASS 1" in any
+# case may rank.
+@register("vector_search_like", sql=_search_sql("AND label IN (1, 11) AND ('Class ' || label) ILIKE '%CLASS 1%'"))
 def q_vector_search_like(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     q = vectors.centroids(e, "label").withColumnRenamed("label", "qid")
-    named = e.withColumn("name", F.concat(F.lit("Class "), F.col("label"))).withColumn("parity", F.col("vec_id") % 2)
+    named = e.withColumn("name", F.concat(F.lit("Class "), F.col("label")))
     return vectors.vector_search(named, q, k=5, id_col="vec_id", payload=["label"],
-                                 equals={"parity": 0}, ilike={"name": "CLASS 1"})
+                                 any_of={"label": [1, 11]}, ilike={"name": "CLASS 1"})
+
+
+# --- vector_index / vector_index_filtered: the same searches through the persisted
+# index, which is built from the table first; exact, so the same rows.
+def _index_search(spark, sf_dir, **filters):
+    e = table(spark, sf_dir, "embeddings")
+    q = vectors.centroids(e, "label").withColumnRenamed("label", "qid")
+    path = shared_dir(spark, "vector-index")
+    vector_index.build_index(e, path, id_col="vec_id", payload=["label"], lists=64)
+    found = vector_index.search_index(vector_index.Index(spark, path), q, k=5, **filters)
+    return found.select("qid", "rank", F.col("id").alias("vec_id"), "label", "distance")
+
+
+@register("vector_index", sql=_search_sql(""))
+def q_vector_index(spark, sf_dir):
+    return _index_search(spark, sf_dir)
+
+
+@register("vector_index_filtered", sql=_search_sql("AND label IN (1, 3, 5)"))
+def q_vector_index_filtered(spark, sf_dir):
+    return _index_search(spark, sf_dir, any_of={"label": [1, 3, 5]})
 
 
 # --- embed_chunks: 500/50 windows of every document, hashed-TF vectors of
