@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallystone.llm import (ann, bpe, collocations, fragments, lexical, mixing, oracles, ordinal, repeats, rules, secrets,
                             simhash, token_counts, wrappers)
@@ -77,8 +78,9 @@ def op9_source_mixing(spark, sf_dir):
 
 @query
 def op10_suffix_dedup(spark, sf_dir):
-    """Every document's bytes without repeated 400-byte strings."""
-    return repeats.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+    """Every document's bytes without repeated 400-byte strings; ``text`` is what remains (a cut character as U+FFFD)."""
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 @query

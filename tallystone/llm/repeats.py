@@ -235,8 +235,9 @@ def covered(spans, n: int, length: int) -> tuple[np.ndarray, np.ndarray]:
 def _removed(docs: DataFrame, length: int, **kw) -> DataFrame:
     """(doc_id, text, spans) of every row of ``docs``; spans as structs (s, e) of string starts."""
     keyed = _keyed(docs)
+    # rows alike share their marks: each is kept once, in the tasks before the shuffle too
     found = stage(marks(keyed, length, **kw).groupBy("k", "id").agg(
-        F.collect_list(F.struct("s", "e")).alias("spans")), "repeats-marks")
+        F.collect_set(F.struct("s", "e")).alias("spans")), "repeats-marks")
     return keyed.join(found, ["k", "id"], "left").select("doc_id", "text", "spans")
 
 
