@@ -165,13 +165,13 @@ def yoy_growth(df: DataFrame, series: Sequence[str], period_col: str, value_col:
                step: int = 1, digits: int = 4) -> DataFrame:
     """Growth over the period ``step`` before (G1), guarded by an exact gap.
 
-    ``df`` holds one value per (series, period). The prior value comes from an
-    equi join on (series, period - step): one partner at most, so no pairs
-    blow up and a missing year gives NULL instead of a wrong lag.
+    ``df`` holds one value per (series, period), a number. A range frame over the
+    series holds that one earlier period or nothing, so ``df`` is read once, no pairs
+    are built and a missing period gives NULL instead of a wrong lag.
     """
-    prev = df.select(*series, (F.col(period_col) + F.lit(step)).alias(period_col),
-                     F.col(value_col).alias("prev_value"))
-    out = df.join(prev, list(series) + [period_col], "left")
+    period = F.col(period_col)
+    before = Window.partitionBy(*series).orderBy(period).rangeBetween(-step, -step)
+    out = df.withColumn("prev_value", F.when(period.isNotNull(), F.last(value_col).over(before)))
     growth = F.try_divide(F.col(value_col) - F.col("prev_value"), F.col("prev_value"))
     return out.withColumn("growth_pct", F.round(growth * F.lit(100.0), digits))
 
@@ -210,8 +210,10 @@ def facts_to_store(company_facts: DataFrame, tickers: DataFrame | None = None,
     from tallystone.sources.filings import stored_fact_rows
 
     tidy = tag_fallback_doc(company_facts, concept_tags)
-    tidy = with_derived(tidy.drop("row_ord"), ("cik", "entityName"), inherit_period)
-    tidy = tidy.withColumn("row_ord", F.monotonically_increasing_id())
+    # the document's own position; of derived rows the latest start (shortest period) comes last
+    tidy = with_derived(tidy, ("cik", "entityName"), inherit_period)
+    days = F.datediff(F.try_to_date(F.col("start")), F.lit("1900-01-01").cast("date"))
+    tidy = tidy.withColumn("row_ord", F.coalesce(F.col("row_ord"), days, F.lit(-1)).cast("bigint"))
     if tickers is not None:
         t = tickers.groupBy("cik").agg(F.min("ticker").alias("ticker"))
         tidy = tidy.join(t, "cik", "left")

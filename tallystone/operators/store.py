@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 FACT_KEY_COMPAT = ["cik", "concept", "period_end", "form", "accession_number"]
 FACT_KEY_STRICT = ["cik", "concept", "period_start", "period_end", "form", "accession_number"]
 CHUNK_KEY = ["accession_number", "chunk_index"]
+#: Where a row stood in its load: file, block of the file, place (``file_position``).
+POSITION = ("row_file", "row_block", "row_ord")
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -40,6 +42,25 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 
+def file_position(scan: DataFrame) -> DataFrame:
+    """``scan`` (a file source, nothing after it) with the columns of ``POSITION``.
+
+    Row numbers of a task are no position: files are packed into tasks by size, and a
+    re-run packs them anew. Inside one block of one file they follow the file, so
+    (file, block, number) gives the same order on every run.
+    """
+    return (scan.withColumn("row_file", F.col("_metadata.file_path"))
+            .withColumn("row_block", F.col("_metadata.file_block_start"))
+            .withColumn("row_ord", F.monotonically_increasing_id()))
+
+
+def newest_order(log: DataFrame, order: Sequence[str] = (), seq_col: str = "load_seq") -> list[str | Column]:
+    """The newest row of a log: load, then ``order``, then position, then content, so that no two rows tie that differ."""
+    content = F.xxhash64(*[F.col(f"`{f.name}`") for f in sorted(log.schema.fields, key=lambda f: f.name)
+                           if f.dataType.typeName() not in ("map", "variant") and f.name not in POSITION])
+    return [seq_col, *order, *[c for c in POSITION if c in log.columns], content]
+
+
 def upsert_facts(log: DataFrame, mode: str = "strict", seq_col: str = "load_seq",
                  pos_col: str = "row_ord", keys: Sequence[str] | None = None) -> DataFrame:
     """Current fact table from the load log (A2, last write wins)."""
@@ -47,17 +68,18 @@ def upsert_facts(log: DataFrame, mode: str = "strict", seq_col: str = "load_seq"
         if mode not in ("strict", "compat"):
             raise ValueError("mode must be 'strict' or 'compat'")
         keys = FACT_KEY_STRICT if mode == "strict" else FACT_KEY_COMPAT
-    return latest_by_key(log, keys, [seq_col, pos_col])
+    order = [pos_col] if pos_col not in POSITION else []
+    return latest_by_key(log, keys, newest_order(log, order, seq_col))
 
 
 def append_load(batch: DataFrame, log_path: str, load_seq: int, pos_col: str = "row_ord") -> None:
     """Append one load to the log at ``log_path/load_seq=N``.
 
     Writing the load's own partition with overwrite makes a retried load
-    idempotent (a lost executor or a re-run rewrites the same folder).
+    idempotent (a lost executor or a re-run rewrites the same folder). Rows
+    without a position are told apart by their content (``newest_order``).
     """
-    out = batch if pos_col in batch.columns else batch.withColumn(
-        pos_col, F.monotonically_increasing_id())
+    out = batch if pos_col in batch.columns else batch.withColumn(pos_col, F.lit(0).cast("bigint"))
     (out.write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/load_seq={int(load_seq)}"))
 
 

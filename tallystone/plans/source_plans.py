@@ -240,7 +240,7 @@ FROM rows JOIN side USING (ticker)
 """)
 def q_load_facts(spark, sf_dir):
     loaded, _ = _land_fact_files(spark, sf_dir)
-    return loaded.drop("row_ord", "file_name")
+    return loaded.drop("row_block", "row_ord", "file_name")
 
 
 @register("load_report", sql=f"""

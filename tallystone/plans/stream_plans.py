@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallystone.operators import snapshot
+from tallystone.operators.facts import derived_ratio
+from tallystone.operators.store import append_load
 from tallystone.plans.registry import register, table
 from tallystone.session import shared_dir
 from tallystone.streaming.incremental import current_view, run_incremental_load
@@ -34,6 +37,55 @@ def q_incremental_load(spark, sf_dir):
                       F.col("load_seq").cast("int").alias("load_seq"))
 
 
+# --- snapshot_view: events arrive in three drops (by thirds of the day); after the
+# second load a snapshot is written, and the answer is read from it and the third load.
+_THIRDS = "CASE WHEN hour(ts) < 8 THEN 0 WHEN hour(ts) < 16 THEN 1 ELSE 2 END"
+
+
+def _three_loads(spark, sf_dir, keys, order):
+    """(log, snapshots) of the events; the snapshot holds the first two loads."""
+    base = shared_dir(spark, "snapshot")
+    ev = table(spark, sf_dir, "events").withColumn("third", F.expr(_THIRDS))
+    log, snaps = f"{base}/log", f"{base}/snapshots"
+    for n in (0, 1):
+        append_load(ev.where(F.col("third") == n).drop("third"), log, n)
+    snapshot.compact_log(spark, log, snaps, keys, order)
+    append_load(ev.where("third = 2").drop("third"), log, 2)
+    return log, snaps
+
+
+@register("snapshot_view", sql=f"""
+SELECT user_id, event_type, event_id, ts, value, props, {_THIRDS} AS load_seq FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY {_THIRDS} DESC, ts DESC, event_id DESC) = 1
+""")
+def q_snapshot_view(spark, sf_dir):
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    log, snaps = _three_loads(spark, sf_dir, keys, order)
+    cur = current_view(spark, log, keys, order, snapshot_dir=snaps)
+    return cur.select("user_id", "event_type", "event_id", "ts", "value", "props", F.col("load_seq").cast("int").alias("load_seq"))
+
+
+# --- ratio_upkeep: last purchase over last view per user, kept from the first two loads and
+# brought up to date for the users of the third.
+@register("ratio_upkeep", sql=f"""
+WITH c AS (SELECT * FROM events WHERE event_type IN ('purchase', 'view')
+           QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY {_THIRDS} DESC, ts DESC, event_id DESC) = 1),
+p AS (SELECT user_id, max(value) FILTER (event_type = 'purchase') AS n, max(value) FILTER (event_type = 'view') AS d,
+             count(*) AS c FROM c GROUP BY user_id)
+SELECT user_id, round(n, 2) AS num_value, round(d, 2) AS den_value, round(n / nullif(d, 0) * 100.0, 2) AS ratio
+FROM p WHERE c = 2
+""")
+def q_ratio_upkeep(spark, sf_dir):
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    ratio = {"numerator": "purchase", "denominator": "view", "concept_col": "event_type"}
+    log, snaps = _three_loads(spark, sf_dir, keys, order)
+    upto, base = snapshot.newest_snapshot(spark, snaps)
+    kept = derived_ratio(base, ["user_id"], **ratio)
+    out = snapshot.refresh_ratios(kept, current_view(spark, log, keys, order, snapshot_dir=snaps),
+                                  snapshot.loads_after(spark, log, upto), ["user_id"], **ratio)
+    return out.withColumn("num_value", F.round("num_value", 2)).withColumn("den_value", F.round("den_value", 2))
+
+
 # --- incremental_chunks: every document lands as text, then the English
 # documents land again amended (" Amendment No. 1." appended); each drop is
 # one availableNow run of the chunk pipeline, and the amended documents'

@@ -157,7 +157,7 @@ def stored_fact_rows(tidy: DataFrame) -> DataFrame:
         F.try_to_date(F.col("end")).alias("period_end"),
         num("fiscal_year").cast("int").alias("fiscal_year"), "fiscal_period", "form",
         F.try_to_date(F.col("filed_date")).alias("filed_date"), "accession_number",
-        *[c for c in ("load_seq", "row_ord", "file_name") if c in tidy.columns])
+        *[c for c in ("load_seq", "row_block", "row_ord", "file_name") if c in tidy.columns])
 
 
 def load_fact_csvs(spark: SparkSession, csv_dir: str, sidecar_dir: str,
@@ -191,8 +191,10 @@ def load_fact_csvs(spark: SparkSession, csv_dir: str, sidecar_dir: str,
         csv_t, side_t = ticker_of(r"^(.*)_xbrl_facts\.csv$"), ticker_of(r"^(.*)_companyfacts_raw\.json$")
     else:
         csv_t = side_t = F.upper(F.col("ticker").cast("string"))
-    facts = (csv_reader.csv(csv_dir).withColumn("file_name", F.col("_metadata.file_name"))
-             .withColumn("ticker", csv_t).withColumn("row_ord", F.monotonically_increasing_id()))
+    # a company's rows are in one file (or folder): block and number inside it are their position
+    facts = (csv_reader.csv(csv_dir).withColumn("file_name", F.col("_metadata.file_name")).withColumn("ticker", csv_t)
+             .withColumn("row_block", F.col("_metadata.file_block_start"))
+             .withColumn("row_ord", F.monotonically_increasing_id()))
     side = side_reader.json(sidecar_dir).select(side_t.alias("ticker"), normalize_cik(F.col("cik")).alias("cik"),
                                                 F.col("entityName"))
     side = side.groupBy("ticker").agg(F.min(F.struct("cik", "entityName")).alias("_s")) \

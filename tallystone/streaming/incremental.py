@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystone.operators.store import latest_by_key, read_log
+from tallystone.operators import snapshot
+from tallystone.operators.store import POSITION, latest_by_key, newest_order, read_log
 
 
 def first_load(spark: SparkSession, log_dir: str, checkpoint_dir: str) -> int:
@@ -41,9 +42,11 @@ def run_incremental_load(spark: SparkSession, landing_dir: str, log_dir: str, ch
                          timeout_s: float | None = None) -> None:
     """Run one ``availableNow`` load of everything new under ``landing_dir``."""
     stream = spark.readStream.schema(schema).format(fmt).load(landing_dir)
+    stream = stream.select("*", F.col("_metadata.file_path").alias("row_file"), F.col("_metadata.file_block_start").alias("row_block"))
     first = first_load(spark, log_dir, checkpoint_dir)
 
     def append(batch: DataFrame, epoch_id: int) -> None:
+        # the number of a row inside its block of its file is the same in a repeated epoch
         (batch.withColumn("row_ord", F.monotonically_increasing_id())
          .write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/load_seq={first + int(epoch_id)}"))
 
@@ -59,10 +62,16 @@ def run_incremental_load(spark: SparkSession, landing_dir: str, log_dir: str, ch
 
 
 def current_view(spark: SparkSession, log_dir: str, keys: Sequence[str],
-                 order: Sequence[str] = ()) -> DataFrame:
-    """Last write wins per key: the newest load, then ``order``, then position."""
+                 order: Sequence[str] = (), snapshot_dir: str | None = None) -> DataFrame:
+    """Last write wins per key: the newest load, then ``order``, then position.
+
+    With ``snapshot_dir`` (written by ``snapshot.compact_log``) only the newest
+    snapshot and the loads after it are read.
+    """
+    if snapshot_dir:
+        return snapshot.current(spark, log_dir, snapshot_dir, keys, order).drop(*POSITION)
     log = read_log(spark, log_dir)
-    return latest_by_key(log, keys, ["load_seq", *order, "row_ord"]).drop("row_ord")
+    return latest_by_key(log, keys, newest_order(log, order)).drop(*POSITION)
 
 
 def loads_in_log(spark: SparkSession, log_dir: str) -> DataFrame:
