@@ -233,3 +233,14 @@ def test_bounds_are_never_below_the_score_and_exclude_most(spark):
     assert all(bound[p] >= s for p, s in exact.items())
     best = {q: sorted(s for (p, _), s in exact.items() if p == q)[-50] for q in range(10)}
     assert lexical.not_excluded(index, block, best).count() < 10 * 50 * 2
+
+
+# 6 pages that once ended the job
+
+def test_wrapper_pages_with_marked_sections_and_deep_nesting(spark):
+    from tallystone.llm import wrappers
+    pages = [(1, "http://a.example/1", "<article><p>a</p><![x[ b ]]><![if !IE]><p>c</p><![endif]></article>"),
+             (2, "http://b.example/1", "<div>" * 5000 + "deep" + "</div>" * 5000 + "<p>after</p>"),
+             (3, "http://b.example/2", "<article>" + "<div><span>" * 3000 + "other")]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: "a c", 2: "deep after", 3: "other"}
