@@ -7,8 +7,12 @@ the natural unit of a filing document.
 
 from __future__ import annotations
 
+import csv
+import io
+import itertools
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -316,31 +320,32 @@ def read_watch_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 # --- S8: parsed-table CSV files --------------------------------------------------------
-# A comma outside double quotes (an even number of quotes follows it).
-_CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_CELLS = T.StructType([T.StructField("file_name", T.StringType()), T.StructField("row_idx", T.IntegerType()),
+                       T.StructField("col_idx", T.IntegerType()), T.StructField("cell", T.StringType())])
 
 
 def read_table_csvs(spark: SparkSession, path: str, glob: str = "*.csv",
                     header: bool = True) -> DataFrame:
     """Ragged table CSVs as long cells: file_name, table_idx, row_idx, col_idx, cell, num.
 
-    A file is read whole (rows keep their order), split into lines, and each
-    line on commas outside quotes; quotes are removed and doubled quotes
-    unescaped. The header line (column numbers) is skipped. ``table_idx``
-    comes from a ``_table_N`` suffix of the file name (else 0); a file that
-    cannot be split yields no cells and shows up as missing in the profile.
+    A file is read whole (rows keep their order and may have any number of
+    cells; Spark's CSV reader wants one width) and parsed with quotes first, so commas,
+    line ends and doubled quotes inside a quoted cell belong to it. The header line
+    (column numbers) is skipped; a blank line is a row of one empty cell. ``table_idx``
+    comes from a ``_table_N`` suffix of the file name (else 0); an empty file
+    yields no cells and shows up as missing in the profile.
     """
-    files = read_whole_files(spark, path, glob)
-    lines = files.select("file_name", F.posexplode(F.split(
-        F.regexp_replace("value", "(\r?\n)+$", ""), "\r?\n", -1)).alias("line_no", "line"))
-    if header:
-        lines = lines.filter(F.col("line_no") > 0).withColumn("line_no", F.col("line_no") - 1)
-    cells = lines.select("file_name", F.col("line_no").alias("row_idx"),
-                         F.posexplode(F.split("line", _CSV_SPLIT, -1)).alias("col_idx", "raw"))
-    unq = F.regexp_replace(F.regexp_replace(F.col("raw"), r'^"(.*)"$', "$1"), '""', '"')
+    def cells(batches):
+        csv.field_size_limit(2**31 - 1)
+        for pdf in batches:
+            rows = ((name, i, j, cell) for name, text in zip(pdf["file_name"], pdf["value"])
+                    for i, line in enumerate(csv.reader(io.StringIO((text or "").rstrip("\r\n"), newline="")), -int(header))
+                    if i >= 0 for j, cell in enumerate(line or [""]))
+            while part := list(itertools.islice(rows, 20_000)):
+                yield pd.DataFrame(part, columns=_CELLS.names)
+
     from tallystone.operators.tables import cell_number_expr
+    found = read_whole_files(spark, path, glob).select("file_name", "value").mapInPandas(cells, _CELLS)
     tidx = F.regexp_extract("file_name", r"_table_(\d+)\.csv$", 1)
-    return cells.select("file_name", F.when(tidx != "", tidx.cast("int")).otherwise(0).alias("table_idx"),
-                        F.col("row_idx").cast("int").alias("row_idx"),
-                        F.col("col_idx").cast("int").alias("col_idx"), unq.alias("cell"),
-                        cell_number_expr(unq).alias("num"))
+    return found.select("file_name", F.when(tidx != "", tidx.cast("int")).otherwise(0).alias("table_idx"),
+                        "row_idx", "col_idx", "cell", cell_number_expr(F.col("cell")).alias("num"))

@@ -44,6 +44,27 @@ def test_table_csv_source_and_profile(spark):
     assert (prof.n_rows, prof.n_cols, prof.n_cells, prof.n_numeric) == (3, 3, 8, 2)
 
 
+def test_table_csv_quotes_hold_line_ends_and_commas(spark):
+    import csv
+    import os
+    import tempfile
+
+    from tallystone.sources import filings
+
+    base = tempfile.mkdtemp(prefix="tallystone-csv-")
+    rows = [["0", "1"], ["Three Months\nEnded, March 31", 'say "hi", twice'], ["x" * 200_000, ""], ["", "(1,717)", "ragged"], ["\r\n", ","]]
+    with open(os.path.join(base, "T_table_7.csv"), "w", newline="") as f:
+        csv.writer(f).writerows(rows)
+    open(os.path.join(base, "T_table_8.csv"), "w").close()
+    got = {(r.table_idx, r.row_idx, r.col_idx): (r.cell, r.num) for r in filings.read_table_csvs(spark, base).collect()}
+    assert {k: v[0] for k, v in got.items()} == {(7, i, j): c for i, row in enumerate(rows[1:]) for j, c in enumerate(row)}
+    assert got[7, 2, 1][1] == -1717.0
+    # 40,000 cells of one line, quotes everywhere: linear
+    with open(os.path.join(base, "T_table_8.csv"), "w") as f:
+        f.write("0\n" + ",".join(['"a,b"'] * 40_000))
+    assert filings.read_table_csvs(spark, base).where("table_idx = 8 AND cell = 'a,b'").count() == 40_000
+
+
 def test_cell_number_expr_matches_python(spark):
     from pyspark.sql import functions as F
     cases = ["111184", "(1,717)", "(157,030", ")", "$", "%", "—", "–", "", "2.00%", "2.01", " 3 ", "-4.5", "x1"]
