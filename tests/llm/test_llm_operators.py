@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import math
+import random
 import re
 
 import numpy as np
@@ -422,10 +423,11 @@ def test_html_counts_equal_induction(spark):
     page = "<html><body>{2}<div class=a><h2>Part</h2><div>By<br> all</div><span><div>in {0}</div></span></div><ul><li>{1}</ul></body></html>"
     html = [page.format(i, i % 2, "x" * (i % 3)) for i in range(12)] + [page.format(1, 1, "x")]
     given = spark.createDataFrame([("h", h) for h in html] + [("one", "<p>a</p>"), ("two", "<p>a</p>"), ("two", "<p>b</p>")], "host string, html string")
-    got = {r["host"]: (tuple(r["path"]), frozenset(r["template"])) for r in wrappers.wrappers_of(given.repartition(5)).collect()}
+    got = {r["host"]: wrappers.wrapper(r["tree"], *(tuple(r[c]) for c in ("slots", "template", "sums")))
+           for r in wrappers.wrappers_of(given.repartition(5)).collect()}
     for host, pages in (("h", sorted(set(html))), ("two", ["<p>a</p>", "<p>b</p>"])):
-        w = wrappers.induce([wrappers.tree(h) for h in pages])
-        assert got.pop(host) == (w.path, w.template)
+        w, g = wrappers.induce([wrappers.tree(h) for h in pages]), got.pop(host)
+        assert (g.tree, g.path, g.content, g.template, g.dense) == (w.tree, w.path, w.content, w.template, w.dense)
     assert not got
 
 
@@ -449,9 +451,66 @@ def test_html_large_advert_beside_an_article():
     assert wrappers.Wrapper().read(page) == "text"
 
 
-def test_tree_matching_counts_pairs():
-    a, b = wrappers.tree("<div><p>1</p><ul><li>x</ul><p>2</p></div>"), wrappers.tree("<div><p>1</p><p>2</p><em>z</em></div>")
-    assert wrappers.match(a, b, {}) == 4            # root, div and two paragraphs
+def _largest(a, b):
+    """Size of the largest matching of two trees (key, children) by trying every order-preserving choice."""
+    if a[0] != b[0]:
+        return 0
+
+    def best(x, y):
+        if not x or not y:
+            return 0
+        return max(best(x[1:], y), best(x, y[1:]), _largest(x[0], y[0]) + best(x[1:], y[1:]))
+
+    return 1 + best(a[1], b[1])
+
+
+def _random_tree(rng, depth=0):
+    return (rng.choice("ab") if depth else "r", tuple(_random_tree(rng, depth + 1) for _ in range(rng.randrange(5 - depth) if depth < 3 else 0)))
+
+
+def _lines(t, depth=0):
+    return [f"{depth} {t[0]}"] + [x for c in t[1] for x in _lines(c, depth + 1)]
+
+
+def test_tree_matching_against_brute_force():
+    rng = random.Random(5)
+    for _ in range(150):
+        x, y = _random_tree(rng), _random_tree(rng)
+        a, b = "\n".join(_lines(x)), "\n".join(_lines(y))
+        to = wrappers.align(a, b)
+        assert wrappers.match(a, b) == _largest(x, y) == sum(t >= 0 for t in to)
+        p, q = wrappers.parts_of(a), wrappers.parts_of(b)
+        pairs = [(p[i], q[t]) for i, t in enumerate(to) if t >= 0]
+        assert [v.at for _, v in pairs] == sorted({v.at for _, v in pairs})             # each once, in page order
+        assert all(u.key == v.key and (u.over is None or to[u.over.at] == v.over.at) for u, v in pairs)
+        whole = wrappers.merged([a, b])
+        assert wrappers.match(a, whole) == len(p) and wrappers.match(b, whole) == len(q)
+        assert len(wrappers.parts_of(whole)) == len(p) + len(q) - len(pairs)
+
+
+def test_html_side_blocks_without_a_listed_name():
+    page = ("<body><div class=top>Site</div><div class=body><p>text {0} and {0} and {0} and {0}</p><div class=see-also>See <a href=x>story {0}</a>"
+            "</div>{1}</div></body>")
+    roots = [wrappers.tree(page.format(f"w{i}", "<div class=more><p>more {0} and {0}</p></div>".format(i) * (i % 3))) for i in range(9)]
+    w = wrappers.induce(roots)
+    for i in (1, 5):
+        want = " ".join([f"text w{i} and w{i} and w{i} and w{i}"] + [f"more {i} and {i}"] * (i % 3))
+        assert w.read(roots[i]) == want
+    extra = wrappers.tree(page.format("w9", "<div class=more><p>more</p></div>" * 40 + "<div class=new>new</div>"))
+    assert w.read(extra) == "text w9 and w9 and w9 and w9" + " more" * 40 + " new"
+
+
+def test_html_more_articles_than_the_tree_has():
+    page = "<body><div class=top>Site</div>{}</body>"
+    w = wrappers.induce([wrappers.tree(page.format(f"<article><p>t{i}</p></article>")) for i in range(5)])
+    assert w.read(wrappers.tree(page.format("<article><p>a</p></article><article><p>b</p></article>"))) == "a b"
+
+
+def test_html_many_unlike_siblings():
+    """Thousands of siblings of alternating kinds: linear memory, seconds."""
+    a = "0 \n" + "\n".join(f"1 div.{'ab'[i % 2]}" for i in range(6000))
+    b = "0 \n" + "\n".join(f"1 div.{'abc'[i % 3]}" for i in range(6000))
+    assert wrappers.match(a, b) == sum(t >= 0 for t in wrappers.align(a, b))
 
 
 # 7 token counts and 8 byte-level BPE
