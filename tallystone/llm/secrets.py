@@ -29,7 +29,8 @@ The network is fitted on at most ``SAMPLE`` findings of each label, taken by
 content hash; the scan covers every candidate of every whole text.
 
 Defined results: null or empty text: no spans, the digest of the empty string;
-null or repeated doc_id: each row gets its row; empty table or none of one
+very long texts: one pass over runs and spans, in
+proportion to the text; null or repeated doc_id: each row gets its row; empty table or none of one
 label to learn from: base spans only; further columns: ignored by ``scan``,
 kept by ``redact``.
 """
@@ -71,15 +72,35 @@ def base_spans(text: str) -> list[tuple[str, int, int, int]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def covered(taken: list) -> list[tuple[int, int]]:
+    """The places in the spans of ``taken`` (by start) as disjoint spans in order."""
+    out: list[tuple[int, int]] = []
+    for _, s, e, _ in taken:
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
 def candidates(text: str, taken: list) -> list[tuple[int, int]]:
-    """Spans of candidates: whole runs, and what the spans in ``taken`` leave of a run."""
-    out = []
+    """Spans of candidates: whole runs, and what the spans in ``taken`` leave of a run; one pass over both."""
+    out, over, at = [], covered(taken), 0
     for m in CANDIDATE.finditer(text):
-        parts = [m.span()]
-        for _, s, e, _ in taken:
-            if s < m.end() and m.start() < e:
-                parts = [(x, y) for a, b in parts for x, y in ((a, min(b, s)), (max(a, e), b)) if x < y]
-        left = "".join(text[a:b] for a, b in parts)
+        a, end = m.span()
+        while at < len(over) and over[at][1] <= a:
+            at += 1
+        parts = []
+        while at < len(over) and over[at][0] < end:
+            if a < over[at][0]:
+                parts.append((a, over[at][0]))
+            a = over[at][1]
+            if a >= end:                                      # it may reach into the next run
+                break
+            at += 1
+        if a < end:
+            parts.append((a, end))
+        left = "".join(text[x:y] for x, y in parts)
         if DIGIT.search(left) and LETTER.search(left):
             out += parts
     return out
@@ -87,9 +108,11 @@ def candidates(text: str, taken: list) -> list[tuple[int, int]]:
 
 def blanked(text: str, taken: list) -> str:
     """The text with the spans in ``taken`` blank: a candidate is not judged by a base finding beside it."""
-    for _, s, e, _ in taken:
-        text = text[:s] + " " * (e - s) + text[e:]
-    return text
+    out, at = [], 0
+    for s, e in covered(taken):
+        out += [text[at:s], " " * (e - s)]
+        at = e
+    return "".join(out) + text[at:]
 
 
 def context(text: str, a: int, b: int, alone: bool = False) -> str:

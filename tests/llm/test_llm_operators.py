@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -240,6 +241,31 @@ def test_secret_parts_beside_base_spans(spark):
     assert secrets.candidates("x token=abcdefgh12345678 y", secrets.base_spans("x token=abcdefgh12345678 y")) == []
 
 
+def test_secret_candidates_against_plain_form():
+    rng = random.Random(3)
+    for _ in range(400):
+        text = "".join(rng.choice(["ab1", "=", " ", "token=", "0123456789abcdef" * 2, "AKIA" + "Z9" * 9, "/x-", "q" * 9]) for _ in range(14))
+        taken = secrets.base_spans(text)
+        want, rest = [], list(text)
+        for m in secrets.CANDIDATE.finditer(text):
+            free = [i for i in range(*m.span()) if not any(s <= i < e for _, s, e, _ in taken)]
+            parts = [(i, next(k for k in range(i, len(text) + 1) if k not in free)) for i in free if i - 1 not in free]
+            left = "".join(text[i] for i in free)
+            if re.search("[0-9]", left) and re.search("[A-Za-z]", left):
+                want += parts
+        for _, s, e, _ in taken:
+            rest[s:e] = " " * (e - s)
+        assert secrets.candidates(text, taken) == want and secrets.blanked(text, taken) == "".join(rest)
+
+
+def test_secret_scan_of_a_long_text_of_keys():
+    text = " ".join(f"token={i:040x} k{i:020d}z" for i in range(70_000))      # 5 MB
+    began = time.process_time()
+    taken = secrets.base_spans(text)
+    assert len(secrets.candidates(text, taken)) == 70_000 and len(secrets.blanked(text, taken)) == len(text)
+    assert time.process_time() - began < 20
+
+
 def test_redact_keeps_the_rest(spark, odd):
     frame = docs_of(spark, ["a password: hunter22, b", "nothing", None, ""])
     got = [r["text"] for r in secrets.redact(frame).orderBy("doc_id").collect()]
