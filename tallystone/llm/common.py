@@ -38,9 +38,18 @@ def n_words(text: Column) -> Column:
 
 
 def row_hash(df: DataFrame) -> Column:
-    """64-bit hash of all columns of a row but maps; equal rows hash alike."""
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields
-                        if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    """128-bit hash of all columns of a row, as 32 hexadecimal digits; equal rows hash alike.
+
+    Two 64-bit hashes with different seeds, both over the columns and which of
+    them are null (the hash skips nulls); a column of a nested type counts by
+    its JSON, so that nulls in it, maps and variants count too.
+    """
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+        cols += [F.to_json(F.struct(c.alias("c")), {"ignoreNullFields": "false"}) if nested else c, c.isNull()]
+    return F.lower(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), *cols)), 16, "0") for seed in (1, 2)]))
 
 
 def fresh(df: DataFrame, base: str) -> str:

@@ -19,8 +19,11 @@ so no task ever holds a source, and what is passed on shrinks by FAN. All
 randomness comes from (seed, level, source, bucket) and rows meet by size and
 content hash: reruns agree, also on retried tasks.
 
-Rows that are alike in every column are one unit with a multiplicity; its
-copies are shared out evenly, at most ``most`` for each.
+Rows that are alike in every column (by 128 bits) are one unit with a
+multiplicity; its copies are shared out evenly, at most ``most`` for each, and
+written out ``CHUNK`` at a time, so that no row holds them all.
+
+The sources are ranked in one task: one row for each source.
 
 Defined results: null or empty text: size 0, taken 0; null source: a source of
 its own, last; a source of size 0: target 0; null or repeated doc_id: rows are
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from tallystone.llm.common import fresh, n_words, row_hash, runs, stage
 
 WEIGHTS, MOST, SEED = (5.0, 2.0, 1.0), 3.0, 20
-GROUP, FAN = 512, 64
+GROUP, FAN, CHUNK = 512, 64, 65536
 
 
 def targets(units: DataFrame, weights=WEIGHTS, most: float = MOST) -> DataFrame:
@@ -140,7 +143,7 @@ def copies(units: DataFrame, weights=WEIGHTS, most: float = MOST, seed: int = SE
     want = want.select("*", F.floor("e").alias("whole")).withColumn(
         "p", F.when(F.col("size") > 0, F.col("e") - F.col("whole")).otherwise(0.0))
     buckets = max(1, -(-n // GROUP))
-    rows = want.withColumn("bucket", F.pmod("h", F.lit(buckets))).drop("e")
+    rows = want.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets))).drop("e")
     done, level = [], 0
     while True:
         last = buckets == 1
@@ -164,10 +167,19 @@ def units_of(docs: DataFrame, h) -> DataFrame:
         "h", "doc_id", "source", "size").agg(F.count("*").alias("m"))
 
 
+def numbered(df: DataFrame, count, nth: str) -> DataFrame:
+    """Each row of ``df`` as often as ``count`` says, numbered from 1 in column ``nth``; no array of more than ``CHUNK``."""
+    first = fresh(df, "chunk")
+    return (df.withColumn(nth, F.col(count).cast("long"))
+            .withColumn(first, F.explode(F.sequence(F.lit(0), F.floor((F.col(nth) - 1) / CHUNK).cast("long")))).where(f"`{nth}` > 0")
+            .withColumn(nth, F.explode(F.sequence(F.col(first) * CHUNK + 1, F.least(F.col(nth), (F.col(first) + 1) * CHUNK))))
+            .drop(first))
+
+
 def mixture(docs: DataFrame, **kw) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row of ``docs``."""
     got = copies(units_of(docs, row_hash(docs.select("doc_id", "source", "text"))), **kw)
-    each = got.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("m")))).withColumn(
+    each = numbered(got, "m", "nth").withColumn(
         "mine", F.floor(F.col("copies") / F.col("m")) + F.when(F.col("nth") <= F.col("copies") % F.col("m"), 1).otherwise(0))
     return each.select("doc_id", "size", "source_size", "target", (F.col("mine") * F.col("size")).cast("long").alias("taken"))
 
@@ -178,4 +190,4 @@ def mix(docs: DataFrame, **kw) -> DataFrame:
     tagged = docs.withColumn(h, row_hash(docs))
     got = copies(units_of(tagged, F.col(h)), **kw).where("copies > 0").select(F.col("h").alias(h), F.col("copies").alias(c))
     once = tagged.withColumn(n, F.row_number().over(Window.partitionBy(h).orderBy(F.lit(1)))).where(f"`{n}` = 1").drop(n)
-    return once.join(stage(got, "mix-copies"), h).withColumn(c, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*docs.columns)
+    return numbered(once.join(stage(got, "mix-copies"), h), c, n).select(*docs.columns)
