@@ -7,6 +7,7 @@ import math
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -293,6 +294,28 @@ def test_ordinal_orders_grades(spark):
     assert got[got["doc_id"] % 3 == 2]["kept"].mean() >= 0.95 and got[got["doc_id"] % 3 == 0]["kept"].mean() <= 0.05
 
 
+def test_ordinal_against_plain_scores_and_any_partitioning(spark):
+    """Grades and tails recomputed from the weights; repeated ids with different texts leave the fit as it is."""
+    rng = random.Random(2)
+    rows = [(i % 300 if i % 9 else None, rng.choice([None, "", " ".join(rng.choice(["Good", "bad!", "straße", "x", "longer", "word"])
+             + str(rng.randrange(40)) for _ in range(rng.randrange(1, 60)))]), "en", "s", i) for i in range(700)]
+    lab = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 1)) for i in range(0, 300, 2)] * 2, "doc_id long, quality int, toxic int")
+    frame = spark.createDataFrame(rows, DOCS)
+    model = ordinal.fit(frame, ordinal.graded(lab))
+    first, second = model.theta()
+    want = []
+    for doc_id, text, *_ in rows:
+        tokens = set((text or "").lower().split())
+        buckets = {zlib.crc32(w.encode()) % 32768 for w in tokens} | {zlib.crc32(b"\x00" + w[-2:].encode()) % 32768 for w in tokens}
+        m = sum(model.w[b] for b in buckets) / math.sqrt(len(buckets)) if buckets else 0.0
+        low, top = (1 / (1 + math.exp(t - m)) for t in (first, second))
+        want.append((doc_id, round(low + top, 9), round(low, 9), round(top, 9)))
+    for parts in (1, 7):
+        got = ordinal.grade_documents(frame.repartition(parts), lab).collect()
+        assert sorted(((r["doc_id"], *(round(r[c], 9) for c in ("expected_grade", "p_above_low", "p_top"))) for r in got), key=str) == sorted(want, key=str)
+        assert all(r["kept"] == (r["p_top"] >= model.cutoff) for r in got)
+
+
 def test_ordinal_gradient_matches_differences():
     rng = np.random.default_rng(0)
     xs = [np.sort(rng.choice(50, 6, replace=False)) for _ in range(40)]
@@ -655,6 +678,26 @@ def test_mixture_targets_and_copies(spark, docs, odd):
         assert abs(g["taken"].sum() - g["target"].iloc[0]) <= g["size"].max()
 
 
+def test_rows_differing_in_nulls_and_maps_are_told_apart(spark):
+    kind = "doc_id long, text string, lang string, source string, n_chars int, m map<string,int>, a array<string>"
+    rows = [(None, "w", None, "w", 1, {"k": 1}, ["x", None]), (None, "w", "w", None, 1, {"k": 1}, ["x", None]),
+            (None, "w", None, "w", 1, {"k": 2}, ["x", None]), (None, "w", None, "w", 1, None, ["x", None]),
+            (None, "w", None, "w", 1, {"k": 1}, [None, "x"]), (None, "w", None, "w", 1, {"k": 1}, ["x", None])]
+    f = spark.createDataFrame(rows, kind)
+    hashes = [r[0] for r in f.select(common.row_hash(f)).collect()]
+    assert len(set(hashes)) == 5 and hashes[0] == hashes[5] and all(re.fullmatch("[0-9a-f]{32}", h) for h in hashes)
+    one = f.where("source = 'w'")                             # a source alone is taken as it is
+    assert collections.Counter(map(str, mixing.mix(one).collect())) == collections.Counter(map(str, one.collect()))
+    assert len(simhash.drop_near_duplicates(f).collect()) == 1
+
+
+def test_many_copies_are_numbered_in_chunks(spark):
+    df = spark.createDataFrame([("a", 200_000), ("b", 65_536), ("c", 1), ("d", 0)], "h string, m long")
+    got = {r["h"]: (r["n"], r["u"], r["lo"], r["hi"]) for r in mixing.numbered(df, "m", "nth").groupBy("h").agg(
+        F.count("*").alias("n"), F.countDistinct("nth").alias("u"), F.min("nth").alias("lo"), F.max("nth").alias("hi")).collect()}
+    assert got == {"a": (200_000, 200_000, 1, 200_000), "b": (65_536, 65_536, 1, 65_536), "c": (1, 1, 1, 1)}
+
+
 def test_pivotal_keeps_words_and_expectation():
     size = np.array([30.0, 20, 10, 7, 5, 3, 2])
     start = np.array([0.2, 0.5, 0.7, 0.3, 0.9, 0.4, 0.6])
