@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallystone.functions.text import WS
-from tallystone.operators import mentions, reconcile, store
-from tallystone.plans.registry import register, table
+from tallystone.operators import mentions, reconcile, store, text_index
+from tallystone.plans.registry import ORACLE, register, table
+from tallystone.session import shared_dir
 
 # The fixed concept keyword table plus a probe concept of words that occur in
 # the driver's documents (none of the filing keywords do); "the" and "of the"
@@ -47,6 +48,14 @@ def q_reconcile_snippets(spark, sf_dir):
     return reconcile.keyword_snippets(d, SNIPPET_KEYWORDS)
 
 
+@register("indexed_snippets", sql=ORACLE["reconcile_snippets"])
+def q_indexed_snippets(spark, sf_dir):
+    """The same matches from a positional index of all documents, built here and searched by positions."""
+    path = shared_dir(spark, "text-index")
+    text_index.build_text_index(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return text_index.search_text_index(spark, path, SNIPPET_KEYWORDS)
+
+
 # --- reconcile_auto: each order is a fact of value round(total) x 1e6
 # (negative for status F); its evidence line prints round(total) in
 # thousands-comma form, in parentheses for negatives; one in seven evidence
