@@ -80,9 +80,10 @@ def build_text_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     spark = docs.sparkSession
     folder = F.pmod(F.xxhash64("raw"), F.lit(FOLDERS)).cast("int")
-    # A folder's rows are dealt by document too, so a folder with a frequent word is several tasks' work.
+    # A folder's rows are dealt by document too: as many tasks as the session shuffles to, not as many as folders.
+    spread = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // FOLDERS)
     (given.mapInPandas(batched(words, ["raw", "id", "positions", "starts"]), f"raw string, id {kind}, positions array<int>, starts array<int>").withColumn("folder", folder)
-     .repartition("folder", F.pmod(F.xxhash64("id"), F.lit(16))).sortWithinPartitions("folder", "raw")
+     .repartition("folder", F.pmod(F.xxhash64("id"), F.lit(spread))).sortWithinPartitions("folder", "raw")
      .write.partitionBy("folder").parquet(f"{path}/postings"))
     (_read(spark, path, "postings", kind).select("raw").distinct().withColumn("folder", folder).withColumn("term", folded(F.col("raw")))
      .write.parquet(f"{path}/terms"))
