@@ -147,13 +147,12 @@ def search_text_index(spark: SparkSession, path: str, keywords: Sequence[tuple[s
             .agg(F.count("*").alias("n"), F.max("words").alias("words"), F.max("first").alias("first")).where("n = words"))
     places = runs.select("id", "kw", F.explode("first").alias("start")).where("start >= 0").withColumn("block", F.floor(F.col("start") / BLOCK).cast("int"))
     phrases = asked.select("kw", "concept", "kw_pos", "keyword", "klen").distinct()
-    cut = places.join(_read(spark, path, "blocks", kind), ["id", "block"]).join(F.broadcast(phrases), "kw")
+    blocks = _read(spark, path, "blocks", kind)
+    beside = places.join(blocks, ["id", "block"]).join(F.broadcast(phrases), "kw")
     off = F.col("start") - F.col("low")
     literal = F.concat(F.lit("^(?:"), _literal_ci_pattern(F.col("keyword")), F.lit(")$"))
-    lead = F.least(off, F.lit(before))
-    found = cut.where(F.regexp_count(F.substring("part", off + 1, F.col("klen")), literal) == 1).select(
-        "id", "concept", "kw_pos", "keyword", "klen", "start",
-        _clean(F.substring("part", off - lead + 1, lead + F.col("klen") + after)).alias("snippet"))
+    found = beside.where(F.regexp_count(F.substring("part", off + 1, F.col("klen")), literal) == 1).select(
+        "id", "concept", "kw_pos", "keyword", "klen", "block", "start")
     # Matches of one document and keyword, first come first: one that starts in the last taken one is none.
     step = F.aggregate("all", F.struct(F.lit(-1).alias("end"), F.array().cast("array<int>").alias("kept")),
                        lambda acc, m: F.when(m["start"] >= acc["end"], F.struct((m["start"] + F.col("klen")).alias("end"),
@@ -163,8 +162,11 @@ def search_text_index(spark: SparkSession, path: str, keywords: Sequence[tuple[s
                 .select("id", "concept", "kw_pos", "keyword", F.explode(step).alias("start")))
         found = found.join(kept, ["id", "concept", "kw_pos", "keyword", "start"], "left_semi")
     order = Window.partitionBy("id", "concept", "kw_pos", "keyword").orderBy("start")
-    return found.select(F.col("id").alias(id_col), "concept", "kw_pos", "keyword",
-                        (F.row_number().over(order) - 1).alias("match_idx"), "snippet")
+    # Numbered while rows are small; the blocks are met again (their exchange is reused) and snippets go nowhere but out.
+    lead = F.least(off, F.lit(before))
+    return found.withColumn("match_idx", F.row_number().over(order) - 1).join(blocks, ["id", "block"]).select(
+        F.col("id").alias(id_col), "concept", "kw_pos", "keyword", "match_idx",
+        _clean(F.substring("part", off - lead + 1, lead + F.col("klen") + after)).alias("snippet"))
 
 
 def _overlaps(keyword: str) -> bool:
