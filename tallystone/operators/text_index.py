@@ -4,15 +4,15 @@
 folder:
 
 * ``postings`` (raw, id, positions, starts), one row for each document and
-  spelling, in folders by hash of the spelling; a term of a third of all
-  documents is that many rows, never one list;
-* ``terms``: the spellings with their folder and folded form;
+  spelling, each task's as a segment sorted by a range of the spelling's hash; a
+  term of a third of all documents is that many rows, never one list;
+* ``terms``: the spellings with their range and folded form;
 * ``blocks``: the texts in overlapping parts of ``BLOCK`` characters, with
   ``MARGIN`` more on both sides.
 
 ``search_text_index`` looks the words of the keywords up in ``terms`` (the first
 may end a word of the text and the last begin one, a single one lie inside it,
-as in a search for the literal), reads the folders that have them, keeps runs of
+as in a search for the literal), reads the ranges that have them, keeps runs of
 consecutive positions by one partial aggregation, and reads the blocks of these
 runs only: there the signs between the words are compared and the snippet is cut.
 No text is searched for a keyword. Folded forms join at least what a search
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tallystone.operators.reconcile import _clean, _literal_ci_pattern
 from tallystone.schemas import SNIPPET_AFTER, SNIPPET_BEFORE
 
-BLOCK, MARGIN, FOLDERS, ROWS = 2048, 512, 64, 4096
+BLOCK, MARGIN, RANGES, ROWS, SEGMENT = 2048, 512, 64, 4096, 4 << 20
 #: Words: letters and digits of any script, and the mark that has a letter as upper case.
 WORD = re.compile("(?:[^\\W_]|\u0345)+")
 
@@ -79,20 +79,19 @@ def build_text_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         return run
 
     spark = docs.sparkSession
-    folder = F.pmod(F.xxhash64("raw"), F.lit(FOLDERS)).cast("int")
-    # A folder's rows are dealt by document too: as many tasks as the session shuffles to, not as many as folders.
-    spread = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // FOLDERS)
-    (given.mapInPandas(batched(words, ["raw", "id", "positions", "starts"]), f"raw string, id {kind}, positions array<int>, starts array<int>").withColumn("folder", folder)
-     .repartition("folder", F.pmod(F.xxhash64("id"), F.lit(spread))).sortWithinPartitions("folder", "raw")
-     .write.partitionBy("folder").parquet(f"{path}/postings"))
-    (_read(spark, path, "postings", kind).select("raw").distinct().withColumn("folder", folder).withColumn("term", folded(F.col("raw")))
+    range_ = F.pmod(F.xxhash64("raw"), F.lit(RANGES)).cast("int")
+    # Every task writes its documents' postings sorted, as a segment: no shuffle, and a search skips row groups by range.
+    (given.mapInPandas(batched(words, ["raw", "id", "positions", "starts"]), f"raw string, id {kind}, positions array<int>, starts array<int>")
+     .withColumn("range", range_).sortWithinPartitions("range", "raw")
+     .write.option("parquet.block.size", SEGMENT).parquet(f"{path}/postings"))
+    (_read(spark, path, "postings", kind).select("raw").distinct().withColumn("range", range_).withColumn("term", folded(F.col("raw")))
      .write.parquet(f"{path}/terms"))
     given.mapInPandas(batched(parts, ["id", "block", "low", "part"]), f"id {kind}, block int, low int, part string").write.parquet(f"{path}/blocks")
 
 
 def _read(spark: SparkSession, path: str, name: str, kind: str) -> DataFrame:
-    schema = {"postings": f"raw string, id {kind}, positions array<int>, starts array<int>, folder int",
-              "terms": "raw string, folder int, term string", "blocks": f"id {kind}, block int, low int, part string"}[name]
+    schema = {"postings": f"raw string, id {kind}, positions array<int>, starts array<int>, range int",
+              "terms": "raw string, range int, term string", "blocks": f"id {kind}, block int, low int, part string"}[name]
     return spark.read.schema(schema).parquet(f"{path}/{name}")
 
 
@@ -129,9 +128,9 @@ def search_text_index(spark: SparkSession, path: str, keywords: Sequence[tuple[s
     fits = (_read(spark, path, "terms", kind).withColumn("hit", F.explode(F.filter(fixed, lambda a: (
         F.when(a["how"] == "in", F.contains(term, a["fold"])).when(a["how"] == "end", F.endswith(term, a["fold"]))
         .when(a["how"] == "begin", F.startswith(term, a["fold"])).otherwise(term == a["fold"])))))
-        .select("raw", "folder", "hit.kw", "hit.nth"))
-    folders = [r[0] for r in fits.select("folder").distinct().collect()]      # at most FOLDERS numbers
-    posted = _read(spark, path, "postings", kind).where(F.col("folder").isin(folders)).join(fits, ["folder", "raw"])
+        .select("raw", "range", "hit.kw", "hit.nth"))
+    ranges = [r[0] for r in fits.select("range").distinct().collect()]        # at most RANGES numbers
+    posted = _read(spark, path, "postings", kind).where(F.col("range").isin(ranges)).join(fits, ["range", "raw"])
     if wanted is not None:
         own = wanted.select(F.col(id_col).alias("id"), "concept").distinct().join(asked.select("concept", "kw").distinct(), "concept").select("id", "kw")
         posted = posted.join(own, ["id", "kw"], "left_semi")

@@ -37,14 +37,13 @@ def test_index_equals_search_of_texts(spark, texts):
     assert own == [r for r in want if (r[0], r[1]) in {(1, "a"), (5, "c")}]
 
 
-def test_index_reads_no_text_and_only_folders_with_words(spark, texts):
+def test_index_reads_no_text_and_only_ranges_with_words(spark, texts):
     path = shared_dir(spark, "index-test")
     text_index.build_text_index(spark.createDataFrame(texts, "doc_id long, text string"), path)
     plan = text_index.search_text_index(spark, path, [("d", 1, "ΟΔΟΣΟΣ")])._jdf.queryExecution().toString()
     assert "regexp_replace" not in plan                       # no text is marked or split
-    filters = re.search(r"PartitionFilters: \[([^\]]*folder[^\]]*)\]", plan)[1]
-    only = re.search(r"folder#\d+ = (\d+)", filters)          # one spelling, one folder
-    assert only and int(only[1]) in range(text_index.FOLDERS)
+    only = re.search(r"PushedFilters: \[[^\]]*EqualTo\(range,(\d+)\)", plan)       # one spelling, one range
+    assert only and int(only[1]) in range(text_index.RANGES)
 
 
 def test_index_edges(spark, texts):
