@@ -244,3 +244,17 @@ def test_wrapper_pages_with_marked_sections_and_deep_nesting(spark):
              (3, "http://b.example/2", "<article>" + "<div><span>" * 3000 + "other")]
     got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert got == {1: "a c", 2: "deep after", 3: "other"}
+
+
+def test_wrapper_has_every_shape_of_a_host(spark):
+    """Twelve rare shapes beyond the eight frequent ones have a template text of their own, and a part beside the article."""
+    from tallystone.llm import wrappers
+    page = "<body><div class=top>Site</div><article><p>text {0}</p>{1}</article>{2}</body>"
+    rows = [(n, page.format(n, f"<div class=s{n % 8}>part {n}</div>", "")) for n in range(80)]
+    rows += [(80 + n, page.format(80 + n, f"<div class=strip>Same on rare pages</div><div class=r{n % 12}>part {80 + n}</div>",
+                                  f"<div class=beside><p>odd {n}</p></div>")) for n in range(24)]
+    frame = spark.createDataFrame([(n, "http://h.example/", html) for n, html in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract(frame.repartition(4)).collect()}
+    assert got == {n: f"text {n} part {n}" for n, _ in rows}
+    w = wrappers.induce([wrappers.tree(html) for _, html in rows])
+    assert {n: w.read(wrappers.tree(html)) for n, html in rows} == got
