@@ -62,19 +62,6 @@ _READ = bytes.maketrans(_LOWER[0] + _BREAKS + _GAPS, _LOWER[1] + b"\n" * len(_BR
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-class _Ids(dict):
-    """Numbers words as they are met; 0 is the break between pieces, 1 the empty string between two gaps."""
-
-    def __init__(self):
-        super().__init__({b"\n": 0, b"": 1})
-        self.words = [b"", b""]
-
-    def __missing__(self, word):
-        self[word] = n = len(self.words)
-        self.words.append(word)
-        return n
-
-
 class Block:
     """Words of some texts in order, breaks between them, and each one's language.
 
@@ -82,20 +69,19 @@ class Block:
     """
 
     def __init__(self):
-        self.tokens: list[bytes] = []
-        self.runs: list[tuple[str, int]] = []
+        self.texts: list[bytes] = []
+        self.langs: list[str] = []
         self.size = self.open = 0
 
     def add(self, lang: str, raw: bytes) -> None:
-        tokens = raw.replace(b"\n", b" \n ").split(b" ")
-        self.tokens += tokens
-        self.runs.append((lang, len(tokens)))
+        self.texts.append(raw.replace(b"\n", b" \n ") + b" ")
+        self.langs.append(lang)
         self.size += len(raw)
 
     def last(self, n: int) -> list[bytes]:
         """The last ``n`` words, or those since the last break."""
         found: list[bytes] = []
-        for t in reversed(self.tokens):
+        for t in (t for text in reversed(self.texts) for t in reversed(text.split(b" "))):
             if len(found) == n or t == b"\n":
                 break
             if t:
@@ -103,14 +89,24 @@ class Block:
         return found[::-1]
 
     def arrays(self):
-        """Ids of the words (0: break), numbers of their languages, the words and languages by number; gives up the tokens."""
-        table = _Ids()
-        ids = np.fromiter(map(table.__getitem__, self.tokens), np.int32, len(self.tokens))
-        self.tokens = []
-        names = {lang: i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in self.runs))}
-        langs = np.repeat(np.array([names[lang] for lang, _ in self.runs], np.int32), [n for _, n in self.runs])
-        keep = ids != 1
-        return ids[keep], langs[keep], table.words, list(names)
+        """Ids of the words (0: break), numbers of their languages, the words and languages by number; gives up the texts."""
+        lengths, raw = np.fromiter(map(len, self.texts), np.int64, len(self.texts)), b"".join(self.texts)
+        self.texts = []
+        ends = np.flatnonzero(np.frombuffer(raw, np.uint8) == ord(" ")) + 1
+        # a word is read with the space after it, so that words lie side by side
+        found = pa.Array.from_buffers(pa.large_binary(), len(ends), [
+            None, pa.py_buffer(np.r_[0, ends].astype(np.int64)), pa.py_buffer(raw)]).dictionary_encode()
+        words = [b"", *(w[:-1] for w in found.dictionary.to_pylist())]
+        number = np.arange(1, len(words), dtype=np.int32)
+        for i, w in enumerate(words[1:]):
+            if w in (b"", b"\n"):
+                number[i] = 0 if w else -1               # a break; nothing between two gaps
+        ids = number[found.indices.to_numpy()]
+        names = {lang: i for i, lang in enumerate(dict.fromkeys(self.langs))}
+        langs = np.repeat(np.array([names[lang] for lang in self.langs], np.int32),
+                          np.diff(np.searchsorted(ends, np.cumsum(lengths), "right"), prepend=0))
+        keep = ids >= 0
+        return ids[keep], langs[keep], words, list(names)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], order: int, size: int = BLOCK) -> Iterator[Block]:

@@ -76,6 +76,18 @@ def test_collocations_equal_plain_counts_with_blocks_inside_texts_and_a_full_fil
     assert got == plain_collocations([tuple(r) for r in chatter.collect()], least, 50)
 
 
+def test_collocation_blocks_number_whole_texts_at_once():
+    """A block keeps texts, not a list of their words; ids lead back to the words, breaks are 0."""
+    texts = [("en", b"a  bb\na c \n\n"), ("de", b""), ("de", b"\xc3\xa9 bb"), ("en", b"\n"), ("fr", b" x" * 1000)]
+    block = collocations.Block()
+    for lang, raw in texts:
+        block.add(lang, raw)
+    assert block.last(2) == [b"x", b"x"] and len(block.texts) == len(texts)
+    ids, langs, words, names = block.arrays()
+    want = [(lang, w) for lang, raw in texts for w in raw.replace(b"\n", b" \n ").split(b" ") if w]
+    assert [(names[n], words[i] if i else b"\n") for i, n in zip(ids, langs)] == want and words[0] == b""
+
+
 def test_collocations_of_the_table_and_of_odd_texts(spark, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = rows_of(queries.QUERIES["op11_collocations"](spark, SF))
