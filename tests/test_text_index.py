@@ -57,3 +57,22 @@ def test_index_edges(spark, texts):
         text_index.search_text_index(spark, path, [("a", 0, "%")])
     with pytest.raises(ValueError):
         text_index.search_text_index(spark, path, KEYWORDS, before=600)
+
+
+def test_one_word_is_compared_with_spellings_and_blocks_are_met_once(spark, texts):
+    """Matches of a keyword of one word come from its postings alone; blocks are read for the snippets, nothing is windowed."""
+    path = shared_dir(spark, "index-test")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    text_index.build_text_index(docs, path)
+    one = [k for k in KEYWORDS if text_index.WORD.fullmatch(k[2])]
+    found = text_index.search_text_index(spark, path, one)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[id#\d+L?,block#\d+,low#\d+,part#\d+\]", plan)) == 1 and "Window" not in plan
+    assert rows(found) == rows(reconcile.keyword_snippets(docs, one)) and len(one) > 3
+
+
+def test_postings_of_more_than_a_piece(spark, texts, monkeypatch):
+    monkeypatch.setattr(text_index, "PIECE", 50)
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    text_index.build_text_index(docs, path := shared_dir(spark, "index-test"))
+    assert rows(text_index.search_text_index(spark, path, KEYWORDS)) == rows(reconcile.keyword_snippets(docs, KEYWORDS))
