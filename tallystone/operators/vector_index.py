@@ -25,6 +25,7 @@ fitted to ``SAMPLE`` vectors at most, chosen by a hash of their ids; every vecto
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ from tallystone.session import shared_dir
 
 #: Lists, vectors that the centres are fitted to, and items and queries of a block.
 LISTS, SAMPLE, ITEM_BLOCK, QUERY_BLOCK = 256, 50_000, 4096, 256
+#: Bytes that a Python worker gets at once.
+BATCH = "8m"
 _ROUNDING = 2.0 * 10 ** -DISTANCE_DIGITS
 
 
@@ -107,7 +110,8 @@ def build_index(items: DataFrame, path: str, id_col: str = "id", vec_col: str =
                            T.StructField("lost", T.DoubleType()), T.StructField("near", T.DoubleType()),
                            T.StructField("list", T.IntegerType())])
     # a rebalance splits a list that holds a large part of all rows, and keeps small ones in one file
-    good.mapInArrow(encode, schema).hint("rebalance", "list").write.partitionBy("list").parquet(f"{path}/lists")
+    with _small_batches(spark):
+        good.mapInArrow(encode, schema).hint("rebalance", "list").write.partitionBy("list").parquet(f"{path}/lists")
     src.where(~_direction("vec", width)).select("id", F.size("vec").alias("width")).write.parquet(f"{path}/rejected")
     where = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "list int, centre array<double>")
     if n:
@@ -211,9 +215,22 @@ def _scan(index: Index, asked: DataFrame, blocks: int, keep, k: int) -> DataFram
     return _stage(found, "index-scores")
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile gives Python ``BATCH`` bytes at a time: a packed block with its queries is one wide row."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _stage(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with _small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,7 @@
 """The vector index against the scan of everything."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,16 @@ def test_odd_vectors_are_reported_not_fatal(spark):
     empty = shared_dir(spark, "index-test")
     vector_index.build_index(items.limit(0), empty)
     assert vector_index.search_index(vector_index.Index(spark, empty), asked).collect() == []
+
+
+def test_wide_rows_reach_python_a_few_at_a_time(spark):
+    """Forty packed blocks of half a megabyte came in one batch of 20 MB before."""
+    def count(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["rows", "bytes"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    wide = spark.range(40, numPartitions=1).select(F.expr("repeat('x', 500000)").alias("codes"))
+    got = vector_index._stage(wide.mapInArrow(count, "rows long, bytes long"), "wide").collect()
+    assert sum(r["rows"] for r in got) == 40 and max(r["bytes"] for r in got) < 12 << 20 and spark.conf.get(key) == before
